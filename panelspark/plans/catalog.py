@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["q_holdings", "q_misc"]
+AREAS = ["q_holdings", "q_misc", "q_panel"]
 
 
 def _load():
