@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["q_holdings", "q_misc", "q_panel"]
+AREAS = ["q_holdings", "q_misc", "q_panel", "q_corpus"]
 
 
 def _load():
