@@ -100,7 +100,7 @@ def subsample(sent: DataFrame, keys: Sequence[str], col: str = "tokens", sample:
     ratio = F.lit(sample) * total / F.col("count")
     keep_p = F.least(F.lit(1.0), F.sqrt(ratio) + ratio)
     kept = j.filter(uniform(seed, "subsample", *keys, "pos") < keep_p)
-    return (kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_t"))
+    return (kept.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
             .select(*keys, F.transform("_t", lambda x: x["token"]).alias(col)))
 
 

@@ -81,7 +81,7 @@ def embedding_matrix(vocab: DataFrame, vectors: DataFrame, seed: int = 42, vecto
     stats = tot.select((F.col("S") / n_cells).alias("mu"),
                        F.sqrt(F.greatest(F.col("Q") / n_cells - (F.col("S") / n_cells) ** 2, F.lit(0.0))).alias("sd"),
                        F.col("d"))
-    mask_vec = per_dim.agg(F.array_sort(F.collect_list(F.struct("pos", "mask_x"))).alias("_m")).select(
+    mask_vec = per_dim.agg(F.sort_array(F.collect_list(F.struct("pos", "mask_x"))).alias("_m")).select(
         F.transform("_m", lambda e: e["mask_x"]).alias("vector"))
     mask_row = mask_vec.select((F.lit(v_count)).cast("long").alias("index"), "vector")
     pad_row = stats.select((F.lit(v_count) + 1).cast("long").alias("index"),

@@ -58,7 +58,9 @@ def clean_shares(filings: DataFrame, shares_col: str = "Holdshares") -> DataFram
 
     ``NaN > 0`` is true in Spark, so NaN is excluded explicitly.
     """
-    x = F.col(shares_col).cast("string").try_cast("double")
+    kind = filings.schema[shares_col].dataType.simpleString()
+    # text is converted leniently; a numeric column keeps its filter pushable
+    x = F.col(shares_col).try_cast("double") if kind == "string" else F.col(shares_col).cast("double")
     return filings.withColumn(shares_col, x).filter((F.col(shares_col) > 0) & ~F.isnan(F.col(shares_col)))
 
 
@@ -80,11 +82,11 @@ def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: st
     if salt_buckets and salt_buckets > 1:
         salt = F.pmod(F.xxhash64(F.col("_it")), F.lit(salt_buckets)).alias("_salt")
         runs = (rows.groupBy(holder, date, salt)
-                .agg(F.array_sort(F.collect_list("_it")).alias("_run")))
+                .agg(F.sort_array(F.collect_list("_it")).alias("_run")))
         merged = (runs.groupBy(holder, date)
-                  .agg(F.array_sort(F.flatten(F.collect_list("_run"))).alias("_items")))
+                  .agg(F.sort_array(F.flatten(F.collect_list("_run"))).alias("_items")))
     else:
-        merged = rows.groupBy(holder, date).agg(F.array_sort(F.collect_list("_it")).alias("_items"))
+        merged = rows.groupBy(holder, date).agg(F.sort_array(F.collect_list("_it")).alias("_items"))
     return merged.select(holder, date, F.transform("_items", lambda x: x["s"]).alias("symbols"))
 
 

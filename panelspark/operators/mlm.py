@@ -68,7 +68,7 @@ def token_ids(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, col: str =
     lk = _lookup_table(vocab, max_broadcast)
     info = info or vocab_info(vocab)
     j = long.join(lk, "_tok", "left").withColumn("_id", F.coalesce(F.col("_id"), F.lit(info["unk_id"])))
-    return (j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "_id"))).alias("_p"))
+    return (j.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_id"))).alias("_p"))
             .select(*keys, F.transform("_p", lambda x: x["_id"]).alias("input_ids")))
 
 

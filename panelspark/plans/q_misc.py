@@ -233,7 +233,7 @@ def sca05_kv_map(spark, sf_dir):
     l = V.table(spark, sf_dir, "lineitem")
     kv = F.concat_ws("=", "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string"))
     lists = (l.groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+             .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                                        kv.alias("kv")))).alias("_items"))
              .select("l_orderkey", F.transform("_items", lambda x: x["kv"]).alias("args")))
     m = lists.select("l_orderkey", S.kv_list_to_map("args").alias("m"))
