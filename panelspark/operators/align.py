@@ -37,18 +37,20 @@ def common_labels(a: DataFrame, b: DataFrame, dim: str | None = None) -> DataFra
 
 
 def restrict_panel(panel: DataFrame, common: DataFrame) -> DataFrame:
-    """ALN-3: keep the common dates, stocks and factors."""
+    """ALN-3: keep the common dates, stocks and factors (three bounded
+    broadcast semi joins, applied map-side in one stage)."""
+    sizes = {r["dim"]: r["n"] for r in common.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     dates = common.filter(F.col("dim") == "dates").select(F.col("value").cast("date").alias("value"))
     stocks = common.filter(F.col("dim") == "stocks").select("value")
     factors = common.filter(F.col("dim") == "factors").select("value")
-    out = P.restrict(panel, "date", dates)
-    out = P.restrict(out, "stock", stocks)
-    return P.restrict(out, "factor", factors)
+    out = P.restrict(panel, "date", dates, axis_rows=sizes.get("dates", 0))
+    out = P.restrict(out, "stock", stocks, axis_rows=sizes.get("stocks", 0))
+    return P.restrict(out, "factor", factors, axis_rows=sizes.get("factors", 0))
 
 
 def dates_with_data(left: DataFrame, right: DataFrame) -> DataFrame:
     """ALN-4: common dates that have rows on both sides."""
-    return (left.select("date").distinct().join(right.select("date").distinct(), "date")
+    return (left.select("date").distinct().intersect(right.select("date").distinct())
             .select(F.col("date").alias("value")))
 
 
@@ -74,10 +76,11 @@ def align(left: DataFrame, right: DataFrame, left_axes: DataFrame | None = None,
     """
     la = left_axes if left_axes is not None else panel_axes(left)
     ra = right_axes if right_axes is not None else panel_axes(right)
-    common = common_labels(la, ra)
+    common = P.materialize(common_labels(la, ra))          # small: the common labels
     lr, rr = restrict_panel(left, common), restrict_panel(right, common)
-    both = dates_with_data(lr, rr)
-    return common, P.restrict(lr, "date", both), P.restrict(rr, "date", both)
+    both = P.materialize(dates_with_data(lr, rr))
+    n = both.count()
+    return common, P.restrict(lr, "date", both, axis_rows=n), P.restrict(rr, "date", both, axis_rows=n)
 
 
 def missing_stocks(panel: DataFrame, dates: DataFrame, stocks: DataFrame, strict: bool = False) -> DataFrame:

@@ -22,9 +22,13 @@ from panelspark.functions.rand import normal
 
 
 def train_word2vec(sent: DataFrame, col: str = "tokens", vector_size: int = 100, window: int = 5,
-                   min_count: int = 1, max_iter: int = 10, seed: int = 42, num_partitions: int = 1,
+                   min_count: int = 1, max_iter: int = 10, seed: int = 42, num_partitions: int = 4,
                    step_size: float = 0.025, max_sentence_length: int = 1000):
-    """EMB-1: fit Word2Vec; returns (model, vectors (token, vector ARRAY<DOUBLE>))."""
+    """EMB-1: fit Word2Vec; returns (model, vectors (token, vector ARRAY<DOUBLE>)).
+
+    ``num_partitions`` plays the part of the reference's 4 worker threads
+    (Spark trains one model per partition and averages them each pass).
+    """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 

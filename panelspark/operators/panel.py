@@ -72,17 +72,28 @@ def file_axis(files: DataFrame, key: str = "file_key") -> DataFrame:
     return files.select(F.col(key).alias("value")).distinct()
 
 
+def materialize(small: DataFrame) -> DataFrame:
+    """Compute a small derived table once (reliable checkpoint in the shared
+    checkpoint folder), so size checks and later joins read it instead of
+    recomputing it from the big input."""
+    from panelspark.session import checkpoint_dir
+    checkpoint_dir(small.sparkSession)
+    return small.checkpoint(eager=True)
+
+
 def restrict(df: DataFrame, col: str, axis: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
              axis_rows: int | None = None) -> DataFrame:
     """Keep rows whose ``col`` is on the axis (semi join).
 
     The axis is broadcast only under a proven bound: ``axis_rows`` when the
-    caller knows it, else one count job.  Above the bound the semi join
-    shuffles both sides.
+    caller knows it, else the axis is materialized once and counted.  Above
+    the bound the semi join shuffles both sides.
     """
     a = axis.select(F.col("value").alias(col)).distinct()
-    n = axis_rows if axis_rows is not None else a.count()
-    return df.join(F.broadcast(a) if n <= max_broadcast_rows else a, on=col, how="left_semi")
+    if axis_rows is None:
+        a = materialize(a)
+        axis_rows = a.count()
+    return df.join(F.broadcast(a) if axis_rows <= max_broadcast_rows else a, on=col, how="left_semi")
 
 
 def select_factors(panel: DataFrame, factors: DataFrame) -> DataFrame:
@@ -109,26 +120,43 @@ def pivot_values(axis: DataFrame, spark_conf_max: int | None = None) -> list[str
 
 
 def cross_section(panel: DataFrame, factors: Sequence[str]) -> DataFrame:
-    """PAN-7: per (date, stock) one row, one column per factor."""
-    return (panel.groupBy("date", "stock").pivot("factor", list(factors))
-            .agg(F.first("value", ignorenulls=False)))
+    """PAN-7: per (date, stock) one row, one column per factor.
+
+    A (date, stock, factor) key is unique in a valid panel (``assert_unique``);
+    ``max`` keeps the result deterministic if it is not.
+    """
+    return panel.groupBy("date", "stock").pivot("factor", list(factors)).agg(F.max("value"))
 
 
-def reindex_dense(wide: DataFrame, dates: DataFrame, stocks: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """PAN-8: a row for every kept (date, stock), null cells where absent.
+def dense_grid(dates: DataFrame, stocks: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Every kept (date, stock) pair.
 
     The output has |dates| x |stocks| rows by definition (the reference
-    writes every kept stock for every date), so the pairs are generated:
-    the stock axis is broadcast after a size check and each task expands
-    its own dates, without a shuffle; the data is then left-joined.
+    writes every kept stock for every date).  The stock axis is materialized,
+    checked against the bound and broadcast; each task expands its own
+    dates, without a shuffle.  This is the library's only cartesian product.
     """
-    s = stocks.select(F.col("value").alias("stock")).distinct()
+    s = materialize(stocks.select(F.col("value").cast("string").alias("stock")).distinct())
     n = s.count()
     if n > max_broadcast_rows:
         raise ValueError(f"stock axis of {n} labels is over the broadcast bound {max_broadcast_rows}")
-    grid = dates.select(F.col("value").alias("date")).distinct().crossJoin(F.broadcast(s))
-    return grid.join(wide, ["date", "stock"], "left")
+    return dates.select(F.col("value").alias("date")).distinct().crossJoin(F.broadcast(s))
+
+
+def dense_cross_section(panel: DataFrame, factors: Sequence[str], dates: DataFrame, stocks: DataFrame,
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """PAN-7 + PAN-8 in one aggregation: the grid rows (no factor, no value)
+    are unioned with the panel, so the pivot emits every kept pair and no
+    join is needed."""
+    grid = dense_grid(dates, stocks, max_broadcast_rows).select(
+        "date", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast("double").alias("value"))
+    return cross_section(panel.select("date", "stock", "factor", "value").unionByName(grid), factors)
+
+
+def reindex_dense(wide: DataFrame, dates: DataFrame, stocks: DataFrame,
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """PAN-8 for an existing wide table: left join onto the grid."""
+    return dense_grid(dates, stocks, max_broadcast_rows).join(wide, ["date", "stock"], "left")
 
 
 def transpose_cells(cells: DataFrame) -> DataFrame:

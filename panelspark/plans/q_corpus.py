@@ -247,9 +247,13 @@ SELECT holder, end_date, sample_idx, sample_idx // 32 AS batch_id FROM o"""
 
 # ---------------------------------------------------------------- EMB
 def emb01_word2vec(spark, sf_dir):
-    """Trained vectors (shape and norms); Spark's Word2Vec differs from the
-    reference's trainer, so there is no SQL oracle."""
-    _, vec = EM.train_word2vec(_sent(spark, sf_dir), vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED)
+    """Trained vectors (shape and norms) with the reference trainer's
+    settings: frequent tokens subsampled (sample 1e-3, TOK-10), dim 100,
+    window 5, min count 1, 10 passes, 4 partitions for its 4 workers.
+    Spark's Word2Vec differs from the reference's trainer, so there is no
+    SQL oracle."""
+    sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
+    _, vec = EM.train_word2vec(sub, vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED, num_partitions=4)
     return vec.select("token", F.size("vector").alias("n_dims"),
                       F.round(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
 

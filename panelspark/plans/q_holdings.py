@@ -129,6 +129,24 @@ def hld06_baskets_unsalted(spark, sf_dir):
                     basket_text("symbols").alias("holdings"))
 
 
+def hld06_baskets_salted(spark, sf_dir):
+    b = H.baskets(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares", salt_buckets=16)
+    return b.select("holder", "end_date", F.size("symbols").alias("n_symbols"),
+                    basket_text("symbols").alias("holdings"))
+
+
+def hld06_basket_items(spark, sf_dir):
+    """Skew-safe long form: (holder, end_date, rank, symbol, shares)."""
+    return H.basket_items(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares")
+
+
+HLD06_ITEMS_SQL = f"""
+WITH h AS ({V_HOLD_SQL})
+SELECT holder, end_date, row_number() OVER (PARTITION BY holder, end_date ORDER BY shares DESC, symbol) - 1 AS rank,
+       symbol, shares
+FROM h"""
+
+
 # ---------------------------------------------------------------- HLD-9 (whole pipeline)
 def hld09_pipeline_baskets(spark, sf_dir):
     _, _, b = H.holdings_pipeline(V.v_filing(spark, sf_dir))
@@ -219,6 +237,8 @@ QUERIES = {
     "hld05_valid_holders": hld05_valid_holders,
     "hld06_baskets": hld06_baskets,
     "hld06_baskets_unsalted": hld06_baskets_unsalted,
+    "hld06_baskets_salted": hld06_baskets_salted,
+    "hld06_basket_items": hld06_basket_items,
     "hld08_date_order": hld08_date_order,
     "hld09_pipeline_baskets": hld09_pipeline_baskets,
     "hld09_pipeline_industries": hld09_pipeline_industries,
@@ -235,6 +255,8 @@ ORACLE = {
     "hld05_valid_holders": HLD05_SQL,
     "hld06_baskets": HLD06_SQL,
     "hld06_baskets_unsalted": HLD06_SQL,
+    "hld06_baskets_salted": HLD06_SQL,
+    "hld06_basket_items": HLD06_ITEMS_SQL,
     "hld08_date_order": HLD08_SQL,
     "hld09_pipeline_baskets": HLD09_SQL,
     "hld09_pipeline_industries": HLD02_SQL,

@@ -220,9 +220,10 @@ PAN07_SQL = _pivot_sql(_keyed_by("factor", ["date", "stock"]))
 
 
 def pan08_reindex_dense(spark, sf_dir):
-    conv, _, wide = _wide2(spark, sf_dir)
+    conv = L.layout2(pool2(spark, sf_dir))
+    factors = P.pivot_values(conv.factors)
     dates = conv.dates.select(F.to_date("value").alias("value"))
-    return P.reindex_dense(wide, dates, conv.stocks)
+    return P.dense_cross_section(conv.panel, factors, dates, conv.stocks)
 
 
 PAN08_SQL = f"""WITH k AS ({_keyed_by("factor", ["date", "stock"])}),

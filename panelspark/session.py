@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

@@ -117,11 +117,10 @@ def cross_sections(conv: Converted) -> DataFrame:
     """Wide rows (date, stock, f1..fk) of a converted panel, reindexed to
     every kept stock where the layout says so (PAN-7, PAN-8)."""
     factors = P.pivot_values(conv.factors)
-    wide = P.cross_section(conv.panel, factors)
     if conv.dense:
-        dates = conv.panel.select(F.col("date").alias("value")).distinct()
-        wide = P.reindex_dense(wide, dates, conv.stocks)
-    return wide
+        dates = P.materialize(conv.panel.select(F.col("date").alias("value")).distinct())
+        return P.dense_cross_section(conv.panel, factors, dates, conv.stocks)
+    return P.cross_section(conv.panel, factors)
 
 
 def write_cross_sections(conv: Converted, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
