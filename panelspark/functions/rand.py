@@ -24,16 +24,27 @@ def hash_key(seed: int, stream: str, *parts: Column | str) -> Column:
     return F.concat_ws(":", *cols)
 
 
+def digest(seed: int, stream: str, *parts: Column | str) -> Column:
+    """32 hex digits: four independent 32-bit draws from one md5."""
+    return F.md5(hash_key(seed, stream, *parts))
+
+
+def uniform_at(h: Column, k: int = 0) -> Column:
+    """The ``k``-th (0..3) U[0, 1) draw of a digest."""
+    if not 0 <= k <= 3:
+        raise ValueError("a digest holds four draws")
+    return F.conv(F.substring(h, 1 + 8 * k, 8), 16, 10).cast("bigint").cast("double") / F.lit(TWO_POW_32)
+
+
 def uniform(seed: int, stream: str, *parts: Column | str) -> Column:
     """U[0, 1) from the key ``seed:stream:parts...``."""
-    h = F.substring(F.md5(hash_key(seed, stream, *parts)), 1, 8)
-    return F.conv(h, 16, 10).cast("bigint").cast("double") / F.lit(TWO_POW_32)
+    return uniform_at(digest(seed, stream, *parts), 0)
 
 
-def uniform_sql(seed: int, stream: str, *parts_sql: str) -> str:
+def uniform_sql(seed: int, stream: str, *parts_sql: str, k: int = 0) -> str:
     """The same draw as DuckDB SQL text (for oracles)."""
     key = " || ':' || ".join([f"'{seed}'", f"'{stream}'"] + [f"CAST({p} AS VARCHAR)" for p in parts_sql])
-    return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr(md5({key}), {1 + 8 * k}, 8)) AS BIGINT) / 4294967296.0)"
 
 
 def normal(seed: int, stream: str, *parts: Column | str, mean: Column | float = 0.0,

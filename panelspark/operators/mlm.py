@@ -23,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.rand import uniform
+from panelspark.functions.rand import digest, uniform, uniform_at
 from panelspark.operators.corpus import CLS, MASK, PAD, SEP, UNK
 from panelspark.operators.indexing import global_index
 
@@ -86,25 +86,31 @@ def training_rows(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, max_le
     ids = token_ids(sent, keys, vocab, col, max_length, max_broadcast, info)
     vocab_len, pad_id, mask_id = info["vocab_len"], F.lit(info["pad_id"]), F.lit(info["mask_id"])
     specials = F.array(*[F.lit(info[c]) for c in ("cls_id", "sep_id", "mask_id", "pad_id", "unk_id")])
-    n = F.size("input_ids")
-    padded = F.concat("input_ids", F.array_repeat(pad_id, F.greatest(F.lit(max_length) - n, F.lit(0))))   # MLM-3
-    attn = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.greatest(F.lit(max_length) - n, F.lit(0))))  # MLM-4
-    base = ids.select(*keys, padded.alias("ids"), attn.alias("attention_mask"))
-
-    def chosen(x, i):   # MLM-5 + MLM-6
-        return (~F.array_contains(specials, x)) & (uniform(seed, "mask", *keys, i) < mask_prob)
-
-    labels = F.transform("ids", lambda x, i: F.when(chosen(x, i), x).otherwise(F.lit(IGNORE_LABEL)))
-
-    def corrupt(x, i):  # MLM-7
-        to_mask = chosen(x, i) & (uniform(seed, "mask_token", *keys, i) < mask_token_prob)
-        masked = F.when(to_mask, mask_id).otherwise(x)
-        rnd = chosen(x, i) & (uniform(seed, "random", *keys, i) < random_prob)
-        rid = F.floor(uniform(seed, "random_id", *keys, i) * vocab_len).cast("int")
-        return F.when(rnd, rid).otherwise(masked)
-
-    inputs = F.transform("ids", corrupt)
-    return base.select(*keys, inputs.alias("input_ids"), "attention_mask", labels.alias("labels"))
+    # Padding positions hold [PAD], a special token, so they are never
+    # chosen: mask the real positions only, then pad (MLM-3/4) both arrays.
+    # One md5 per (row, position) gives the four draws: choose, [MASK] or
+    # not, random replacement, random id.  The digests are computed in their
+    # own array first, so the masking lambda reads them instead of hashing
+    # again for every reference.
+    hashed = ids.select(*keys, F.transform("input_ids", lambda x, i: F.struct(
+        x.alias("x"), digest(seed, "mlm", *keys, i).alias("h"))).alias("_d"))
+
+    def step(e):
+        x, h = e["x"], e["h"]
+        chosen = (~F.array_contains(specials, x)) & (uniform_at(h, 0) < mask_prob)         # MLM-5/6
+        masked = F.when(chosen & (uniform_at(h, 1) < mask_token_prob), mask_id).otherwise(x)  # MLM-7
+        rid = F.floor(uniform_at(h, 3) * vocab_len).cast("int")
+        inp = F.when(chosen & (uniform_at(h, 2) < random_prob), rid).otherwise(masked)
+        return F.struct(inp.alias("i"), F.when(chosen, x).otherwise(F.lit(IGNORE_LABEL)).alias("l"))
+
+    steps = hashed.select(*keys, F.transform("_d", step).alias("_s"))
+    n = F.size("_s")
+    fill = F.greatest(F.lit(max_length) - n, F.lit(0))
+    return steps.select(
+        *keys,
+        F.concat(F.transform("_s", lambda e: e["i"]), F.array_repeat(pad_id, fill)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), fill)).alias("attention_mask"),
+        F.concat(F.transform("_s", lambda e: e["l"]), F.array_repeat(F.lit(IGNORE_LABEL), fill)).alias("labels"))
 
 
 def rows_per_file(df: DataFrame, file_col: str = "file_name") -> DataFrame:

@@ -171,17 +171,17 @@ SELECT holder, end_date, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS in
 
 def _rows_sql(max_length, mask_prob, random_prob):
     L = max_length
-    u = lambda stream: uniform_sql(SEED, stream, "holder", "end_date", "pos")
+    u = lambda k: uniform_sql(SEED, "mlm", "holder", "end_date", "pos", k=k)
     return _ids_sql(L) + f""",
 lens AS (SELECT holder, end_date, count(*) AS n FROM ids GROUP BY ALL),
 grid AS (SELECT holder, end_date, n, unnest(range(0, {L})) AS pos FROM lens),
 full_ids AS (SELECT g.holder, g.end_date, g.pos, coalesce(i.id, (SELECT pad_id FROM info)) AS id,
                     CASE WHEN g.pos < g.n THEN 1 ELSE 0 END AS att
              FROM grid g LEFT JOIN ids i ON g.holder = i.holder AND g.end_date = i.end_date AND g.pos = i.pos),
-m AS (SELECT *, id < (SELECT mask_id FROM info) AND {u('mask')} < {mask_prob} AS chosen FROM full_ids),
+m AS (SELECT *, id < (SELECT mask_id FROM info) AND {u(0)} < {mask_prob} AS chosen FROM full_ids),
 r AS (SELECT *, CASE WHEN chosen THEN id ELSE -100 END AS label,
-        CASE WHEN chosen AND {u('random')} < {random_prob}
-             THEN CAST(floor({u('random_id')} * (SELECT vocab_len FROM info)) AS INTEGER)
+        CASE WHEN chosen AND {u(2)} < {random_prob}
+             THEN CAST(floor({u(3)} * (SELECT vocab_len FROM info)) AS INTEGER)
              WHEN chosen THEN (SELECT mask_id FROM info) ELSE id END AS input_id
       FROM m)
 SELECT holder, end_date, string_agg(CAST(input_id AS VARCHAR), ' ' ORDER BY pos) AS input_ids,
