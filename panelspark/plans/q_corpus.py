@@ -297,8 +297,49 @@ UNION ALL SELECT (SELECT nv FROM n) + 2, pos,
 UNION ALL SELECT (SELECT nv FROM n) + 3 + idx, pos, round(x, 6) FROM e WHERE idx < 2"""
 
 
+def tok02_pad_ids(spark, sf_dir):
+    from panelspark.functions.scalars import pad_id
+    p = V.table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("raw"))
+    big = p.select("p_partkey", F.concat(F.col("raw"), F.col("raw")).alias("raw"))   # 2..8 digits: never cut
+    both = p.withColumn("kind", F.lit("key")).unionByName(big.withColumn("kind", F.lit("doubled")))
+    return both.select("p_partkey", "kind", "raw", pad_id("raw").alias("padded"))
+
+
+TOK02_SQL = f"""WITH p AS (SELECT p_partkey, 'key' AS kind, CAST(p_partkey AS VARCHAR) AS raw FROM part
+  UNION ALL SELECT p_partkey, 'doubled', CAST(p_partkey AS VARCHAR) || CAST(p_partkey AS VARCHAR) FROM part)
+SELECT p_partkey, kind, raw, {_pad_sql('raw')} AS padded FROM p"""
+
+
+def tok08_special_tokens(spark, sf_dir):
+    v = _vocab(spark, sf_dir)
+    return v.filter(F.col("raw").isNull()).select("token", "index")
+
+
+TOK08_SQL = f"SELECT token, idx AS index FROM ({VOCAB_SQL}) WHERE raw IS NULL"
+
+
+def _matrix_long(spark, sf_dir):
+    vv = _vec(spark, sf_dir)
+    m = EM.embedding_matrix(vv.select("token", "index"), vv.select("token", "vector"), seed=SEED, join_on="token")
+    n = vv.select(F.count(F.lit(1))).scalar()
+    return m.select("index", F.posexplode("vector").alias("pos", "value")).select(
+        (F.col("index") - n).alias("offset"), "pos", F.round("value", 6).alias("value"))
+
+
+def emb04_mask_row(spark, sf_dir):
+    return _matrix_long(spark, sf_dir).filter(F.col("offset") == 0).select("pos", "value")
+
+
+def emb05_unk_row(spark, sf_dir):
+    return _matrix_long(spark, sf_dir).filter(F.col("offset") == 2).select("pos", "value")
+
+
 QUERIES = {
     "tok01_sentences": tok01_sentences,
+    "tok02_pad_ids": tok02_pad_ids,
+    "tok08_special_tokens": tok08_special_tokens,
+    "emb04_mask_row": emb04_mask_row,
+    "emb05_unk_row": emb05_unk_row,
     "tok04_distinct_tokens": tok04_distinct_tokens,
     "tok05_token_counts": tok05_token_counts,
     "tok06_vocabulary": tok06_vocabulary,
@@ -321,6 +362,10 @@ QUERIES = {
 
 ORACLE = {
     "tok01_sentences": TOK01_SQL,
+    "tok02_pad_ids": TOK02_SQL,
+    "tok08_special_tokens": TOK08_SQL,
+    "emb04_mask_row": f"SELECT pos, value FROM ({EMB03_SQL}) WHERE index = (SELECT count(*) FROM embeddings)",
+    "emb05_unk_row": f"SELECT pos, value FROM ({EMB03_SQL}) WHERE index = (SELECT count(*) FROM embeddings) + 2",
     "tok04_distinct_tokens": TOK04_SQL,
     "tok05_token_counts": TOK05_SQL,
     "tok06_vocabulary": TOK06_SQL,

@@ -78,6 +78,20 @@ SELECT Symbol, IndustryCode, IndustryName FROM w
 WHERE rn = 1 AND IndustryCode IS NOT NULL AND IndustryName IS NOT NULL"""
 
 
+def hld03_dropped_symbols(spark, sf_dir):
+    """Symbols whose winning (first) row lacks industry code or name."""
+    f = V.v_filing(spark, sf_dir)
+    first = H.first_wins(f, "Symbol", H.INDUSTRY_ATTRS, "row_order")
+    kept = H.industry_dimension(f)
+    return first.join(kept.select("Symbol"), "Symbol", "left_anti").select("Symbol")
+
+
+HLD03_SQL = f"""
+WITH f AS ({V_FILING_SQL}),
+w AS (SELECT *, row_number() OVER (PARTITION BY Symbol ORDER BY {_ORDER}) AS rn FROM f WHERE Symbol IS NOT NULL)
+SELECT Symbol FROM w WHERE rn = 1 AND (IndustryCode IS NULL OR IndustryName IS NULL)"""
+
+
 # ---------------------------------------------------------------- HLD-4/5
 def hld04_clean_shares(spark, sf_dir):
     f = V.v_filing(spark, sf_dir).select("ShareHolderID", "EndDate", "Symbol", "Holdshares")
@@ -233,6 +247,7 @@ QUERIES = {
     "hld_flagship_baskets": flagship,
     "hld01_holder_dimension": hld01_holder_dim,
     "hld02_industry_dimension": hld02_industry_dim,
+    "hld03_dropped_symbols": hld03_dropped_symbols,
     "hld04_clean_shares": hld04_clean_shares,
     "hld05_valid_holders": hld05_valid_holders,
     "hld06_baskets": hld06_baskets,
@@ -251,6 +266,7 @@ ORACLE = {
     "hld_flagship_baskets": FLAGSHIP_SQL,
     "hld01_holder_dimension": HLD01_SQL,
     "hld02_industry_dimension": HLD02_SQL,
+    "hld03_dropped_symbols": HLD03_SQL,
     "hld04_clean_shares": HLD04_SQL,
     "hld05_valid_holders": HLD05_SQL,
     "hld06_baskets": HLD06_SQL,

@@ -246,7 +246,16 @@ SELECT l_orderkey, l_returnflag AS key,
 FROM lineitem GROUP BY l_orderkey, l_returnflag"""
 
 
+def sca02_format_dates(spark, sf_dir):
+    o = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return o.select("o_orderkey", S.format_date(F.col("o_orderdate").cast("date")).alias("formatted"))
+
+
+SCA02_SQL = "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS formatted FROM orders"
+
+
 QUERIES = {
+    "sca02_format_dates": sca02_format_dates,
     "sta01_summary": sta01_summary,
     "sta02_var_ddof1": sta02_var_ddof1,
     "sta03_running": sta03_running,
@@ -263,6 +272,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "sca02_format_dates": SCA02_SQL,
     "sta01_summary": STA01_SQL,
     "sta02_var_ddof1": STA02_SQL,
     "sta03_running": STA03_SQL,
