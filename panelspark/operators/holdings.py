@@ -139,18 +139,23 @@ def apply_filter(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None) ->
 
 
 def holdings_pipeline(filings: DataFrame, order: Column | str = "row_order",
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      valid_holders: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """HLD-9: (holder dimension, industry dimension, baskets).
 
     Baskets: (ShareHolderID, EndDate DATE, Holdings text), only holders in
     the dimension, shares > 0, share order.  All three are lazy; each output
     rescans the filings pruned to its own columns (persist the input if it
     is expensive to read).
+
+    HLD-5 with the dimension built from these same filings keeps exactly the
+    rows with a holder id, so no semi join (and no extra pass) is needed;
+    pass ``valid_holders`` to filter by another holder table.
     """
     holders = holder_dimension(filings, order)
     industries = industry_dimension(filings, order)
     h = clean_shares(filings.select("ShareHolderID", "EndDate", "Symbol", "Holdshares"))
-    h = valid_holdings(h, holders)
+    h = valid_holdings(h, valid_holders) if valid_holders is not None else h.filter(F.col("ShareHolderID").isNotNull())
     h = parse_end_date(h, "EndDate")
     b = baskets(h, "ShareHolderID", "EndDate", "Symbol", "Holdshares", salt_buckets)
     b = b.select("ShareHolderID", "EndDate", basket_text("symbols").alias("Holdings"))

@@ -48,24 +48,24 @@ class Converted:
     layout: int
 
 
-def _files(pool: DataFrame, files: DataFrame | None) -> DataFrame:
-    return files if files is not None else pool.select("file_key").distinct()
-
-
 def _restrict_all(pool: DataFrame, axes: dict[str, DataFrame]) -> DataFrame:
     for col, axis in axes.items():
         pool = P.restrict(pool, col, axis)
     return pool
 
 
+def _axes(pool: DataFrame, labels: dict[str, str], files: DataFrame | None) -> DataFrame:
+    return P.pool_axes(pool, "file_key", labels, files)
+
+
 def _wide(cells: DataFrame, files: DataFrame | None, key_role: str, row_role: str, col_role: str,
           layout: int) -> Converted:
     """Layouts 1 and 3: file key is one axis, the other two intersect."""
-    f = _files(cells, files)
+    ax = _axes(cells, {"row_label": "row_label", "col_label": "col_label"}, files)
     roles = {key_role: "file_key", row_role: "row_label", col_role: "col_label"}
-    axes = {"file_key": P.file_axis(f),
-            "row_label": P.axis_intersection(cells, "file_key", "row_label", f),
-            "col_label": P.axis_intersection(cells, "file_key", "col_label", f)}
+    axes = {"file_key": P.axis_from(ax, "", "files"),
+            "row_label": P.axis_from(ax, "row_label"),
+            "col_label": P.axis_from(ax, "col_label")}
     kept = _restrict_all(cells, {"row_label": axes["row_label"], "col_label": axes["col_label"]})
     pan = P.to_panel(kept, F.col(roles["date"]), F.col(roles["stock"]), F.col(roles["factor"]), F.col("value"))
     by_role = {r: axes[c] for r, c in roles.items()}
@@ -89,26 +89,25 @@ def layout5(cells: DataFrame, files: DataFrame | None = None) -> Converted:
     stocks (no reindex); factors intersect.  The transpose (PAN-9) is a
     relabelling of cells.
     """
-    f = _files(cells, files)
     t = P.transpose_cells(cells)   # rows = stocks, columns = factors
-    factors = P.axis_intersection(t, "file_key", "col_label", f)
-    stocks = P.axis_union(t, "row_label")
+    ax = _axes(t, {"stock": "row_label", "factor": "col_label"}, files)
+    factors = P.axis_from(ax, "factor")
+    stocks = P.axis_from(ax, "stock", "union")
     kept = P.restrict(t, "col_label", factors)
     pan = P.to_panel(kept, F.col("file_key"), F.col("row_label"), F.col("col_label"), F.col("value"))
-    return Converted(pan, P.file_axis(f), stocks, factors, False, 5)
+    return Converted(pan, P.axis_from(ax, "", "files"), stocks, factors, False, 5)
 
 
 def _three(pool: DataFrame, files: DataFrame | None, roles: dict[str, int | str], key_role: str,
            union_role: str | None, layout: int, dense: bool) -> Converted:
-    f = _files(pool, files)
     cols = {r: P.resolve_role(pool.drop("file_key"), c) for r, c in roles.items()}
     std = pool.select("file_key", *[F.col(c).cast("string").alias(r) if r != "value" else F.col(c).alias(r)
                                     for r, c in cols.items()])
-    axes: dict[str, DataFrame] = {key_role: P.file_axis(f)}
-    for r in ("date", "stock", "factor"):
-        if r == key_role:
-            continue
-        axes[r] = P.axis_union(std, r) if r == union_role else P.axis_intersection(std, "file_key", r, f)
+    label_roles = [r for r in ("date", "stock", "factor") if r != key_role]
+    ax = _axes(std, {r: r for r in label_roles}, files)
+    axes: dict[str, DataFrame] = {key_role: P.axis_from(ax, "", "files")}
+    for r in label_roles:
+        axes[r] = P.axis_from(ax, r, "union" if r == union_role else "intersect")
     kept = _restrict_all(std, {r: a for r, a in axes.items() if r != key_role and r != union_role})
     std_key = kept.withColumn(key_role, F.col("file_key"))
     pan = P.to_panel(std_key, F.col("date"), F.col("stock"), F.col("factor"), F.col("value"))

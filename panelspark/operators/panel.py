@@ -51,6 +51,38 @@ def axis_intersection(pool: DataFrame, key: str, label: str, files: DataFrame |
             .filter(F.col("_n") == file_count(files)).select("value"))
 
 
+def pool_axes(pool: DataFrame, key: str, labels: dict[str, str], files: DataFrame | None = None) -> DataFrame:
+    """All axes of a pool in one pass, materialized: rows (dim, value, n_files)
+    with ``n_files`` the number of files a label occurs in, plus the file
+    keys under dim ``__file`` (from ``files`` when given: empty files count).
+
+    One scan, one ``distinct`` of (file, dim, label) and one count per label,
+    both with map-side partial aggregation; the result is the size of the
+    label sets, not of the data.
+    """
+    dims = [F.struct(F.lit(name).alias("dim"), F.col(c).cast("string").alias("value")) for name, c in labels.items()]
+    per = (pool.select(F.col(key).cast("string").alias("_k"), F.explode(F.array(*dims)).alias("_a"))
+           .select("_k", F.col("_a.dim").alias("dim"), F.col("_a.value").alias("value"))
+           .filter(F.col("value").isNotNull()).distinct())
+    counts = per.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n_files"))
+    keys = (files.select(F.col(key).cast("string").alias("value")) if files is not None
+            else per.select(F.col("_k").alias("value"))).distinct()
+    keys = keys.select(F.lit("__file").alias("dim"), "value", F.lit(1).cast("long").alias("n_files"))
+    return materialize(counts.unionByName(keys))
+
+
+def axis_from(axes: DataFrame, dim: str, how: str = "intersect") -> DataFrame:
+    """One axis of ``pool_axes``: ``intersect`` (in every file), ``union``
+    or ``files`` (the file keys)."""
+    if how == "files":
+        return axes.filter(F.col("dim") == "__file").select("value")
+    a = axes.filter(F.col("dim") == dim)
+    if how == "union":
+        return a.select("value")
+    total = axes.filter(F.col("dim") == "__file").select(F.count(F.lit(1))).scalar()
+    return a.filter(F.col("n_files") == total).select("value")
+
+
 def axis_union(pool: DataFrame, label: str) -> DataFrame:
     """PAN-3 / PAN-5: labels present in any file."""
     return pool.select(F.col(label).alias("value")).filter(F.col("value").isNotNull()).distinct()
