@@ -109,7 +109,7 @@ def basket_table(holdings: DataFrame, holder: str, date: str, symbol: str, share
                  min_count: int = 0, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """HLD-6/7/11: (holder, date, n_symbols, holdings text), n >= min_count."""
     b = baskets(holdings, holder, date, symbol, shares, salt_buckets)
-    out = b.select(holder, date, F.size("symbols").alias("n_symbols"), basket_text("symbols").alias("holdings"))
+    out = b.select(holder, date, F.size("symbols").cast("long").alias("n_symbols"), basket_text("symbols").alias("holdings"))
     return out.filter(F.col("n_symbols") >= min_count) if min_count else out
 
 

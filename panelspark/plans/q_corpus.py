@@ -265,7 +265,7 @@ def _vec(spark, sf_dir):
 def emb02_vector_of(spark, sf_dir):
     v = EM.vector_of(_vec(spark, sf_dir), "7")
     return v.select("token", F.posexplode("vector").alias("pos", "value")).select(
-        "token", "pos", F.round(F.col("value").cast("double"), 6).alias("value"))
+        "token", F.col("pos").cast("long").alias("pos"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 EMB02_SQL = """SELECT '7' AS token, generate_subscripts(embedding, 1) - 1 AS pos, round(CAST(unnest(embedding) AS DOUBLE), 6) AS value
@@ -276,7 +276,7 @@ def emb03_matrix(spark, sf_dir):
     vv = _vec(spark, sf_dir)
     m = EM.embedding_matrix(vv.select("token", "index"), vv.select("token", "vector"), seed=SEED, join_on="token")
     return m.select("index", F.posexplode("vector").alias("pos", "value")).select(
-        "index", "pos", F.round("value", 6).alias("value"))
+        "index", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 
 EMB03_SQL = f"""WITH e AS (SELECT vec_id AS idx, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS x
@@ -323,7 +323,7 @@ def _matrix_long(spark, sf_dir):
     m = EM.embedding_matrix(vv.select("token", "index"), vv.select("token", "vector"), seed=SEED, join_on="token")
     n = vv.select(F.count(F.lit(1))).scalar()
     return m.select("index", F.posexplode("vector").alias("pos", "value")).select(
-        (F.col("index") - n).alias("offset"), "pos", F.round("value", 6).alias("value"))
+        (F.col("index") - n).alias("offset"), F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 
 def emb04_mask_row(spark, sf_dir):

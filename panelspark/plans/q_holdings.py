@@ -126,7 +126,7 @@ GROUP BY ShareHolderID"""
 # ---------------------------------------------------------------- HLD-6/7
 def hld06_baskets(spark, sf_dir):
     b = H.baskets(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares")
-    return b.select("holder", "end_date", F.size("symbols").alias("n_symbols"),
+    return b.select("holder", "end_date", F.size("symbols").cast("long").alias("n_symbols"),
                     basket_text("symbols").alias("holdings"))
 
 
@@ -139,13 +139,13 @@ FROM h GROUP BY holder, end_date"""
 
 def hld06_baskets_unsalted(spark, sf_dir):
     b = H.baskets(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares", salt_buckets=1)
-    return b.select("holder", "end_date", F.size("symbols").alias("n_symbols"),
+    return b.select("holder", "end_date", F.size("symbols").cast("long").alias("n_symbols"),
                     basket_text("symbols").alias("holdings"))
 
 
 def hld06_baskets_salted(spark, sf_dir):
     b = H.baskets(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares", salt_buckets=16)
-    return b.select("holder", "end_date", F.size("symbols").alias("n_symbols"),
+    return b.select("holder", "end_date", F.size("symbols").cast("long").alias("n_symbols"),
                     basket_text("symbols").alias("holdings"))
 
 
@@ -187,7 +187,7 @@ def hld08_date_order(spark, sf_dir):
     from pyspark.sql import Window
     _, _, b = H.holdings_pipeline(V.v_filing(spark, sf_dir))
     w = Window.partitionBy("ShareHolderID").orderBy("EndDate")
-    return b.select("ShareHolderID", "EndDate", F.row_number().over(w).alias("seq"))
+    return b.select("ShareHolderID", "EndDate", F.row_number().over(w).cast("long").alias("seq"))
 
 
 HLD08_SQL = f"""
@@ -205,7 +205,7 @@ def _text_baskets(spark, sf_dir):
 
 
 def hld10_count_elements(spark, sf_dir):
-    b = H.count_elements(_text_baskets(spark, sf_dir))
+    b = H.count_elements(_text_baskets(spark, sf_dir)).withColumn("n_elements", F.col("n_elements").cast("long"))
     return b.groupBy("n_elements").agg(F.count("*").alias("n_baskets"))
 
 

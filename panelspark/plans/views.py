@@ -106,4 +106,5 @@ def v_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V_LOG: epoch = day of month of ts, step = event_id, loss = value."""
     e = table(spark, sf_dir, "events").select("ts", "event_id", "value")
-    return e.select(F.dayofmonth("ts").alias("epoch"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
+    return e.select(F.dayofmonth("ts").cast("long").alias("epoch"), F.col("event_id").alias("step"),
+                    F.col("value").alias("loss"))

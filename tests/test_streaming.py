@@ -32,7 +32,7 @@ def test_epoch_report_stream_matches_batch(spark, tmp_path):
     log = V.v_log(spark, "/root/testdata/sf0.001")
     src = str(tmp_path / "log")
     log.repartition(4).write.parquet(src)
-    q = S.run_epoch_report(spark, src, "epoch int, step long, loss double", report_every=5,
+    q = S.run_epoch_report(spark, src, "epoch long, step long, loss double", report_every=5,
                            query_name="er_test", checkpoint=str(tmp_path / "ck"))
     q.awaitTermination(120)
     got = {r.epoch: (r.n_steps, round(r.loss_mean, 9)) for r in spark.sql("SELECT * FROM er_test").collect()}
