@@ -127,13 +127,26 @@ def file_offsets(per_file: DataFrame, file_col: str = "file_name") -> DataFrame:
     return per_file.select(file_col, "n_rows", F.coalesce(F.sum("n_rows").over(w), F.lit(0)).alias("offset"))
 
 
-def locate(indexes: DataFrame, offsets: DataFrame, idx_col: str = "idx", file_col: str = "file_name") -> DataFrame:
-    """MLM-10 part 2: global index -> (file, line) by a range join on
-    ``offset <= idx < offset + n_rows``; the file table is broadcast (one
-    row per file).  Out-of-range indexes get nulls."""
-    o = F.broadcast(offsets.select(F.col(file_col).alias("_f"), F.col("offset").alias("_o"), F.col("n_rows").alias("_n")))
-    cond = (F.col(idx_col) >= F.col("_o")) & (F.col(idx_col) < F.col("_o") + F.col("_n"))
-    j = indexes.join(o, cond, "left")
+def locate(indexes: DataFrame, offsets: DataFrame, idx_col: str = "idx", file_col: str = "file_name",
+           max_buckets: int = 1_000_000) -> DataFrame:
+    """MLM-10 part 2: global index -> (file, line) where
+    ``offset <= idx < offset + n_rows``.  Out-of-range indexes get nulls.
+
+    A range join as an equi-join: indexes fall into buckets of width
+    ``B = ceil(total / max_buckets)``; each file's range is exploded into
+    the buckets it covers (at most ``max_buckets + #files`` rows, checked
+    bound, broadcast), so every index meets at most a few candidate files
+    instead of all of them.
+    """
+    total = int(offsets.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0])
+    width = max(1, -(-total // max_buckets))
+    o = offsets.filter(F.col("n_rows") > 0).select(
+        F.col(file_col).alias("_f"), F.col("offset").alias("_o"), F.col("n_rows").alias("_n"))
+    o = o.select("*", F.explode(F.sequence(F.floor(F.col("_o") / width),
+                                           F.floor((F.col("_o") + F.col("_n") - 1) / width))).alias("_b"))
+    keyed = indexes.withColumn("_b", F.floor(F.col(idx_col) / width))
+    cond = ((keyed["_b"] == o["_b"]) & (F.col(idx_col) >= F.col("_o")) & (F.col(idx_col) < F.col("_o") + F.col("_n")))
+    j = keyed.join(F.broadcast(o), cond, "left")
     return j.select(*indexes.columns, F.col("_f").alias(file_col), (F.col(idx_col) - F.col("_o")).alias("line"))
 
 

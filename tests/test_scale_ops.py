@@ -128,6 +128,15 @@ def test_locate_global_index(spark):
     got = {r.idx: (r.file_name, r.line) for r in M.locate(idx, off).collect()}
     assert got[0] == ("a", 0) and got[2] == ("b", 0) and got[5] == ("c", 0) and got[8] == ("c", 3)
     assert got[9] == (None, None)
+    wide = {r.idx: (r.file_name, r.line) for r in M.locate(idx, off, max_buckets=2).collect()}
+    assert wide == got                               # buckets of width 5 give the same answer
+
+
+def test_locate_plan_is_equi_join(spark):
+    from panelspark.plans.inspect import plan_text
+    per_file = spark.createDataFrame([("a", 2), ("b", 3)], "file_name string, n_rows long")
+    t = plan_text(M.locate(spark.range(0, 5).withColumnRenamed("id", "idx"), M.file_offsets(per_file)))
+    assert "BroadcastHashJoin" in t and "NestedLoop" not in t
 
 
 def test_subsample_keeps_rare_drops_frequent(spark):
