@@ -48,9 +48,10 @@ class Converted:
     layout: int
 
 
-def _restrict_all(pool: DataFrame, axes: dict[str, DataFrame]) -> DataFrame:
+def _restrict_all(pool: DataFrame, axes: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
+    """Semi join per axis; ``sizes`` (known label counts) skips re-counting."""
     for col, axis in axes.items():
-        pool = P.restrict(pool, col, axis)
+        pool = P.restrict(pool, col, axis, axis_rows=(sizes or {}).get(col))
     return pool
 
 
@@ -66,7 +67,9 @@ def _wide(cells: DataFrame, files: DataFrame | None, key_role: str, row_role: st
     axes = {"file_key": P.axis_from(ax, "", "files"),
             "row_label": P.axis_from(ax, "row_label"),
             "col_label": P.axis_from(ax, "col_label")}
-    kept = _restrict_all(cells, {"row_label": axes["row_label"], "col_label": axes["col_label"]})
+    n = P.axis_sizes(ax)
+    kept = _restrict_all(cells, {"row_label": axes["row_label"], "col_label": axes["col_label"]},
+                         {c: n.get(c, {}).get("intersect", 0) for c in ("row_label", "col_label")})
     pan = P.to_panel(kept, F.col(roles["date"]), F.col(roles["stock"]), F.col(roles["factor"]), F.col("value"))
     by_role = {r: axes[c] for r, c in roles.items()}
     return Converted(pan, by_role["date"], by_role["stock"], by_role["factor"], True, layout)
@@ -93,7 +96,7 @@ def layout5(cells: DataFrame, files: DataFrame | None = None) -> Converted:
     ax = _axes(t, {"stock": "row_label", "factor": "col_label"}, files)
     factors = P.axis_from(ax, "factor")
     stocks = P.axis_from(ax, "stock", "union")
-    kept = P.restrict(t, "col_label", factors)
+    kept = P.restrict(t, "col_label", factors, axis_rows=P.axis_sizes(ax).get("factor", {}).get("intersect", 0))
     pan = P.to_panel(kept, F.col("file_key"), F.col("row_label"), F.col("col_label"), F.col("value"))
     return Converted(pan, P.axis_from(ax, "", "files"), stocks, factors, False, 5)
 
@@ -108,7 +111,9 @@ def _three(pool: DataFrame, files: DataFrame | None, roles: dict[str, int | str]
     axes: dict[str, DataFrame] = {key_role: P.axis_from(ax, "", "files")}
     for r in label_roles:
         axes[r] = P.axis_from(ax, r, "union" if r == union_role else "intersect")
-    kept = _restrict_all(std, {r: a for r, a in axes.items() if r != key_role and r != union_role})
+    n = P.axis_sizes(ax)
+    kept = _restrict_all(std, {r: a for r, a in axes.items() if r != key_role and r != union_role},
+                         {r: n.get(r, {}).get("intersect", 0) for r in label_roles})
     std_key = kept.withColumn(key_role, F.col("file_key"))
     pan = P.to_panel(std_key, F.col("date"), F.col("stock"), F.col("factor"), F.col("value"))
     return Converted(pan, axes["date"], axes["stock"], axes["factor"], dense, layout)

@@ -83,6 +83,16 @@ def axis_from(axes: DataFrame, dim: str, how: str = "intersect") -> DataFrame:
     return a.filter(F.col("n_files") == total).select("value")
 
 
+def axis_sizes(axes: DataFrame) -> dict[str, dict[str, int]]:
+    """Label counts of a materialized ``pool_axes`` table, per dim: all
+    labels (``union``) and labels in every file (``intersect``).  One small
+    aggregation over the label table."""
+    total = axes.filter(F.col("dim") == "__file").count()
+    rows = axes.groupBy("dim").agg(F.count(F.lit(1)).alias("u"),
+                                   F.count_if(F.col("n_files") == total).alias("i")).collect()
+    return {r["dim"]: {"union": r["u"], "intersect": r["i"], "files": total} for r in rows}
+
+
 def axis_union(pool: DataFrame, label: str) -> DataFrame:
     """PAN-3 / PAN-5: labels present in any file."""
     return pool.select(F.col(label).alias("value")).filter(F.col("value").isNotNull()).distinct()
