@@ -63,19 +63,24 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _feather_schema(path: str):
+    """Schema from the footer of the first Feather file (any ``pyarrow.fs``
+    file system: local, HDFS, object stores)."""
     import pyarrow.feather as feather
+    import pyarrow.fs as pafs
     import pyarrow.ipc as ipc
-    first = path
-    if os.path.isdir(path):
-        files = sorted(f for f in os.listdir(path) if f.endswith(".feather"))
+    fs, base = pafs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+    first = base
+    if fs.get_file_info(base).type == pafs.FileType.Directory:
+        infos = fs.get_file_info(pafs.FileSelector(base))
+        files = sorted(i.path for i in infos if i.path.endswith(".feather"))
         if not files:
             raise FileNotFoundError(f"no .feather files in {path}")
-        first = os.path.join(path, files[0])
-    try:
-        with ipc.open_file(first) as r:
-            return r.schema
-    except Exception:  # noqa: BLE001  (feather v1)
-        return feather.read_table(first).schema
+        first = files[0]
+    with fs.open_input_file(first) as fh:
+        try:
+            return ipc.open_file(fh).schema
+        except Exception:  # noqa: BLE001  (feather v1)
+            return feather.read_table(fh).schema
 
 
 def read_feather(spark: SparkSession, path: str, schema: str | StructType | None = None,
@@ -212,19 +217,15 @@ def read_filings(spark: SparkSession, folder: str) -> DataFrame:
 def read_w2v_text(spark: SparkSession, path: str) -> DataFrame:
     """SRC-8: word2vec text vectors -> (token, vector ARRAY<FLOAT>).
 
-    The header line ``n dim`` is told apart by its field count (dim + 1 for
-    vector lines); ``dim`` is read from the first line of the first file.
+    The header ``n dim`` has two fields, a vector line ``dim + 1``; vector
+    lines are the longest lines (a scalar subquery), so no file is opened on
+    the driver.  Vectors need at least two dimensions to be told apart.
     """
-    first = path
-    if os.path.isdir(path):
-        first = os.path.join(path, sorted(f for f in os.listdir(path) if not f.startswith(("_", ".")))[0])
-    with open(first, encoding="utf-8") as fh:
-        head = fh.readline().split()
-    dim = int(head[1])
     lines = spark.read.text(path).select(F.split(F.trim("value"), " ").alias("f"))
-    vec = lines.filter(F.size("f") == dim + 1)
+    widest = lines.select(F.max(F.size("f"))).scalar()
+    vec = lines.filter((F.size("f") == widest) & (F.size("f") > 2))
     return vec.select(F.col("f")[0].alias("token"),
-                      F.transform(F.slice("f", 2, dim), lambda x: x.cast("float")).alias("vector"))
+                      F.transform(F.slice("f", 2, F.size("f") - 1), lambda x: x.cast("float")).alias("vector"))
 
 
 def read_alias(spark: SparkSession, path: str) -> DataFrame:
