@@ -179,15 +179,22 @@ def dense_grid(dates: DataFrame, stocks: DataFrame, max_broadcast_rows: int = DE
     """Every kept (date, stock) pair.
 
     The output has |dates| x |stocks| rows by definition (the reference
-    writes every kept stock for every date).  The stock axis is materialized,
-    checked against the bound and broadcast; each task expands its own
-    dates, without a shuffle.  This is the library's only cartesian product.
+    writes every kept stock for every date).  The stock axis is numbered
+    0..n-1 (range-partitioned global index) and checked against the bound;
+    each date row expands ``sequence(0, n-1)`` in its own task, and the
+    numbers are resolved by a broadcast equi-join on the small axis.  No
+    shuffle of the grid and no nested-loop join.
     """
-    s = materialize(stocks.select(F.col("value").cast("string").alias("stock")).distinct())
+    from panelspark.operators.indexing import global_index
+    s = global_index(stocks.select(F.col("value").cast("string").alias("stock")).distinct(), ["stock"], "_si")
     n = s.count()
     if n > max_broadcast_rows:
         raise ValueError(f"stock axis of {n} labels is over the broadcast bound {max_broadcast_rows}")
-    return dates.select(F.col("value").alias("date")).distinct().crossJoin(F.broadcast(s))
+    d = dates.select(F.col("value").alias("date")).distinct()
+    if n == 0:
+        return d.select("date", F.lit(None).cast("string").alias("stock")).filter(F.lit(False))
+    grid = d.select("date", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_si"))
+    return grid.join(F.broadcast(s), "_si").select("date", "stock")
 
 
 def dense_cross_section(panel: DataFrame, factors: Sequence[str], dates: DataFrame, stocks: DataFrame,
