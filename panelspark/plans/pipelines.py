@@ -27,27 +27,30 @@ def read_layout(spark: SparkSession, layout: int, input_path: str, fmt: str = "c
         files = R.list_files(spark, input_path, fmt)
         return L.convert(layout, cells, files=files)
     if layout == 7:
-        table = R.read_auto(spark, input_path) if os.path.isfile(input_path) else (
-            R.read_csv(spark, input_path) if fmt == "csv" else spark.read.format(fmt).load(input_path))
-        return L.layout7(table, **roles)[0]
+        return L.layout7(_big_table(spark, input_path, fmt), **roles)[0]
     pool = R.read_keyed_folder(spark, input_path, fmt)
     files = R.list_files(spark, input_path, fmt)
     return L.convert(layout, pool, files=files, **roles)
 
 
+def _big_table(spark: SparkSession, input_path: str, fmt: str) -> DataFrame:
+    if os.path.isfile(input_path):
+        return R.read_auto(spark, input_path)
+    return R.read_csv(spark, input_path) if fmt == "csv" else spark.read.format(fmt).load(input_path)
+
+
 def convert_files(spark: SparkSession, layout: int, input_path: str, output_path: str, input_format: str = "csv",
                   output_format: str = "parquet", **roles) -> L.Converted:
     """LAY-8 / E1: read -> axes -> cross-sections per date -> manifest."""
-    conv = read_layout(spark, layout, input_path, input_format, **roles)
     if layout == 7:
-        _, wide = L.layout7(R.read_csv(spark, input_path) if input_format == "csv"
-                            else spark.read.format(input_format).load(input_path), **roles)
+        conv, wide = L.layout7(_big_table(spark, input_path, input_format), **roles)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         out = wide.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
         w = out.repartitionByRange(n, "date", "stock").sortWithinPartitions("date", "stock").write.mode("overwrite")
         w = w.partitionBy("date")
         (w.option("header", True).csv(output_path) if output_format == "csv" else w.format(output_format).save(output_path))
     else:
+        conv = read_layout(spark, layout, input_path, input_format, **roles)
         W.write_cross_sections(conv, output_path, output_format)
     W.write_manifest(conv, os.path.join(output_path, "_manifest"), layout=layout, input_path=input_path,
                      output_path=output_path, input_format=input_format, output_format=output_format)
