@@ -55,7 +55,6 @@ class _FeatherWriter(DataSourceArrowWriter):
         self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator) -> _Written:
-        import pyarrow as pa
         import pyarrow.fs as pafs
         import pyarrow.ipc as ipc
         from pyspark import TaskContext

@@ -1,7 +1,5 @@
 """Word2Vec (EMB-1) and the embedding matrix (EMB-3..5), vector text I/O."""
 import numpy as np
-import pytest
-from pyspark.sql import functions as F
 
 from panelspark.operators import corpus as C
 from panelspark.operators import embed as EM

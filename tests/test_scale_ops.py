@@ -1,11 +1,9 @@
 """Skew-safe indexing, running statistics, masking and batching against
 brute force on small fixtures."""
-import math
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from panelspark.operators import corpus as C
 from panelspark.operators import indexing as I

@@ -1,6 +1,5 @@
 """Structured Streaming: incremental filing ingest and the loss report."""
 
-from pyspark.sql import functions as F
 
 from panelspark.streaming import ingest as S
 from panelspark.plans import views as V
