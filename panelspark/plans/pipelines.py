@@ -101,6 +101,19 @@ def training_inputs(spark: SparkSession, merged_dir: str, keys=("ShareHolderID",
     return C.sentences(df, "Holdings", keep=list(keys))
 
 
+def dataset_index(spark: SparkSession, merged_dir: str) -> tuple[DataFrame, DataFrame]:
+    """MLM-9/10 on files: (rows per file with cumulative offsets, rows with
+    their global index).  Files are in name order; a row's position in its
+    file follows the file's reading order (split start, position)."""
+    from panelspark.operators.indexing import global_index
+    df = R.read_csv(spark, os.path.join(merged_dir, "*.csv"), schema="ShareHolderID string, EndDate string, Holdings string")
+    df = df.select("*", F.col("_metadata.file_name").alias("file_name"),
+                   F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos"))
+    offsets = M.file_offsets(M.rows_per_file(df))
+    rows = global_index(df, ["file_name", "_block", "_pos"], "idx").drop("_block", "_pos")
+    return offsets, rows
+
+
 def training_set(sent: DataFrame, keys=("ShareHolderID", "EndDate"), max_length: int = 50, batch_size: int = 32,
                  seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """E3: (vocabulary, training rows with batch ids)."""

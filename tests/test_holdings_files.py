@@ -95,3 +95,21 @@ def test_filings_row_order_first_wins_across_files(spark, tmp_path):
     # 2019.csv is read before 2020.csv for first-wins: H1's first row is in 2019.csv
     dim = {r.ShareHolderID: r.SystematicsID for r in H.holder_dimension(f).collect()}
     assert dim["H1"] == "s1"
+
+
+def test_training_pipeline_from_files(spark, tmp_path):
+    merged = tmp_path / "merged"
+    merged.mkdir()
+    (merged / "merged_0.csv").write_text("ShareHolderID,EndDate,Holdings\n"
+                                         'H1,2020-03-31,"[1, 600614, 3]"\nH2,2020-03-31,"[600614, 3]"\nH3,2020-03-31,bad\n')
+    (merged / "merged_1.csv").write_text("ShareHolderID,EndDate,Holdings\n" + 'H4,2020-06-30,"[3]"\n')
+    sent = PL.training_inputs(spark, str(merged))
+    assert sent.count() == 3                                  # the bad row is rejected
+    vocab, rows = PL.training_set(sent, max_length=6, batch_size=2)
+    got = rows.collect()
+    assert len(got) == 3 and all(len(r.input_ids) == 6 for r in got)
+    assert sorted(r.batch_id for r in got) == [0, 0, 1]
+    offsets, indexed = PL.dataset_index(spark, str(merged))
+    off = {r.file_name: (r.n_rows, r.offset) for r in offsets.collect()}
+    assert off == {"merged_0.csv": (3, 0), "merged_1.csv": (1, 3)}
+    assert sorted(r.idx for r in indexed.collect()) == [0, 1, 2, 3]
