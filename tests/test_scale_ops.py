@@ -158,3 +158,25 @@ def test_alias_last_wins_and_encode_decode(spark):
     assert ids["Nope"] == info["unk_id"] and ids["Alpha"] != info["unk_id"] and ids["2"] != info["unk_id"]
     dec = C.decode(spark.createDataFrame([(ids["Alpha"],)], "id long"), "id", vocab, c2n, mode="name")
     assert dec.first().decoded == "Alpha"
+
+
+def test_baskets_with_a_hot_holder(spark):
+    """A third of all rows belong to one holder, most of them on one date."""
+    from panelspark.operators import holdings as H
+    rng = np.random.default_rng(11)
+    n = 6000
+    hot = rng.random(n) < 0.34
+    holder = np.where(hot, 0, rng.integers(1, 200, n))
+    date = np.where(hot & (rng.random(n) < 0.8), "2020-03-31", rng.choice(["2020-06-30", "2020-09-30"], n))
+    pdf = pd.DataFrame({"h": holder.astype("int64"), "d": date, "s": [f"{x:06d}" for x in rng.integers(0, 500, n)],
+                        "q": rng.integers(1, 50, n).astype("float64")})
+    df = spark.createDataFrame(pdf)
+    plain = {(r.h, r.d): r.symbols for r in H.baskets(df, "h", "d", "s", "q").collect()}
+    salted = {(r.h, r.d): r.symbols for r in H.baskets(df, "h", "d", "s", "q", salt_buckets=8).collect()}
+    assert plain == salted
+    want = {k: list(g.sort_values(["q", "s"], ascending=[False, True])["s"]) for k, g in pdf.groupby(["h", "d"])}
+    assert plain == want
+    items = H.basket_items(df, "h", "d", "s", "q", num_partitions=6).toPandas()
+    rebuilt = {k: list(g.sort_values("rank")["s"]) for k, g in items.groupby(["h", "d"])}
+    assert rebuilt == want
+    assert (items.groupby(["h", "d"])["rank"].apply(lambda r: sorted(r) == list(range(len(r))))).all()
