@@ -42,9 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the session's ``spark.checkpoint.dir`` (or one already set on the
     context).  Only a local-mode session with neither set gets a fresh folder
     of its own; a cluster without the setting is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    machine-local folder would not survive the loss of an executor.  A
+    session without a local SparkContext (Spark Connect) relies on the
+    server's setting.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext here)
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
