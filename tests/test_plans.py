@@ -50,3 +50,21 @@ def test_vocabulary_uses_range_partitioning(spark):
     # the tagged, checkpointed table reads back without recomputing the shuffle
     tagged = sorted_tagged(counts, [F.col("count").desc(), F.col("token")], num_partitions=4)
     assert "Exchange" not in plan_text(tagged.select("token"))
+
+
+def test_partitionless_windows_only_over_partition_offsets(spark):
+    """Global orders never put the data in one window partition: any window
+    without a partition key orders by the partition id, i.e. runs over the
+    per-partition offsets table (one row per partition)."""
+    uses_global_index = {"tok06_vocabulary", "mlm11_batches"}
+    for fn in (q_corpus.tok06_vocabulary, q_corpus.mlm11_batches, q_misc.sta03_running,
+               q_holdings.hld06_basket_items):
+        text = plan_text(fn(spark, SF), "simple")
+        seen = 0
+        for line in text.splitlines():
+            # partition-less: the window spec starts directly with an ordering
+            if "Window [" in line and re.search(r"windowspecdefinition\([^,()]*(ASC|DESC)", line):
+                seen += 1
+                assert "_pid" in line, (fn.__name__, line.strip()[:200])
+        if fn.__name__ in uses_global_index:
+            assert seen >= 1, fn.__name__  # the offsets window is there and was recognised
