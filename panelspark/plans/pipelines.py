@@ -52,8 +52,9 @@ def convert_files(spark: SparkSession, layout: int, input_path: str, output_path
     else:
         conv = read_layout(spark, layout, input_path, input_format, **roles)
         W.write_cross_sections(conv, output_path, output_format)
-    W.write_manifest(conv, os.path.join(output_path, "_manifest"), layout=layout, input_path=input_path,
-                     output_path=output_path, input_format=input_format, output_format=output_format)
+    W.write_manifest(conv, os.path.join(output_path, "_manifest"), config_json=os.path.join(output_path, "config.json"),
+                     layout=layout, input_path=input_path, output_path=output_path, input_format=input_format,
+                     output_format=output_format)
     return conv
 
 
@@ -61,7 +62,7 @@ def load_converted(spark: SparkSession, folder: str, fmt: str = "parquet") -> tu
     """ALN-6: a converted folder as (long panel, manifest axes); only dates
     listed in the manifest and present on disk are read."""
     axes = R.read_manifest(spark, os.path.join(folder, "_manifest"))
-    reader = spark.read.option("basePath", folder)
+    reader = spark.read.option("basePath", folder).option("pathGlobFilter", f"*.{fmt}")   # not config.json
     wide = (reader.option("header", True).option("inferSchema", True).csv(folder) if fmt == "csv"
             else reader.format(fmt).load(folder))
     factor_cols = [c for c in wide.columns if c not in ("date", "stock")]

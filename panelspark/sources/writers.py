@@ -158,10 +158,19 @@ def manifest(conv: Converted, layout: int, input_path: str, output_path: str, in
                     F.lit(output_format).alias("output_file_format"), arr("dates"), arr("stocks"), arr("factors"))
 
 
-def write_manifest(conv: Converted, path: str, **meta) -> None:
-    """SNK-5: ``config.json`` under the output folder."""
+def write_manifest(conv: Converted, path: str, config_json: str | None = None, **meta) -> None:
+    """SNK-5: the manifest as a Spark JSON folder at ``path`` (read back by
+    ``readers.read_manifest``) and, with ``config_json``, also as the single
+    JSON document the reference writes (``config.json``).  The manifest is
+    one row, so the copy is one small file moved by ``pyarrow.fs``."""
     m = manifest(conv, **meta)
-    (m.coalesce(1).write.mode("overwrite").json(path))
+    m.coalesce(1).write.mode("overwrite").json(path)
+    if config_json:
+        import pyarrow.fs as pafs
+        fs, base = pafs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+        part = [i.path for i in fs.get_file_info(pafs.FileSelector(base)) if i.base_name.startswith("part-")]
+        _, target = pafs.FileSystem.from_uri(config_json if "://" in config_json else os.path.abspath(config_json))
+        fs.copy_file(part[0], target)
 
 
 # ---------------------------------------------------------------- holdings (SNK-6..8)

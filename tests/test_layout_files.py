@@ -109,6 +109,8 @@ def test_convert_write_and_load_back(spark, tmp_path):
     man = [json.loads(line) for f in os.listdir(os.path.join(out, "_manifest")) if f.endswith(".json")
            for line in open(os.path.join(out, "_manifest", f))]
     assert man[0]["dates"] == DATES and man[0]["stocks"] == sorted(STOCKS) and man[0]["factors"] == FACTORS
+    config = json.load(open(os.path.join(out, "config.json")))
+    assert config["raw_data_format_type"] == 2 and config["dates"] == DATES
     long, axes = PL.load_converted(spark, out)
     rows = long.collect()
     assert len(rows) == len(DATES) * len(STOCKS) * len(FACTORS)
