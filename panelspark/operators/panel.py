@@ -161,15 +161,22 @@ def pivot_values(axis: DataFrame, spark_conf_max: int | None = None) -> list[str
     return vals
 
 
+CONDITIONAL_PIVOT_MAX = 64
+
+
 def cross_section(panel: DataFrame, factors: Sequence[str]) -> DataFrame:
     """PAN-7: per (date, stock) one row, one column per factor.
 
     A (date, stock, factor) key is unique in a valid panel (``assert_unique``);
-    ``max`` keeps the result deterministic if it is not.  Written as one
-    conditional aggregation (a single hash aggregate with map-side partial
-    aggregation) rather than ``pivot``, which plans two; the factor list is
-    the size-checked axis from ``pivot_values``.
+    ``max`` keeps the result deterministic if it is not.  Up to
+    ``CONDITIONAL_PIVOT_MAX`` factors it is one conditional aggregation (a
+    single hash aggregate); beyond that, Spark's ``pivot``, which aggregates
+    by factor first and places each value by index instead of testing every
+    factor on every row.  The factor list is the size-checked axis from
+    ``pivot_values``.
     """
+    if len(factors) > CONDITIONAL_PIVOT_MAX:
+        return panel.groupBy("date", "stock").pivot("factor", list(factors)).agg(F.max("value"))
     f = F.col("factor")
     return panel.groupBy("date", "stock").agg(
         *[F.max(F.when(f == F.lit(v), F.col("value"))).alias(str(v)) for v in factors])

@@ -55,3 +55,13 @@ def test_missing_stocks_strict(spark):
     assert A.missing_stocks(p, dates, stocks).first().n_missing == 1
     with pytest.raises(KeyError):
         A.missing_stocks(p, dates, stocks, strict=True)
+
+
+def test_cross_section_both_strategies_agree(spark):
+    rows = [("2020-01-31", f"S{s}", f"f{k:03d}", float(s * 1000 + k)) for s in range(3) for k in range(70)]
+    p = spark.createDataFrame(rows, "date string, stock string, factor string, value double")
+    factors = [f"f{k:03d}" for k in range(70)]
+    many = {r.stock: tuple(r[2:]) for r in P.cross_section(p, factors).collect()}               # pivot path
+    few = {r.stock: tuple(r[2:]) for r in P.cross_section(p, factors[:10]).collect()}            # conditional path
+    assert all(many[s][:10] == few[s] for s in few)
+    assert many["S2"][69] == 2069.0
