@@ -66,3 +66,13 @@ def test_vocab_json(spark, tmp_path):
     W.write_vocab_json(C.vocabulary(sent), out)
     rows = W.read_json_lines(out)
     assert len(rows) == 23 and {r["token"] for r in rows} >= {"[MASK]", "0[CLS]"}
+
+
+def test_word2vec_fixed_seed_one_partition_is_repeatable(spark):
+    sent, a, b = two_clusters(spark)
+    runs = []
+    for _ in range(2):
+        _, vec = EM.train_word2vec(sent, vector_size=8, window=5, min_count=1, max_iter=2, seed=7, num_partitions=1)
+        runs.append({r.token: list(r.vector) for r in vec.collect()})
+    assert runs[0] == runs[1]
+    assert len(runs[0]) == 18 and all(len(v) == 8 for v in runs[0].values())
