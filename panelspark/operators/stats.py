@@ -40,7 +40,10 @@ def running_summary(df: DataFrame, group: Sequence[str], order: Sequence[str], v
     """STA-3: the accumulator read after every value, per group in order.
 
     Skew-safe: a hot group is split across range partitions and continued
-    with per-partition offsets (``indexing.running_aggregates``).
+    with per-partition offsets (``indexing.running_aggregates``).  The
+    variance comes from running count, sum and sum of squares, which loses
+    precision when values are very large against their spread (fine for loss
+    logs; centre such values first).
     """
     r = running_aggregates(df, group, order, value, num_partitions)
     n = F.col("_rc")
