@@ -72,15 +72,25 @@ def valid_holdings(filings: DataFrame, holders: DataFrame, key: str = "ShareHold
 
 
 def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: str,
-            salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+            salt_buckets: int = DEFAULT_SALT_BUCKETS, collapse_copies: bool = False) -> DataFrame:
     """HLD-6: per (holder, date), symbols ordered by shares descending, ties
     by symbol; repeated symbols are kept; null holder or date dropped.
 
+    ``collapse_copies``: identical (holder, date, symbol, shares) rows are
+    counted map-side before any shuffle and expanded again after the sort,
+    so a flood of copies moves and sorts as one item (one extra shuffle on
+    data without copies, so it is opt-in).
+
     Returns (holder, date, symbols ARRAY<symbol type>).
     """
-    rows = holdings.filter(F.col(holder).isNotNull() & F.col(date).isNotNull()).select(
-        F.col(holder), F.col(date),
-        F.struct((-F.col(shares)).alias("k"), F.col(symbol).alias("s")).alias("_it"))
+    base = holdings.filter(F.col(holder).isNotNull() & F.col(date).isNotNull())
+    if collapse_copies:
+        counted = base.groupBy(holder, date, symbol, shares).agg(F.count(F.lit(1)).alias("_n"))
+        rows = counted.select(holder, date, F.struct((-F.col(shares)).alias("k"), F.col(symbol).alias("s"),
+                                                     F.col("_n").alias("n")).alias("_it"))
+    else:
+        rows = base.select(F.col(holder), F.col(date),
+                           F.struct((-F.col(shares)).alias("k"), F.col(symbol).alias("s")).alias("_it"))
     if salt_buckets and salt_buckets > 1:
         salt = F.pmod(F.xxhash64(F.col("_it")), F.lit(salt_buckets)).alias("_salt")
         runs = (rows.groupBy(holder, date, salt)
@@ -89,7 +99,11 @@ def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: st
                   .agg(F.sort_array(F.flatten(F.collect_list("_run"))).alias("_items")))
     else:
         merged = rows.groupBy(holder, date).agg(F.sort_array(F.collect_list("_it")).alias("_items"))
-    return merged.select(holder, date, F.transform("_items", lambda x: x["s"]).alias("symbols"))
+    if collapse_copies:
+        symbols = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["s"], x["n"].cast("int"))))
+    else:
+        symbols = F.transform("_items", lambda x: x["s"])
+    return merged.select(holder, date, symbols.alias("symbols"))
 
 
 def basket_items(holdings: DataFrame, holder: str, date: str, symbol: str, shares: str,

@@ -149,6 +149,13 @@ def hld06_baskets_salted(spark, sf_dir):
                     basket_text("symbols").alias("holdings"))
 
 
+def hld06_baskets_collapsed(spark, sf_dir):
+    """Copies counted map-side before the shuffle, expanded after the sort."""
+    b = H.baskets(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares", collapse_copies=True)
+    return b.select("holder", "end_date", F.size("symbols").cast("long").alias("n_symbols"),
+                    basket_text("symbols").alias("holdings"))
+
+
 def hld06_basket_items(spark, sf_dir):
     """Skew-safe long form: (holder, end_date, rank, symbol, shares)."""
     return H.basket_items(V.v_hold(spark, sf_dir), "holder", "end_date", "symbol", "shares")
@@ -253,6 +260,7 @@ QUERIES = {
     "hld06_baskets": hld06_baskets,
     "hld06_baskets_unsalted": hld06_baskets_unsalted,
     "hld06_baskets_salted": hld06_baskets_salted,
+    "hld06_baskets_collapsed": hld06_baskets_collapsed,
     "hld06_basket_items": hld06_basket_items,
     "hld08_date_order": hld08_date_order,
     "hld09_pipeline_baskets": hld09_pipeline_baskets,
@@ -272,6 +280,7 @@ ORACLE = {
     "hld06_baskets": HLD06_SQL,
     "hld06_baskets_unsalted": HLD06_SQL,
     "hld06_baskets_salted": HLD06_SQL,
+    "hld06_baskets_collapsed": HLD06_SQL,
     "hld06_basket_items": HLD06_ITEMS_SQL,
     "hld08_date_order": HLD08_SQL,
     "hld09_pipeline_baskets": HLD09_SQL,

@@ -174,6 +174,10 @@ def test_baskets_with_a_hot_holder(spark):
     plain = {(r.h, r.d): r.symbols for r in H.baskets(df, "h", "d", "s", "q").collect()}
     salted = {(r.h, r.d): r.symbols for r in H.baskets(df, "h", "d", "s", "q", salt_buckets=8).collect()}
     assert plain == salted
+    copies = df.unionByName(df.filter("h = 0")).unionByName(df.filter("h = 0"))   # the hot holder three times over
+    c_plain = {(r.h, r.d): r.symbols for r in H.baskets(copies, "h", "d", "s", "q").collect()}
+    c_coll = {(r.h, r.d): r.symbols for r in H.baskets(copies, "h", "d", "s", "q", collapse_copies=True).collect()}
+    assert c_plain == c_coll and len(c_plain[(0, "2020-03-31")]) == 3 * len(plain[(0, "2020-03-31")])
     want = {k: list(g.sort_values(["q", "s"], ascending=[False, True])["s"]) for k, g in pdf.groupby(["h", "d"])}
     assert plain == want
     items = H.basket_items(df, "h", "d", "s", "q", num_partitions=6).toPandas()
