@@ -11,6 +11,7 @@ the number of files is unbounded.
 from __future__ import annotations
 
 import os
+import sys
 from typing import Iterator
 
 import pandas as pd
@@ -18,6 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+
+# Functions and classes of this module run inside tasks (mapInPandas,
+# mapInArrow, the Feather data source).  Ship them by value so executors do
+# not need the package installed (cluster installs still use --py-files).
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # File formats by extension and the filing columns.
 FORMATS = {"csv": "csv", "parquet": "parquet", "feather": "feather"}
 FILING_COLUMNS = ["ShareHolderID", "SystematicsID", "FundID", "CategoryCode", "ShareHolderName", "Symbol",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import uuid
 from dataclasses import dataclass
 from typing import Iterator
@@ -23,6 +24,14 @@ from panelspark.operators import panel as P
 from panelspark.operators.layouts import Converted
 
 
+# Functions and classes of this module run inside tasks (mapInPandas,
+# mapInArrow, the Feather data source).  Ship them by value so executors do
+# not need the package installed (cluster installs still use --py-files).
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
     """SNK-1."""
     w = df.write.mode(mode).option("header", True)
@@ -108,6 +117,7 @@ class FeatherDataSource(DataSource):
 def write_feather(df: DataFrame, path: str, mode: str = "append") -> None:
     """SNK-3: one Feather file per partition (paths on a shared file system)."""
     df.sparkSession.dataSource.register(FeatherDataSource)
+    path = path if "://" in path else os.path.abspath(path)     # pyarrow.fs needs an absolute path or a URI
     df.write.format("panelspark_feather").mode(mode).save(path)
 
 
