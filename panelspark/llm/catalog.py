@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["token_files", "shards", "simhash", "pack", "segment_bpe"]
+MODULES = ["token_files", "shards", "language", "simhash", "pack", "segment_bpe"]
 
 
 def _all():
