@@ -64,6 +64,7 @@ class Table:
             self._lookup = np.full(int(self.ids[-1]) + 1, -1, np.int32) if small else None
             if small:
                 self._lookup[self.ids] = np.arange(len(self.ids), dtype=np.int32)
+        ids = ids.astype(np.uint32, copy=False)
         if self._lookup is None:
             sym = np.searchsorted(self.ids, ids)
             sym[self.ids[np.minimum(sym, len(self.ids) - 1)] != ids] = -1

@@ -22,6 +22,7 @@ Other columns of the input play no part.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -43,7 +44,14 @@ BLOCK_TOKENS = 1 << 18
 GROUP_BLOCKS = 16          # blocks coded side by side in a task
 
 
-def tokenize(df: DataFrame, id_col: str, text_col: str, end_id: int, tokenizer_path: str | None) -> DataFrame:
+def id_width(tokenizer_path: str | None, end_id: int) -> int:
+    """Bytes per id in the staged rows: two where every id fits, else four."""
+    spec = json.loads(WT.tokenizer_json(tokenizer_path))
+    highest = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return 2 if highest < 1 << 16 else 4
+
+
+def tokenize(df: DataFrame, id_col: str, text_col: str, end_id: int, tokenizer_path: str | None, width: int) -> DataFrame:
     """Staged rows: documents (id, n, ids) and, per task, its id counts."""
     src = df.select(F.col(id_col).alias("id_"), F.col(text_col).cast("string").alias("text_"))
     content = df.sparkSession.sparkContext.broadcast(WT.tokenizer_json(tokenizer_path))  # fixed size
@@ -63,7 +71,7 @@ def tokenize(df: DataFrame, id_col: str, text_col: str, end_id: int, tokenizer_p
                 counts[:len(seen)] += seen
                 raw = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(offsets) - 1,
-                    [None, pa.py_buffer((offsets * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
+                    [None, pa.py_buffer((offsets * width).astype(np.int64).tobytes()), pa.py_buffer(ids.astype(f"<u{width}").tobytes())])
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(offsets)), raw.cast(pa.binary()),
@@ -99,7 +107,8 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                  tokenizer_path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode every text of ``df`` into a token file set at ``path``."""
     spark = df.sparkSession
-    staged = tokenize(df, id_col, text_col, end_id, tokenizer_path)
+    width = id_width(tokenizer_path, end_id)
+    staged = tokenize(df, id_col, text_col, end_id, tokenizer_path, width)
     counts = (staged.filter("token_ is not null").select(F.explode(F.arrays_zip("token_", "count_")).alias("c"))
               .groupBy("c.token_").agg(F.sum("c.count_").alias("n")).toPandas())   # at most a row per vocabulary id
     if len(counts):
@@ -122,7 +131,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
         def flush(ids_of, raws, kind, keep):
             """Blocks of the documents held; with ``keep`` the last, unfilled one stays."""
-            lengths = [len(r) // 4 for r in raws]
+            lengths = [len(r) // width for r in raws]
             blocks = cut_blocks(lengths, block_tokens)
             left = len(raws)
             if keep and blocks and blocks[-1][0][1] == 0:
@@ -130,7 +139,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             rows = []
             for k in range(0, len(blocks), GROUP_BLOCKS):
                 group = blocks[k:k + GROUP_BLOCKS]
-                flat = np.frombuffer(b"".join(raws[d][4 * a:4 * (a + n)] for b in group for d, a, n in b), "<u4")
+                flat = np.frombuffer(b"".join(raws[d][width * a:width * (a + n)] for b in group for d, a, n in b), f"<u{width}")
                 sizes = np.array([sum(n for _, _, n in b) for b in group], np.int64)
                 for b, n, coded in zip(group, sizes.tolist(), rans.encode(model_, flat, sizes)):
                     rows.append(coded | {
@@ -153,14 +162,14 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         ids_of, raws, held, kind = [], [], 0, None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for part in byte_slices(batch, 2, 4 * block_tokens * GROUP_BLOCKS):
+            for part in byte_slices(batch, 2, width * block_tokens * GROUP_BLOCKS):
                 ids_of += part.column(0).to_pylist()
                 new = part.column(2).to_pylist()
                 raws += new
-                held += sum(map(len, new)) // 4
+                held += sum(map(len, new)) // width
                 if held >= block_tokens * GROUP_BLOCKS:
                     rows, ids_of, raws = flush(ids_of, raws, kind, True)
-                    held = sum(map(len, raws)) // 4
+                    held = sum(map(len, raws)) // width
                     if rows:
                         yield batch_of(rows, kind)
         if raws:
@@ -173,8 +182,9 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     ).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
-def read_pieces(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """Decode all blocks: one row per piece of a document in a block.
+def read_pieces(spark: SparkSession, path: str, with_ids: bool = True, cut_only: bool = False) -> DataFrame:
+    """Decode all blocks (``cut_only``: those with a piece of a longer
+    document): one row per piece of a document in a block.
 
     Columns: id_, shard, doc (its number in the shard), from_, len_, total_,
     start (tokens of all documents before it), crc_ and, if asked for, ids.
@@ -184,6 +194,7 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     model = spark.sparkContext.broadcast((table["token"].to_numpy(), table["freq"].to_numpy(), bits))
     blocks = spark.read.parquet(f"{path}/blocks")
     id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    wanted = blocks.filter(F.exists(F.zip_with("doc_len", "doc_total", lambda a, b: a < b), lambda x: x)) if cut_only else blocks
 
     def task(batches):
         table_ = rans.Table(*model.value)
@@ -212,7 +223,7 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                     pa.array([flat[a:b] for a, b in cut], pa.binary()) if with_ids else pa.nulls(len(of), pa.binary()),
                 ], names=["id_", "shard", "doc", "from_", "len_", "total_", "at_", "crc_", "ids"])
 
-    pieces = blocks.mapInArrow(task, f"id_ {id_type}, shard int, doc long, from_ long, len_ long, total_ long, "
+    pieces = wanted.mapInArrow(task, f"id_ {id_type}, shard int, doc long, from_ long, len_ long, total_ long, "
                                      "at_ long, crc_ long, ids binary")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)      # one row per shard
     offs = (blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n_"))
@@ -225,7 +236,7 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     uint32).  Only documents longer than a block are put together again."""
     p = read_pieces(spark, path)
     whole = p.filter("len_ = total_").select(F.col("id_").alias(id_col), "start", F.col("total_").alias("n_tokens"), "ids")
-    cut = (p.filter("len_ < total_").groupBy("shard", "doc", "id_", "start", "total_")
+    cut = (read_pieces(spark, path, cut_only=True).filter("len_ < total_").groupBy("shard", "doc", "id_", "start", "total_")
            .agg(F.sort_array(F.collect_list(F.struct("from_", "ids"))).alias("p"))
            .select(F.col("id_").alias(id_col), "start", F.col("total_").alias("n_tokens"),
                    F.aggregate("p", F.lit(b""), lambda acc, x: F.concat(acc, x["ids"])).alias("ids")))
@@ -243,7 +254,7 @@ def token_checksums(spark: SparkSession, path: str, id_col: str = "doc_id") -> D
     def combine(parts: pd.Series) -> pd.Series:
         return pd.Series([rans.crc32_combine([(x["crc_"], 4 * x["len_"]) for x in row]) for row in parts], dtype="int64")
 
-    cut = (p.filter("len_ < total_").groupBy("shard", "doc", "id_", "start", "total_")
+    cut = (read_pieces(spark, path, with_ids=False, cut_only=True).filter("len_ < total_").groupBy("shard", "doc", "id_", "start", "total_")
            .agg(F.sort_array(F.collect_list(F.struct("from_", "crc_", "len_"))).alias("p"))
            .select(F.col("id_").alias(id_col), "start", F.col("total_").alias("n_tokens"), combine("p").alias("ids_crc32")))
     return whole.unionByName(cut)
