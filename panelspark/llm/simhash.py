@@ -147,10 +147,10 @@ def trie_links(x: np.ndarray, split: int, bit: int, budget: int):
         own = same & (la == lb) & (ha == hb)
         parts = [np.stack([la, ma, lb, mb, d], 1), np.stack([ma, ha, mb, hb, d], 1), np.stack([la, ma, mb, hb, d + 1], 1),
                  np.stack([ma, ha, lb, mb, d + 1], 1)[~own]]
-        for p in parts:
-            p = p[(p[:, 0] < p[:, 1]) & (p[:, 2] < p[:, 3]) & (p[:, 4] <= budget)]
-            if len(p):
-                stack.append((b - 1, p))
+        kids = np.concatenate(parts)
+        kids = kids[(kids[:, 0] < kids[:, 1]) & (kids[:, 2] < kids[:, 3]) & (kids[:, 4] <= budget)]
+        if len(kids):
+            stack.append((b - 1, kids))
 
 
 def unite(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
