@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["token_files", "shards", "language", "cws", "simhash", "suffix_dedup", "pack", "segment_bpe", "ann"]
+MODULES = ["token_files", "shards", "language", "cws", "simhash", "suffix_dedup", "pack", "segment_bpe", "ann", "licences"]
 
 
 def _all():
