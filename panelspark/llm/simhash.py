@@ -27,7 +27,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import byte_slices, ship, stage
@@ -251,21 +251,47 @@ def trie_self_join(leaves: DataFrame, max_bits: int = MAX_BITS, per_node: int =
     return spark.createDataFrame([], "u long, v long") if out is None else out
 
 
+def component_of(fps: DataFrame, max_bits: int, per_node: int, hot: int) -> DataFrame:
+    """(fp, low_, root): every distinct fingerprint, its smallest id and the
+    fingerprint that names its component."""
+    leaves = stage(fps.groupBy("fp").agg(F.min("id_").alias("low_")), "leaves")
+    roots = components(trie_self_join(leaves, max_bits, per_node, hot))
+    return (leaves.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("root", F.coalesce("root", "fp")))
+
+
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                    max_bits: int = MAX_BITS, per_node: int = LEAVES, hot: int = HOT) -> DataFrame:
     """One row per row of ``df``: the id column, ``fingerprint`` (16 hex
     digits), ``fp`` (the same as a long), ``component_id`` (smallest id)."""
     fps = stage(fingerprints(df, id_col, text_col, shingle), "simhash")
-    leaves = stage(fps.groupBy("fp").agg(F.min("id_").alias("low_")), "leaves")
-    roots = components(trie_self_join(leaves, max_bits, per_node, hot))
-    named = (leaves.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-             .withColumn("root", F.coalesce("root", "fp")))
+    named = component_of(fps, max_bits, per_node, hot)
     lowest = named.groupBy("root").agg(F.min("low_").alias("component_id"))
     of_fp = named.join(lowest, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(of_fp, "fp").select(F.col("id_").alias(id_col), hexed.alias("fingerprint"), "fp", "component_id")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS, per_node: int = LEAVES, hot: int = HOT) -> DataFrame:
+    """The rows of ``df``, one of each component: that of the smallest id (null
+    last; of equal ids that of the smaller text hash; of equal rows any one)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = df.select(
+        F.struct(*[F.col(c) for c in df.columns]).alias("row_"), text.alias("text_"),
+        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("k1"),
+                 F.xxhash64(F.lit(1), text).alias("k2")).alias("id_"))
+    fps = stage(fingerprints(keyed, "id_", "text_", shingle), "simhash")
+    named = component_of(fps, max_bits, per_node, hot)
+    first = named.groupBy("root").agg(F.min("low_").alias("w")).select(
+        F.col("w.k1").alias("k1"), F.col("w.k2").alias("k2"), F.coalesce(F.col("w.id").cast("string"), F.lit("")).alias("key"))
+    rows = keyed.select("row_", F.col("id_.k1").alias("k1"), F.col("id_.k2").alias("k2"),
+                        F.coalesce(F.col("id_.id").cast("string"), F.lit("")).alias("key"))
+    nth = Window.partitionBy("k1", "k2", "key").orderBy("key")
+    return (rows.join(first, ["k1", "k2", "key"]).withColumn("nth", F.row_number().over(nth)).filter("nth = 1")
+            .select(*[F.col("row_").getField(c).alias(c) for c in df.columns]))
+
+
 def op5_simhash_trie(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -325,21 +325,17 @@ def merged(ranges: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, length: int = LENGTH,
-                   gram: int = GRAM, with_text: bool = True) -> DataFrame:
-    """The columns ``keep``, ``n_bytes``, ``n_removed``, ``n_spans``,
-    ``kept_sha256`` and, if asked for, ``spans`` (removed byte ranges) and
-    ``kept`` (the other bytes; null where nothing was removed)."""
-    if length < gram or gram & (gram - 1):
-        raise ValueError("gram must be a power of two, and length at least gram")
-    keep = keep or []
-    scanned = scan(df, keep, text_col, length, gram)
+def removals(df: DataFrame, scanned: DataFrame, text_col: str = "text", length: int = LENGTH,
+             with_text: bool = True) -> DataFrame:
+    """Texts that lose something: ``k1``, ``k2``, ``n_removed``, ``n_spans``,
+    ``kept_sha`` and, if asked for, ``spans`` (removed byte ranges), ``kept``
+    (the other bytes) and ``kept_text`` (their whole characters)."""
     ranges, texts = repeated_ranges(df, scanned, text_col, length)
 
     def cut(batches):
         for batch in batches:
             for part in byte_slices(batch, 2, _SLICE):
-                cols = [[] for _ in range(5)]
+                cols = [[] for _ in range(6)]
                 for t, r in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
                     raw, runs = t.encode(), merged(r)
                     at, kept = 0, []
@@ -348,14 +344,27 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None
                         at = b
                     kept = b"".join([*kept, raw[at:]])
                     for c, v in zip(cols, (len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(),
-                                           [{"a": a, "b": b} for a, b in runs] if with_text else None, kept if with_text else None)):
+                                           [{"a": a, "b": b} for a, b in runs] if with_text else None, kept if with_text else None,
+                                           kept.decode("utf-8", "ignore") if with_text else None)):
                         c.append(v)
-                types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.binary(), pa.string()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, t) for c, t in zip(cols, types)]], names=[
-                    "k1", "k2", "n_removed", "n_spans", "kept_sha", "spans", "kept"])
+                    "k1", "k2", "n_removed", "n_spans", "kept_sha", "spans", "kept", "kept_text"])
+
+    return (texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges").mapInArrow(
+        cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha string, spans array<struct<a:int,b:int>>, kept binary, kept_text string"))
 
-    done = (texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges").mapInArrow(
-        cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha string, spans array<struct<a:int,b:int>>, kept binary"))
+
+def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, length: int = LENGTH,
+                   gram: int = GRAM, with_text: bool = True) -> DataFrame:
+    """The columns ``keep``, ``n_bytes``, ``n_removed``, ``n_spans``,
+    ``kept_sha256`` and, if asked for, ``spans`` and ``kept`` of ``removals``
+    (null where nothing was removed)."""
+    if length < gram or gram & (gram - 1):
+        raise ValueError("gram must be a power of two, and length at least gram")
+    keep = keep or []
+    scanned = scan(df, keep, text_col, length, gram)
+    done = removals(df, scanned, text_col, length, with_text)
     out = scanned.select("row_", "k1", "k2", "n_bytes", "sha").join(done, ["k1", "k2"], "left")
     zero = F.lit(0).cast("long")
     cols = [F.col("row_").getField(c).alias(c) for c in keep] + [
@@ -364,6 +373,18 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None
     return out.select(*cols, *(["spans", "kept"] if with_text else []))
 
 
+def strip_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``df`` with the repeated strings cut out of its texts (characters that a
+    cut splits go too) and without the rows of which only white space is left."""
+    scanned = scan(df, [], text_col, length, gram)
+    done = removals(df, scanned, text_col, length).select("k1", "k2", F.col("kept_text").alias("kept_text_"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+    cut = rows.join(done, ["k1", "k2"], "left").filter(F.col("kept_text_").isNull() | (F.trim(F.col("kept_text_")) != ""))
+    return cut.select(*[(F.coalesce("kept_text_", F.col("row_").getField(c)) if c == text_col else F.col("row_").getField(c)).alias(c)
+                        for c in df.columns])
+
+
 def op6_suffix_shards(spark, sf_dir: str) -> DataFrame:
     """What every document loses to strings of 400 bytes that occur elsewhere."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
