@@ -98,8 +98,9 @@ def pad_id(s: Column | str, width: int = ID_WIDTH) -> Column:
 
 
 def basket_text(arr: Column | str) -> Column:
-    """HLD-7: ``[a, b, c]`` from an array of ids."""
-    return F.concat(F.lit("["), F.array_join(_c(arr), BASKET_SEP), F.lit("]"))
+    """HLD-7: ``[a, b, c]`` from an array of ids; a missing id is written as
+    ``nan``, so text and count agree."""
+    return F.concat(F.lit("["), F.array_join(_c(arr), BASKET_SEP, "nan"), F.lit("]"))
 
 
 def basket_text_count(s: Column | str) -> Column:

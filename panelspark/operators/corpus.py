@@ -86,21 +86,29 @@ def check_vocab_size(vocab: DataFrame, model_vocab_size: int) -> None:
 
 
 def subsample(sent: DataFrame, keys: Sequence[str], col: str = "tokens", sample: float = 1e-3,
-              seed: int = 42, counts: DataFrame | None = None) -> DataFrame:
+              seed: int = 42, counts: DataFrame | None = None, max_broadcast: int = 5_000_000) -> DataFrame:
     """TOK-10: drop frequent tokens at random before training.
 
     A token with frequency f = count / total is kept with probability
     min(1, sqrt(t/f) + t/f), t = ``sample``; the draw is a hash of
-    (seed, row keys, position).  Returns keys + the kept tokens in order.
+    (seed, row keys, position).  Returns keys + the kept tokens in order, one
+    row for each input row that keeps a token (two rows of one key stay two).
     """
     counts = counts if counts is not None else token_counts(sent, col)
+    from panelspark.session import checkpoint_dir
+    checkpoint_dir(sent.sparkSession)
+    counts = counts.checkpoint()            # the token set, used three times
     total = counts.select(F.sum("count")).scalar()
-    long = sent.select(*keys, F.posexplode(col).alias("pos", "token"))
-    j = long.join(counts, "token")
+    rows = sent.select(*keys, F.monotonically_increasing_id().alias("_rid"), F.col(col).alias("_toks"))
+    long = rows.select(*keys, "_rid", F.posexplode("_toks").alias("pos", "token"))
+    # the counts are one row a token; broadcast under the bound, so that a
+    # token of every sentence (the markers) is no hot join key
+    small = counts.count() <= max_broadcast
+    j = long.join(F.broadcast(counts) if small else counts, "token")
     ratio = F.lit(sample) * total / F.col("count")
     keep_p = F.least(F.lit(1.0), F.sqrt(ratio) + ratio)
     kept = j.filter(uniform(seed, "subsample", *keys, "pos") < keep_p)
-    return (kept.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
+    return (kept.groupBy(*keys, "_rid").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
             .select(*keys, F.transform("_t", lambda x: x["token"]).alias(col)))
 
 

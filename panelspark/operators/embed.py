@@ -58,16 +58,16 @@ def embedding_matrix(vocab: DataFrame, vectors: DataFrame, seed: int = 42, vecto
 
     ``vocab`` is the table of ``corpus.vocabulary`` (``join_on='raw'``
     joins vectors on the trained token) or any (token, index) table with V
-    rows (``join_on='token'``).
+    rows (``join_on='token'``).  A vocabulary token without a vector raises.
     """
     core = vocab.filter(F.col("index").isNotNull())
     if "raw" in core.columns:
         core = core.filter(F.col("raw").isNotNull())
-    rows = (core.select(F.col(join_on).alias("_k"), "index")
-            .join(vectors.select(F.col("token").alias("_k"), F.col(vector_col).cast("array<double>").alias("vector")),
-                  "_k")
-            .select("index", "vector"))
-    v_count = rows.select(F.count(F.lit(1))).scalar()
+    found = vectors.select(F.col("token").alias("_k"), F.col(vector_col).cast("array<double>").alias("_v"))
+    missing = F.raise_error(F.concat(F.lit("vocabulary token without a vector: "), F.coalesce("_k", F.lit("null"))))
+    rows = (core.select(F.col(join_on).alias("_k"), "index").join(found, "_k", "left")
+            .select("index", F.coalesce("_v", missing.cast("array<double>")).alias("vector")))
+    v_count = core.select(F.count(F.lit(1))).scalar()      # V is the vocabulary's size, not that of the match
     first_two = rows.filter(F.col("index") < 2)
     cells = rows.select("index", F.posexplode("vector").alias("pos", "x"))
     # per dimension: sum over V rows, plus the copies of rows 0 and 1

@@ -55,6 +55,10 @@ def industry_dimension(filings: DataFrame, order: Column | str = "row_order") ->
     return first.filter(F.col("IndustryCode").isNotNull() & F.col("IndustryName").isNotNull())
 
 
+# what counts as a number in text
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def clean_shares(filings: DataFrame, shares_col: str = "Holdshares") -> DataFrame:
     """HLD-4: text to number (bad text -> null), keep shares > 0.
 
@@ -62,7 +66,9 @@ def clean_shares(filings: DataFrame, shares_col: str = "Holdshares") -> DataFram
     """
     kind = filings.schema[shares_col].dataType.simpleString()
     # text is converted leniently; a numeric column keeps its filter pushable
-    x = F.col(shares_col).try_cast("double") if kind == "string" else F.col(shares_col).cast("double")
+    text = F.trim(F.col(shares_col).cast("string"))
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))       # Spark's cast also takes "100d" and "1f"
+    x = number if kind == "string" else F.col(shares_col).cast("double")
     return filings.withColumn(shares_col, x).filter((F.col(shares_col) > 0) & ~F.isnan(F.col(shares_col)))
 
 

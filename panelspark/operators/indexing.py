@@ -65,18 +65,32 @@ def global_index(df: DataFrame, order: Sequence[Column | str], index_col: str =
 
 def running_aggregates(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                        value: str, num_partitions: int | None = None) -> DataFrame:
-    """Per group, in ``order``: running count, sum and sum of squares of
-    ``value`` up to and including each row (``_rc``, ``_rs``, ``_rq``).
-
-    Null values do not count, as in SQL aggregates.
+    """Per group, in ``order``: running count, sum, sum of squares and sum of
+    squared deviations from the running mean of ``value``, up to and including
+    each row (``_rc``, ``_rs``, ``_rq``, ``_rm2``).
+
+    The deviations are taken within each (partition, group) stretch from the
+    stretch's own mean, and stretches are merged by their counts, means and
+    deviations, so values far from zero lose no precision.  Null values do
+    not count, as in SQL aggregates.
     """
     s = sorted_tagged(df, order, num_partitions, partition_first=group)
     v = F.col(value).cast("double")
     part = (s.groupBy(_PID, *group)
             .agg(F.count(v).alias("_pn"), F.coalesce(F.sum(v), F.lit(0.0)).alias("_ps"),
-                 F.coalesce(F.sum(v * v), F.lit(0.0)).alias("_pq")))
+                 F.coalesce(F.sum(v * v), F.lit(0.0)).alias("_pq"),
+                 F.avg(v).alias("_pm"), (F.var_pop(v) * F.count(v)).alias("_pv")))
     earlier = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = part.select(_PID, *group,
+    # deviations of all earlier stretches: within each, and of their means
+    # from the first one's mean
+    anchor = F.first("_pm", ignorenulls=True).over(Window.partitionBy(*group).orderBy(_PID).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))
+    part = part.withColumn("_d", F.col("_pm") - anchor)
+    part = part.withColumn("_anchor", anchor)
+    zero = F.lit(0.0)
+    offs = part.select(_PID, *group, F.col("_anchor"),
+                       F.coalesce(F.sum(F.col("_pn") * F.col("_d")).over(earlier), zero).alias("_od"),
+                       F.coalesce(F.sum(F.col("_pv") + F.col("_pn") * F.col("_d") * F.col("_d")).over(earlier), zero).alias("_ov"),
                        F.coalesce(F.sum("_pn").over(earlier), F.lit(0)).alias("_on"),
                        F.coalesce(F.sum("_ps").over(earlier), F.lit(0.0)).alias("_os"),
                        F.coalesce(F.sum("_pq").over(earlier), F.lit(0.0)).alias("_oq"))
@@ -85,8 +99,19 @@ def running_aggregates(df: DataFrame, group: Sequence[str], order: Sequence[Colu
     offs = offs.filter(F.col("_on") > 0)
     within = (Window.partitionBy(_PID, *group).orderBy(*_cols(order))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = Window.partitionBy(_PID, *group)
+    mid = F.avg(v).over(whole)                                   # the stretch's own mean
+    d = v - mid
+    n0, d0 = F.coalesce(F.col("_on"), F.lit(0)), F.coalesce(F.col("_od"), F.lit(0.0))
+    n1, s1 = F.count(v).over(within), F.coalesce(F.sum(d).over(within), F.lit(0.0))
+    s2 = F.coalesce(F.sum(d * d).over(within), F.lit(0.0))
+    m2_here = F.when(n1 > 0, s2 - s1 * s1 / n1).otherwise(0.0)
+    m2_before = F.when(n0 > 0, F.col("_ov") - d0 * d0 / n0).otherwise(0.0)
+    apart = F.when((n0 > 0) & (n1 > 0), (mid - F.col("_anchor") + s1 / n1) - d0 / n0).otherwise(0.0)
+    merged = m2_before + m2_here + apart * apart * n0 * n1 / F.greatest(n0 + n1, F.lit(1))
     out = (s.join(F.broadcast(offs), [_PID, *group], "left")
+           .withColumn("_rm2", F.greatest(merged, F.lit(0.0)))
            .withColumn("_rc", F.coalesce(F.col("_on"), F.lit(0)) + F.count(v).over(within))
            .withColumn("_rs", F.coalesce(F.col("_os"), F.lit(0.0)) + F.coalesce(F.sum(v).over(within), F.lit(0.0)))
            .withColumn("_rq", F.coalesce(F.col("_oq"), F.lit(0.0)) + F.coalesce(F.sum(v * v).over(within), F.lit(0.0))))
-    return out.drop(_PID, _MID, "_on", "_os", "_oq")
+    return out.drop(_PID, _MID, "_on", "_os", "_oq", "_od", "_ov", "_anchor")

@@ -151,7 +151,10 @@ def layout7(table: DataFrame, stock_col: int | str = 0, date_col: int | str = 1,
     stock = P.resolve_role(table, stock_col)
     date = P.resolve_role(table, date_col)
     factors = [P.resolve_role(table, c) for c in factor_cols]
-    wide = table.select(parse_date(F.col(date).cast("string"), strict=True).alias("date"),
+    kind = table.schema[date].dataType.simpleString()
+    day = (F.col(date).cast("date") if kind == "date" or kind.startswith("timestamp")      # no text to parse
+           else parse_date(F.col(date).cast("string"), strict=True))
+    wide = table.select(day.alias("date"),
                         F.col(stock).cast("string").alias("stock"), *[F.col(c) for c in factors])
     long = wide.unpivot(["date", "stock"], [F.col(c).cast("string").try_cast("double").alias(c) for c in factors],
                         "factor", "value")

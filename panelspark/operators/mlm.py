@@ -64,11 +64,15 @@ def token_ids(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, col: str =
     loses its [SEP], as the reference's tokenizer does.
     """
     toks = F.slice(col, 1, max_length) if max_length else F.col(col)
-    long = sent.select(*keys, F.posexplode(toks).alias("_pos", "_tok"))
+    # rows are told apart by their own number: two rows of one key stay two
+    # rows.  A regroup on (keys, number) needs no shuffle where the input is
+    # already partitioned by the keys.
+    rows = sent.select(*keys, F.monotonically_increasing_id().alias("_rid"), toks.alias("_toks"))
+    long = rows.select(*keys, "_rid", F.posexplode("_toks").alias("_pos", "_tok"))
     lk = _lookup_table(vocab, max_broadcast)
     info = info or vocab_info(vocab)
     j = long.join(lk, "_tok", "left").withColumn("_id", F.coalesce(F.col("_id"), F.lit(info["unk_id"])))
-    return (j.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_id"))).alias("_p"))
+    return (j.groupBy(*keys, "_rid").agg(F.sort_array(F.collect_list(F.struct("_pos", "_id"))).alias("_p"))
             .select(*keys, F.transform("_p", lambda x: x["_id"]).alias("input_ids")))
 
 
@@ -128,14 +132,14 @@ def file_offsets(per_file: DataFrame, file_col: str = "file_name") -> DataFrame:
 
 
 def locate(indexes: DataFrame, offsets: DataFrame, idx_col: str = "idx", file_col: str = "file_name",
-           max_buckets: int = 1_000_000) -> DataFrame:
+           max_buckets: int = 1_000_000, max_broadcast: int = DEFAULT_MAX_VOCAB_BROADCAST) -> DataFrame:
     """MLM-10 part 2: global index -> (file, line) where
     ``offset <= idx < offset + n_rows``.  Out-of-range indexes get nulls.
 
     A range join as an equi-join: indexes fall into buckets of width
     ``B = ceil(total / max_buckets)``; each file's range is exploded into
-    the buckets it covers (at most ``max_buckets + #files`` rows, checked
-    bound, broadcast), so every index meets at most a few candidate files
+    the buckets it covers (at most ``max_buckets + #files`` rows, broadcast
+    while that is under ``max_broadcast``), so every index meets at most a few candidate files
     instead of all of them.
     """
     total = int(offsets.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0])
@@ -146,7 +150,9 @@ def locate(indexes: DataFrame, offsets: DataFrame, idx_col: str = "idx", file_co
                                            F.floor((F.col("_o") + F.col("_n") - 1) / width))).alias("_b"))
     keyed = indexes.withColumn("_b", F.floor(F.col(idx_col) / width))
     cond = ((keyed["_b"] == o["_b"]) & (F.col(idx_col) >= F.col("_o")) & (F.col(idx_col) < F.col("_o") + F.col("_n")))
-    j = keyed.join(F.broadcast(o), cond, "left")
+    # at most max_buckets + #files rows; with more files than the bound the join shuffles
+    small = offsets.count() + max_buckets <= max_broadcast
+    j = keyed.join(F.broadcast(o) if small else o, cond, "left")
     return j.select(*indexes.columns, F.col("_f").alias(file_col), (F.col(idx_col) - F.col("_o")).alias("line"))
 
 

@@ -164,54 +164,79 @@ def pivot_values(axis: DataFrame, spark_conf_max: int | None = None) -> list[str
 CONDITIONAL_PIVOT_MAX = 64
 
 
-def cross_section(panel: DataFrame, factors: Sequence[str]) -> DataFrame:
+def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str = "raise") -> DataFrame:
     """PAN-7: per (date, stock) one row, one column per factor.
 
-    A (date, stock, factor) key is unique in a valid panel (``assert_unique``);
-    ``max`` keeps the result deterministic if it is not.  Up to
+    A (date, stock, factor) key is unique in a valid panel; a repeated key
+    raises, naming it (``on_duplicate="max"`` keeps the largest value).  Up to
     ``CONDITIONAL_PIVOT_MAX`` factors it is one conditional aggregation (a
     single hash aggregate); beyond that, Spark's ``pivot``, which aggregates
     by factor first and places each value by index instead of testing every
     factor on every row.  The factor list is the size-checked axis from
     ``pivot_values``.
     """
-    if len(factors) > CONDITIONAL_PIVOT_MAX:
-        return panel.groupBy("date", "stock").pivot("factor", list(factors)).agg(F.max("value"))
-    f = F.col("factor")
-    return panel.groupBy("date", "stock").agg(
-        *[F.max(F.when(f == F.lit(v), F.col("value"))).alias(str(v)) for v in factors])
+    if on_duplicate not in ("raise", "max"):
+        raise ValueError("on_duplicate is 'raise' or 'max'")
 
+    def single(value: Column, n: Column, factor: Column) -> Column:
+        if on_duplicate == "max":
+            return value
+        key = F.concat_ws(", ", F.col("date").cast("string"), F.col("stock"), factor)
+        kind = dict(panel.dtypes)["value"]
+        return F.when(n > 1, F.raise_error(F.concat(F.lit("duplicate panel key: "), key)).cast(kind)).otherwise(value)
 
-def dense_grid(dates: DataFrame, stocks: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    f = F.col("factor")
+    if len(factors) > CONDITIONAL_PIVOT_MAX:
+        cells = panel.groupBy("date", "stock", "factor").agg(F.max("value").alias("_v"), F.count(F.lit(1)).alias("_n"))
+        cells = cells.select("date", "stock", "factor", F.when(f.isNull(), F.col("_v")).otherwise(
+            single(F.col("_v"), F.col("_n"), f)).alias("value"))
+        return cells.groupBy("date", "stock").pivot("factor", list(factors)).agg(F.max("value"))
+    names = [str(v) for v in factors]
+    agg = panel.groupBy("date", "stock").agg(
+        *[F.max(F.when(f == F.lit(v), F.col("value"))).alias(f"_v{i}") for i, v in enumerate(factors)],
+        *[F.count_if(f == F.lit(v)).alias(f"_n{i}") for i, v in enumerate(factors) if on_duplicate == "raise"])
+    return agg.select("date", "stock", *[
+        single(F.col(f"_v{i}"), F.col(f"_n{i}") if on_duplicate == "raise" else F.lit(1), F.lit(v)).alias(v)
+        for i, v in enumerate(names)])
+
+
+def dense_grid(dates: DataFrame, stocks: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               by_date: int = 0) -> DataFrame:
     """Every kept (date, stock) pair.
 
     The output has |dates| x |stocks| rows by definition (the reference
     writes every kept stock for every date).  The stock axis is numbered
     0..n-1 (range-partitioned global index) and checked against the bound;
     each date row expands ``sequence(0, n-1)`` in its own task, and the
-    numbers are resolved by a broadcast equi-join on the small axis.  No
-    shuffle of the grid and no nested-loop join.
+    numbers are resolved by an equi-join on the axis, broadcast under the
+    bound and shuffled above it.  The dates keep their partitioning, so the
+    grid is not shuffled while the axis is broadcast.
     """
     from panelspark.operators.indexing import global_index
     s = global_index(stocks.select(F.col("value").cast("string").alias("stock")).distinct(), ["stock"], "_si")
     n = s.count()
-    if n > max_broadcast_rows:
-        raise ValueError(f"stock axis of {n} labels is over the broadcast bound {max_broadcast_rows}")
     d = dates.select(F.col("value").alias("date")).distinct()
+    if by_date:
+        d = d.repartition(by_date, "date")
     if n == 0:
         return d.select("date", F.lit(None).cast("string").alias("stock")).filter(F.lit(False))
     grid = d.select("date", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_si"))
-    return grid.join(F.broadcast(s), "_si").select("date", "stock")
+    return grid.join(F.broadcast(s) if n <= max_broadcast_rows else s, "_si").select("date", "stock")
 
 
 def dense_cross_section(panel: DataFrame, factors: Sequence[str], dates: DataFrame, stocks: DataFrame,
                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """PAN-7 + PAN-8 in one aggregation: the grid rows (no factor, no value)
     are unioned with the panel, so the pivot emits every kept pair and no
-    join is needed."""
-    grid = dense_grid(dates, stocks, max_broadcast_rows).select(
-        "date", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast("double").alias("value"))
-    return cross_section(panel.select("date", "stock", "factor", "value").unionByName(grid), factors)
+    join is needed.  Panel and dates are partitioned by date before the dates
+    are expanded, so the aggregation above the union needs no exchange: the
+    panel is shuffled once, the grid never."""
+    n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = dict(panel.dtypes)["value"]
+    grid = dense_grid(dates, stocks, max_broadcast_rows, by_date=n).select(
+        "date", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast(kind).alias("value"))
+    rows = panel.select("date", "stock", "factor", "value").repartition(n, "date")
+    return cross_section(rows.unionByName(grid), factors)
 
 
 def reindex_dense(wide: DataFrame, dates: DataFrame, stocks: DataFrame,

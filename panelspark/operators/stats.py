@@ -41,19 +41,18 @@ def running_summary(df: DataFrame, group: Sequence[str], order: Sequence[str], v
 
     Skew-safe: a hot group is split across range partitions and continued
     with per-partition offsets (``indexing.running_aggregates``).  The
-    variance comes from running count, sum and sum of squares, which loses
-    precision when values are very large against their spread (fine for loss
-    logs; centre such values first).
+    variance comes from deviations, merged stretch by stretch, so it is exact
+    also for values that are large against their spread.
     """
     r = running_aggregates(df, group, order, value, num_partitions)
     n = F.col("_rc")
     mean = F.when(n > 0, F.col("_rs") / n)
-    var_pop = F.when(n > 0, F.greatest(F.col("_rq") / n - mean * mean, F.lit(0.0)))
+    var_pop = F.when(n > 0, F.col("_rm2") / n)
     var = _var_from(n, var_pop, ddof)
     return (r.withColumn("run_count", n).withColumn("run_sum", F.col("_rs"))
             .withColumn("run_sumsq", F.col("_rq")).withColumn("run_mean", mean)
             .withColumn("run_var", var).withColumn("run_std", F.sqrt(var))
-            .drop("_rc", "_rs", "_rq"))
+            .drop("_rc", "_rs", "_rq", "_rm2"))
 
 
 def epoch_report(log: DataFrame, report_every: int = 1, epoch: str = "epoch", loss: str = "loss",
