@@ -3,7 +3,7 @@
 Every layout reader in ``sources.readers`` yields a *pool*:
 
 * wide layouts (1, 3, 5): one row per cell, ``(file_key, row_label,
-  col_label, value)``; null cells are kept, so labels decide membership;
+  col_label, value)``, the value a number or text; null cells are kept, so labels decide membership;
 * three-column layouts (2, 4, 6): the file's rows plus ``file_key``;
 * layout 7: the big table itself.
 
@@ -60,7 +60,7 @@ def _axes(pool: DataFrame, labels: dict[str, str], files: DataFrame | None) -> D
 
 
 def _wide(cells: DataFrame, files: DataFrame | None, key_role: str, row_role: str, col_role: str,
-          layout: int) -> Converted:
+          layout: int, keep_text: bool = False) -> Converted:
     """Layouts 1 and 3: file key is one axis, the other two intersect."""
     ax = _axes(cells, {"row_label": "row_label", "col_label": "col_label"}, files)
     roles = {key_role: "file_key", row_role: "row_label", col_role: "col_label"}
@@ -70,22 +70,23 @@ def _wide(cells: DataFrame, files: DataFrame | None, key_role: str, row_role: st
     n = P.axis_sizes(ax)
     kept = _restrict_all(cells, {"row_label": axes["row_label"], "col_label": axes["col_label"]},
                          {c: n.get(c, {}).get("intersect", 0) for c in ("row_label", "col_label")})
-    pan = P.to_panel(kept, F.col(roles["date"]), F.col(roles["stock"]), F.col(roles["factor"]), F.col("value"))
+    pan = P.to_panel(kept, F.col(roles["date"]), F.col(roles["stock"]), F.col(roles["factor"]), F.col("value"),
+                     keep_text=keep_text)
     by_role = {r: axes[c] for r, c in roles.items()}
     return Converted(pan, by_role["date"], by_role["stock"], by_role["factor"], True, layout)
 
 
-def layout1(cells: DataFrame, files: DataFrame | None = None) -> Converted:
+def layout1(cells: DataFrame, files: DataFrame | None = None, keep_text: bool = False) -> Converted:
     """LAY-1: file = factor, rows = dates, columns = stocks."""
-    return _wide(cells, files, "factor", "date", "stock", 1)
+    return _wide(cells, files, "factor", "date", "stock", 1, keep_text)
 
 
-def layout3(cells: DataFrame, files: DataFrame | None = None) -> Converted:
+def layout3(cells: DataFrame, files: DataFrame | None = None, keep_text: bool = False) -> Converted:
     """LAY-3: file = stock, rows = dates, columns = factors."""
-    return _wide(cells, files, "stock", "date", "factor", 3)
+    return _wide(cells, files, "stock", "date", "factor", 3, keep_text)
 
 
-def layout5(cells: DataFrame, files: DataFrame | None = None) -> Converted:
+def layout5(cells: DataFrame, files: DataFrame | None = None, keep_text: bool = False) -> Converted:
     """LAY-5: file = date, rows = factors, columns = stocks.
 
     Stocks are the union over files and each date keeps only its own
@@ -97,12 +98,12 @@ def layout5(cells: DataFrame, files: DataFrame | None = None) -> Converted:
     factors = P.axis_from(ax, "factor")
     stocks = P.axis_from(ax, "stock", "union")
     kept = P.restrict(t, "col_label", factors, axis_rows=P.axis_sizes(ax).get("factor", {}).get("intersect", 0))
-    pan = P.to_panel(kept, F.col("file_key"), F.col("row_label"), F.col("col_label"), F.col("value"))
+    pan = P.to_panel(kept, F.col("file_key"), F.col("row_label"), F.col("col_label"), F.col("value"), keep_text=keep_text)
     return Converted(pan, P.axis_from(ax, "", "files"), stocks, factors, False, 5)
 
 
 def _three(pool: DataFrame, files: DataFrame | None, roles: dict[str, int | str], key_role: str,
-           union_role: str | None, layout: int, dense: bool) -> Converted:
+           union_role: str | None, layout: int, dense: bool, keep_text: bool = False) -> Converted:
     cols = {r: P.resolve_role(pool.drop("file_key"), c) for r, c in roles.items()}
     std = pool.select("file_key", *[F.col(c).cast("string").alias(r) if r != "value" else F.col(c).alias(r)
                                     for r, c in cols.items()])
@@ -115,29 +116,31 @@ def _three(pool: DataFrame, files: DataFrame | None, roles: dict[str, int | str]
     kept = _restrict_all(std, {r: a for r, a in axes.items() if r != key_role and r != union_role},
                          {r: n.get(r, {}).get("intersect", 0) for r in label_roles})
     std_key = kept.withColumn(key_role, F.col("file_key"))
-    pan = P.to_panel(std_key, F.col("date"), F.col("stock"), F.col("factor"), F.col("value"))
+    pan = P.to_panel(std_key, F.col("date"), F.col("stock"), F.col("factor"), F.col("value"), keep_text=keep_text)
     return Converted(pan, axes["date"], axes["stock"], axes["factor"], dense, layout)
 
 
 def layout2(pool: DataFrame, stock_col: int | str = 0, date_col: int | str = 1, value_col: int | str = 2,
-            files: DataFrame | None = None) -> Converted:
+            files: DataFrame | None = None, keep_text: bool = False) -> Converted:
     """LAY-2: file = factor; columns stock, date, value (by position or name)."""
-    return _three(pool, files, {"stock": stock_col, "date": date_col, "value": value_col}, "factor", None, 2, True)
+    return _three(pool, files, {"stock": stock_col, "date": date_col, "value": value_col}, "factor", None, 2, True, keep_text)
 
 
 def layout4(pool: DataFrame, date_col: int | str = 0, factor_name_col: int | str = 1,
-            factor_value_col: int | str = 2, files: DataFrame | None = None) -> Converted:
+            factor_value_col: int | str = 2, files: DataFrame | None = None,
+            keep_text: bool = False) -> Converted:
     """LAY-4: file = stock; columns date, factor name, value."""
     return _three(pool, files, {"date": date_col, "factor": factor_name_col, "value": factor_value_col},
-                  "stock", None, 4, True)
+                  "stock", None, 4, True, keep_text)
 
 
 def layout6(pool: DataFrame, stock_col: int | str = 0, factor_name_col: int | str = 1,
-            factor_value_col: int | str = 2, files: DataFrame | None = None) -> Converted:
+            factor_value_col: int | str = 2, files: DataFrame | None = None,
+            keep_text: bool = False) -> Converted:
     """LAY-6: file = date; columns stock, factor name, value.  Stocks are
     the union over files; each date is reindexed to all of them."""
     return _three(pool, files, {"stock": stock_col, "factor": factor_name_col, "value": factor_value_col},
-                  "date", "stock", 6, True)
+                  "date", "stock", 6, True, keep_text)
 
 
 def layout7(table: DataFrame, stock_col: int | str = 0, date_col: int | str = 1,

@@ -257,7 +257,17 @@ def rows_per_date(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def to_panel(df: DataFrame, date: Column, stock: Column, factor: Column, value: Column,
-             strict_dates: bool = True) -> DataFrame:
-    """Project to the long panel schema; date text parsed with SCA-1."""
-    return df.select(parse_date(date, strict=strict_dates).alias("date"), stock.cast("string").alias("stock"),
-                     factor.cast("string").alias("factor"), value.try_cast("double").alias("value"))
+             strict_dates: bool = True, keep_text: bool = False) -> DataFrame:
+    """Project to the long panel schema; date text parsed with SCA-1.
+
+    ``keep_text`` adds ``value_text``, the cell as it stands, for factors
+    that hold text (``text_factors``)."""
+    cols = [parse_date(date, strict=strict_dates).alias("date"), stock.cast("string").alias("stock"),
+            factor.cast("string").alias("factor"), value.try_cast("double").alias("value")]
+    return df.select(*cols, *([value.cast("string").alias("value_text")] if keep_text else []))
+
+
+def text_factors(panel: DataFrame) -> DataFrame:
+    """Factors with a cell that is no number (from ``value_text``): one column ``value``."""
+    return (panel.groupBy("factor").agg(F.bool_or(F.col("value_text").isNotNull() & F.col("value").isNull()).alias("_t"))
+            .filter("_t").select(F.col("factor").alias("value")))

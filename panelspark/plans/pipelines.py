@@ -25,7 +25,7 @@ def read_layout(spark: SparkSession, layout: int, input_path: str, fmt: str = "c
     if layout in WIDE_LAYOUTS:
         cells = R.read_wide_cells(spark, input_path, fmt)
         files = R.list_files(spark, input_path, fmt)
-        return L.convert(layout, cells, files=files)
+        return L.convert(layout, cells, files=files, **roles)
     if layout == 7:
         return L.layout7(_big_table(spark, input_path, fmt), **roles)[0]
     pool = R.read_keyed_folder(spark, input_path, fmt)
@@ -46,11 +46,16 @@ def convert_files(spark: SparkSession, layout: int, input_path: str, output_path
         conv, wide = L.layout7(_big_table(spark, input_path, input_format), **roles)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         out = wide.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-        w = out.repartitionByRange(n, "date", "stock").sortWithinPartitions("date", "stock").write.mode("overwrite")
-        w = w.partitionBy("date")
-        (w.option("header", True).csv(output_path) if output_format == "csv" else w.format(output_format).save(output_path))
+        out = out.repartitionByRange(n, "date", "stock").sortWithinPartitions("date", "stock")
+        w = out.write.mode("overwrite").partitionBy("date")
+        if output_format == "csv":
+            w.option("header", True).csv(output_path)
+        elif output_format == "feather":
+            W.write_feather(out, output_path, "overwrite")
+        else:
+            w.format(output_format).save(output_path)
     else:
-        conv = read_layout(spark, layout, input_path, input_format, **roles)
+        conv = read_layout(spark, layout, input_path, input_format, keep_text=True, **roles)
         W.write_cross_sections(conv, output_path, output_format)
     W.write_manifest(conv, os.path.join(output_path, "_manifest"), config_json=os.path.join(output_path, "config.json"),
                      layout=layout, input_path=input_path, output_path=output_path, input_format=input_format,
@@ -60,14 +65,23 @@ def convert_files(spark: SparkSession, layout: int, input_path: str, output_path
 
 def load_converted(spark: SparkSession, folder: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """ALN-6: a converted folder as (long panel, manifest axes); only dates
-    listed in the manifest and present on disk are read."""
+    listed in the manifest and present on disk are read.
+
+    Stocks stay text as written.  ``value`` is the number, ``value_text`` the cell of a
+    text factor (null for numbers)."""
     axes = R.read_manifest(spark, os.path.join(folder, "_manifest"))
     reader = spark.read.option("basePath", folder).option("pathGlobFilter", f"*.{fmt}")   # not config.json
-    wide = (reader.option("header", True).option("inferSchema", True).csv(folder) if fmt == "csv"
-            else reader.format(fmt).load(folder))
+    if fmt == "csv":
+        wide = reader.option("header", True).csv(folder)          # no inference: codes keep their zeros
+    elif fmt == "feather":
+        wide = R.read_feather(spark, folder)
+    else:
+        wide = reader.format(fmt).load(folder)
     factor_cols = [c for c in wide.columns if c not in ("date", "stock")]
-    long = wide.unpivot(["date", "stock"], [F.col(f"`{c}`").cast("double").alias(c) for c in factor_cols],
-                        "factor", "value").withColumn("date", F.col("date").cast("date"))
+    long = (wide.unpivot(["date", "stock"], [F.col(f"`{c}`").cast("string").alias(c) for c in factor_cols], "factor", "_cell")
+            .withColumn("value", F.col("_cell").try_cast("double"))
+            .withColumn("value_text", F.when(F.col("value").isNull(), F.col("_cell"))).drop("_cell")
+            .withColumn("date", F.col("date").cast("date")))
     dates = axes.filter(F.col("dim") == "dates").select(F.col("value").cast("date").alias("date"))
     return long.join(dates, "date", "left_semi").withColumn("stock", F.col("stock").cast("string")), axes
 

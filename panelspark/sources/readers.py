@@ -33,7 +33,7 @@ FILING_COLUMNS = ["ShareHolderID", "SystematicsID", "FundID", "CategoryCode", "S
                   "IndustryCode", "IndustryName", "EndDate", "Holdshares"]
 FILING_SCHEMA = StructType([StructField(c, StringType()) for c in FILING_COLUMNS])
 ALIAS_SCHEMA = StructType([StructField("code", StringType()), StructField("name", StringType())])
-CELL_SCHEMA = "file_key string, row_label string, col_label string, value double"
+CELL_SCHEMA = "file_key string, row_label string, col_label string, value string"
 
 
 def format_of(path: str) -> str:
@@ -171,13 +171,14 @@ def _cells_from_frame(key: str, pdf: pd.DataFrame) -> pd.DataFrame:
     long = body.stack(future_stack=True).reset_index()
     long.columns = ["row_label", "col_label", "value"]
     long.insert(0, "file_key", key)
-    long["value"] = pd.to_numeric(long["value"], errors="coerce").astype("float64")
+    values = long["value"]      # any cell value, as text; numbers are told apart by factor later
+    long["value"] = values.astype(object).where(values.notna(), None).map(lambda x: None if x is None else str(x))
     return long
 
 
 def read_wide_cells(spark: SparkSession, folder: str, fmt: str = "csv", rule: str = "first_dot") -> DataFrame:
     """Wide layout files (1, 3, 5) to cells ``(file_key, row_label,
-    col_label, value)``; each file keeps its own header and null cells."""
+    col_label, value STRING)``; each file keeps its own header and null cells."""
     glob = os.path.join(folder, f"*.{fmt}")
     files = spark.read.format("binaryFile").load(glob).select("path", "content")
 
@@ -224,17 +225,23 @@ def read_filings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_w2v_text(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-8: word2vec text vectors -> (token, vector ARRAY<FLOAT>).
+    """SRC-8: word2vec text vectors -> (token, vector ARRAY<FLOAT>, index).
 
-    The header ``n dim`` has two fields, a vector line ``dim + 1``; vector
-    lines are the longest lines (a scalar subquery), so no file is opened on
-    the driver.  Vectors need at least two dimensions to be told apart.
+    The first line of the first file is the header ``n dim``; every other line
+    is a vector, and one of another length raises.  ``index`` is the
+    line's place among the vectors (from 0): the vocabulary index.
     """
-    lines = spark.read.text(path).select(F.split(F.trim("value"), " ").alias("f"))
-    widest = lines.select(F.max(F.size("f"))).scalar()
-    vec = lines.filter((F.size("f") == widest) & (F.size("f") > 2))
-    return vec.select(F.col("f")[0].alias("token"),
-                      F.transform(F.slice("f", 2, F.size("f") - 1), lambda x: x.cast("float")).alias("vector"))
+    from panelspark.operators.indexing import global_index
+    lines = spark.read.text(path).select(
+        F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos")).filter("f[0] <> ''")
+    rows = global_index(lines, ["_file", "_block", "_pos"], "_line")
+    dim = rows.filter("_line = 0").select(F.col("f")[1].cast("int")).scalar()
+    bad = F.raise_error(F.concat(F.lit("vector line of another length: "), F.col("f")[0])).cast("array<float>")
+    values = F.transform(F.slice("f", 2, F.greatest(F.size("f") - 1, F.lit(0))), lambda x: x.cast("float"))
+    return rows.filter("_line > 0").select(
+        F.col("f")[0].alias("token"), F.when(F.size("f") == dim + 1, values).otherwise(bad).alias("vector"),
+        (F.col("_line") - 1).alias("index"))
 
 
 def read_alias(spark: SparkSession, path: str) -> DataFrame:

@@ -60,8 +60,8 @@ class _FeatherWriter(DataSourceArrowWriter):
     HDFS or object stores); the driver renames them on commit and removes
     them on abort, so a retried task never leaves a second file."""
 
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path, overwrite
+    def __init__(self, path: str, overwrite: bool, schema=None):
+        self.path, self.overwrite, self.schema = path, overwrite, schema
 
     def write(self, iterator: Iterator) -> _Written:
         import pyarrow.fs as pafs
@@ -80,7 +80,13 @@ class _FeatherWriter(DataSourceArrowWriter):
                     writer = ipc.new_file(out, batch.schema)
                 writer.write_batch(batch)
             if writer is None:
-                return _Written("", "")
+                if pid:
+                    out.close()
+                    fs.delete_file(tmp)
+                    return _Written("", "")
+                # the first task always leaves a file, so an empty table can be read back
+                from pyspark.sql.pandas.types import to_arrow_schema
+                writer = ipc.new_file(out, to_arrow_schema(self.schema))
             writer.close()
         return _Written(tmp, f"{base}/part-{pid:05d}-{uuid.uuid4().hex[:8]}.feather")
 
@@ -89,7 +95,13 @@ class _FeatherWriter(DataSourceArrowWriter):
         return pafs.FileSystem.from_uri(self.path)[0]
 
     def commit(self, messages) -> None:
+        import pyarrow.fs as pafs
         fs = self._fs()
+        if self.overwrite:      # what was there goes; the new parts are still under their temporary names
+            base = pafs.FileSystem.from_uri(self.path)[1]
+            for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
+                if i.base_name.endswith(".feather"):
+                    fs.delete_file(i.path)
         for m in messages:
             if m and m.tmp:
                 fs.move(m.tmp, m.final)
@@ -111,7 +123,7 @@ class FeatherDataSource(DataSource):
         return "panelspark_feather"
 
     def writer(self, schema, overwrite: bool):
-        return _FeatherWriter(self.options["path"], overwrite)
+        return _FeatherWriter(self.options["path"], overwrite, schema)
 
 
 def write_feather(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -124,12 +136,27 @@ def write_feather(df: DataFrame, path: str, mode: str = "append") -> None:
 # ---------------------------------------------------------------- cross-sections (SNK-4, SNK-5)
 def cross_sections(conv: Converted) -> DataFrame:
     """Wide rows (date, stock, f1..fk) of a converted panel, reindexed to
-    every kept stock where the layout says so (PAN-7, PAN-8)."""
+    every kept stock where the layout says so (PAN-7, PAN-8).
+
+    A panel with ``value_text`` (layouts read from files) keeps factors that
+    hold text as text columns, all others as numbers.
+    """
     factors = P.pivot_values(conv.factors)
+    panel, as_text = conv.panel, set()
+    if "value_text" in panel.columns:
+        as_text = {r["value"] for r in P.text_factors(panel).collect()} & set(factors)     # of the size-checked axis
+        if as_text:
+            panel = panel.withColumn("value", F.col("value_text"))
+        panel = panel.drop("value_text")
     if conv.dense:
-        dates = P.materialize(conv.panel.select(F.col("date").alias("value")).distinct())
-        return P.dense_cross_section(conv.panel, factors, dates, conv.stocks)
-    return P.cross_section(conv.panel, factors)
+        dates = P.materialize(panel.select(F.col("date").alias("value")).distinct())
+        wide = P.dense_cross_section(panel, factors, dates, conv.stocks)
+    else:
+        wide = P.cross_section(panel, factors)
+    if not as_text:
+        return wide
+    return wide.select("date", "stock", *[(F.col(f"`{c}`") if c in as_text else F.col(f"`{c}`").cast("double")).alias(c)
+                                          for c in factors])
 
 
 def write_cross_sections(conv: Converted, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -145,6 +172,8 @@ def write_cross_sections(conv: Converted, path: str, fmt: str = "parquet", mode:
     w = out.write.mode(mode).partitionBy("date")
     if fmt == "csv":
         w.option("header", True).csv(path)
+    elif fmt == "feather":      # one table sorted by (date, stock), the date a column
+        write_feather(out, path, mode)
     else:
         w.format(fmt).save(path)
 
@@ -204,27 +233,27 @@ def write_baskets(baskets: DataFrame, path: str, holder: str = "ShareHolderID",
         w.format(fmt).save(path)
 
 
-def estimate_row_bytes(df: DataFrame, sample_rows: int = 10_000) -> float:
-    """Average CSV line size of the first ``sample_rows`` rows (one small job)."""
-    line = F.length(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])) + 1
-    r = df.limit(sample_rows).agg(F.avg(line)).first()[0]
-    return float(r or 1.0)
+def csv_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as CSV lines, quoting and encoding included."""
+    line = F.octet_length(F.to_csv(F.struct(*[F.col(c) for c in df.columns]))) + 1
+    return int(df.agg(F.coalesce(F.sum(line.cast("long")), F.lit(0))).first()[0])
 
 
 def write_merged(df: DataFrame, path: str, max_file_size_mb: float = 100, filter_func=None,
                  mode: str = "overwrite") -> int:
-    """SNK-7: CSV files of at most about ``max_file_size_mb`` each.
-
-    Every row is written once; the cap becomes ``maxRecordsPerFile`` from
-    an estimated row size, so exact cut points differ from the reference
-    (which appended whole inputs until over the cap).  Returns the rows per
-    file used.
+    """SNK-7: CSV files that fill ``max_file_size_mb`` each.
+
+    The bytes of all rows give the number of files; every row is written once,
+    dealt out evenly whatever the input's partitions, so small inputs are
+    merged and long rows don't gather in one file.  Files differ from the
+    cap by the spread of the row sizes; exact cut points differ from the
+    reference (which appended whole inputs until over the cap).
+    Returns the number of files.
     """
     out = df.transform(filter_func) if filter_func else df
-    per_row = estimate_row_bytes(out)
-    max_records = max(1, int(max_file_size_mb * 1024 * 1024 / per_row))
-    out.write.mode(mode).option("header", True).option("maxRecordsPerFile", max_records).csv(path)
-    return max_records
+    n_files = max(1, -(-csv_bytes(out) // max(1, int(max_file_size_mb * 1024 * 1024))))
+    out.repartition(n_files).write.mode(mode).option("header", True).csv(path)
+    return n_files
 
 
 def write_dimensions(holders: DataFrame, industries: DataFrame, out_dir: str) -> None:
@@ -237,12 +266,15 @@ def write_dimensions(holders: DataFrame, industries: DataFrame, out_dir: str) ->
 def write_w2v_text(vectors: DataFrame, path: str, order_col: str | None = None) -> None:
     """SNK-9: word2vec text format: ``n dim``, then ``token v1 ... vd``.
 
-    The header is a row ordered before all vectors in a range-partitioned
-    sort, so it is the first line of the first part file.
+    The line order is the vocabulary index: ``order_col``, else the column
+    ``index`` if there is one, else the rows' own order.  The header is a
+    row ordered before all vectors in a range-partitioned sort, so it is the
+    first line of the first part file.
     """
+    order_col = order_col or ("index" if "index" in vectors.columns else None)
     n = vectors.select(F.count(F.lit(1))).scalar()
     dim = vectors.select(F.max(F.size("vector"))).scalar()
-    key = F.col(order_col).cast("double") if order_col else F.lit(0.0)
+    key = (F.col(order_col) if order_col else F.monotonically_increasing_id()).cast("double")
     lines = vectors.select(key.alias("_k"), F.col("token").alias("_t"),
                            F.concat_ws(" ", F.col("token"), F.array_join(
                                F.transform("vector", lambda x: x.cast("string")), " ")).alias("value"))
@@ -252,9 +284,12 @@ def write_w2v_text(vectors: DataFrame, path: str, order_col: str | None = None)
     header.unionByName(lines).orderBy("_k", "_t").select("value").write.mode("overwrite").text(path)
 
 
-def write_vocab_json(vocab: DataFrame, path: str) -> None:
-    """SNK-10: token -> index (and back), one JSON object per token."""
+def write_vocab_json(vocab: DataFrame, path: str, reverse_path: str | None = None) -> None:
+    """SNK-10: token -> index, one JSON object per token, and at
+    ``reverse_path`` index -> token, in index order."""
     vocab.select("token", "index").write.mode("overwrite").json(path)
+    if reverse_path:
+        vocab.select("index", "token").orderBy("index").write.mode("overwrite").json(reverse_path)
 
 
 def read_json_lines(path: str) -> list[dict]:
