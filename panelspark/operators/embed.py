@@ -22,16 +22,27 @@ from panelspark.functions.rand import normal
 
 
 def train_word2vec(sent: DataFrame, col: str = "tokens", vector_size: int = 100, window: int = 5,
-                   min_count: int = 1, max_iter: int = 10, seed: int = 42, num_partitions: int = 4,
-                   step_size: float = 0.025, max_sentence_length: int = 1000):
+                   min_count: int = 1, max_iter: int = 10, seed: int = 42, num_partitions: int | None = None,
+                   step_size: float = 0.025, max_sentence_length: int | None = None,
+                   sentences_per_partition: int = 250_000, driver_budget_mb: int = 4_096):
     """EMB-1: fit Word2Vec; returns (model, vectors (token, vector ARRAY<DOUBLE>)).
 
-    ``num_partitions`` plays the part of the reference's 4 worker threads
-    (Spark trains one model per partition and averages them each pass).
+    Spark trains one model per partition and averages them each pass.  The
+    number of partitions comes from the data (the reference's 4 workers, and
+    one for every ``sentences_per_partition``), the sentence length from the
+    longest one, so none is cut.  A vocabulary whose two vector tables
+    exceed ``driver_budget_mb`` is refused: they live on the driver.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
+    size = sent.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(col)), F.lit(0)).alias("longest")).first()
+    num_partitions = num_partitions or max(4, -(-size["n"] // sentences_per_partition))
+    max_sentence_length = max_sentence_length or max(1, size["longest"])
+    tokens = sent.select(F.explode(col).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") >= min_count).count()
+    if 2 * 4 * tokens * vector_size > driver_budget_mb << 20:
+        raise ValueError(f"{tokens} tokens x {vector_size} dimensions exceed the driver budget of {driver_budget_mb} MB")
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, seed=seed,
                    numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_sentence_length,
                    inputCol=col, outputCol="_avg")

@@ -103,6 +103,33 @@ WHERE {uniform_sql(SEED, 'subsample', 'holder', 'end_date', 'pos')} < least(1.0,
 GROUP BY holder, end_date"""
 
 
+def tok10_duplicate_keys(spark, sf_dir):
+    """Subsampling with a key that many rows share (the holder alone)."""
+    sent = _sent(spark, sf_dir).select("holder", "tokens")
+    return C.subsample(sent, ["holder"], sample=1e-3, seed=SEED).select("holder", F.array_join("tokens", " ").alias("kept"))
+
+
+TOK10_DUP_SQL = f"""WITH t AS ({T_SQL}),
+c AS (SELECT token, count(*) AS cnt FROM t GROUP BY token),
+tot AS (SELECT sum(cnt) AS total FROM c),
+j AS (SELECT t.*, 0.001 * (SELECT total FROM tot) / c.cnt AS r FROM t JOIN c USING (token))
+SELECT holder, string_agg(token, ' ' ORDER BY pos) AS kept FROM j
+WHERE {uniform_sql(SEED, 'subsample', 'holder', 'pos')} < least(1.0, sqrt(r) + r)
+GROUP BY holder, end_date"""
+
+
+def tok09_vocab_size(spark, sf_dir):
+    """Size of the vocabulary with its special tokens, checked as a model would."""
+    vocab = _vocab(spark, sf_dir)
+    size = vocab.count()
+    C.check_vocab_size(vocab, size)
+    return vocab.agg(F.count(F.lit(1)).alias("vocab_size"), F.max("index").alias("last_index"))
+
+
+TOK09_SQL = f"""WITH t AS ({T_SQL})
+SELECT count(DISTINCT token) + 5 AS vocab_size, count(DISTINCT token) + 4 AS last_index FROM t"""
+
+
 def _alias(spark, sf_dir):
     return V.v_alias(spark, sf_dir)
 
@@ -169,6 +196,16 @@ MLM01_SQL = _ids_sql() + """
 SELECT holder, end_date, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS input_ids FROM ids GROUP BY ALL"""
 
 
+def mlm01_duplicate_keys(spark, sf_dir):
+    """Ids with a key that many rows share: one result row per input row."""
+    ids = M.token_ids(_sent(spark, sf_dir).select("holder", "tokens"), ["holder"], _vocab(spark, sf_dir))
+    return ids.select("holder", _text("input_ids").alias("input_ids"))
+
+
+MLM01_DUP_SQL = _ids_sql() + """
+SELECT holder, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS input_ids FROM ids GROUP BY holder, end_date"""
+
+
 def _rows_sql(max_length, mask_prob, random_prob):
     L = max_length
     u = lambda k: uniform_sql(SEED, "mlm", "holder", "end_date", "pos", k=k)
@@ -247,15 +284,22 @@ SELECT holder, end_date, sample_idx, sample_idx // 32 AS batch_id FROM o"""
 
 # ---------------------------------------------------------------- EMB
 def emb01_word2vec(spark, sf_dir):
-    """Trained vectors (shape and norms) with the reference trainer's
+    """Trained tokens and their dimensions with the reference trainer's
     settings: frequent tokens subsampled (sample 1e-3, TOK-10), dim 100,
-    window 5, min count 1, 10 passes, 4 partitions for its 4 workers.
-    Spark's Word2Vec differs from the reference's trainer, so there is no
-    SQL oracle."""
+    window 5, min count 1, 10 passes.  Spark's Word2Vec differs from the
+    reference's trainer, so the vectors themselves have no SQL oracle; the
+    token set and shape do."""
     sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
-    _, vec = EM.train_word2vec(sub, vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED, num_partitions=4)
-    return vec.select("token", F.size("vector").alias("n_dims"),
-                      F.round(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+    _, vec = EM.train_word2vec(sub, vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED)
+    return vec.select("token", F.size("vector").alias("n_dims"))
+
+
+EMB01_SQL = f"""WITH t AS ({T_SQL}),
+c AS (SELECT token, count(*) AS cnt FROM t GROUP BY token),
+tot AS (SELECT sum(cnt) AS total FROM c),
+j AS (SELECT t.*, 0.001 * (SELECT total FROM tot) / c.cnt AS r FROM t JOIN c USING (token))
+SELECT DISTINCT token, CAST(100 AS INTEGER) AS n_dims FROM j
+WHERE {uniform_sql(SEED, 'subsample', 'holder', 'end_date', 'pos')} < least(1.0, sqrt(r) + r)"""
 
 
 def _vec(spark, sf_dir):
@@ -356,6 +400,9 @@ QUERIES = {
     "mlm10_locate": mlm10_locate,
     "mlm11_batches": mlm11_batches,
     "emb01_word2vec": emb01_word2vec,
+    "tok09_vocab_size": tok09_vocab_size,
+    "tok10_duplicate_keys": tok10_duplicate_keys,
+    "mlm01_duplicate_keys": mlm01_duplicate_keys,
     "emb02_vector_of": emb02_vector_of,
     "emb03_matrix": emb03_matrix,
 }
@@ -370,7 +417,11 @@ ORACLE = {
     "tok05_token_counts": TOK05_SQL,
     "tok06_vocabulary": TOK06_SQL,
     "tok07_index_to_token": TOK07_SQL,
+    "tok09_vocab_size": TOK09_SQL,
     "tok10_subsample": TOK10_SQL,
+    "tok10_duplicate_keys": TOK10_DUP_SQL,
+    "mlm01_duplicate_keys": MLM01_DUP_SQL,
+    "emb01_word2vec": EMB01_SQL,
     "tok11_alias_maps": TOK11_SQL,
     "tok12_encode": TOK12_SQL,
     "tok13_decode": TOK13_SQL,

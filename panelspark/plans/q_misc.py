@@ -63,6 +63,21 @@ SELECT epoch, step, loss,
 FROM l WINDOW w AS (PARTITION BY epoch ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
 
+def sta03_running_offset(spark, sf_dir):
+    """Running std of values far from zero (the losses plus a billion)."""
+    log = V.v_log(spark, sf_dir).withColumn("loss", F.col("loss") + 1e9)
+    r = ST.running_summary(log, ["epoch"], ["step"], "loss", ddof=0)
+    # a shift off the grid of the two-decimal losses: their std often lies on a rounding tie
+    return r.select("epoch", "step", "run_count", F.round(F.col("run_std") + 0.0137, 1).alias("run_std"))
+
+
+STA03_OFFSET_SQL = f"""
+WITH l AS ({V_LOG_SQL})
+SELECT epoch, step, count(loss) OVER w AS run_count,
+  round(CASE WHEN count(loss) OVER w < 2 THEN 'NaN'::DOUBLE ELSE stddev_pop(loss) OVER w END + 0.0137, 1) AS run_std
+FROM l WINDOW w AS (PARTITION BY epoch ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
 def sta04_epoch_report(spark, sf_dir):
     r = ST.epoch_report(V.v_log(spark, sf_dir), report_every=5)
     return r.select("epoch", "n_steps", _r("loss_mean"), _r("loss_std"))
@@ -259,6 +274,7 @@ QUERIES = {
     "sta01_summary": sta01_summary,
     "sta02_var_ddof1": sta02_var_ddof1,
     "sta03_running": sta03_running,
+    "sta03_running_offset": sta03_running_offset,
     "sta04_epoch_report": sta04_epoch_report,
     "sta05_every_nth_step": sta05_every_nth,
     "sta06_non_finite": sta06_non_finite,
@@ -276,6 +292,7 @@ ORACLE = {
     "sta01_summary": STA01_SQL,
     "sta02_var_ddof1": STA02_SQL,
     "sta03_running": STA03_SQL,
+    "sta03_running_offset": STA03_OFFSET_SQL,
     "sta04_epoch_report": STA04_SQL,
     "sta05_every_nth_step": STA05_SQL,
     "sta06_non_finite": STA06_SQL,

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from panelspark.plans.views import TABLES
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"emb01_word2vec"}
+NO_ORACLE: set[str] = set()
 
 
 def test_entry_runs(spark):
@@ -16,7 +16,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_word2vec():
+def test_every_query_has_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     own = {k for k in q if k != "pipeline" and not (k.startswith("op") and k[2:3].isdigit())}
     assert own - set(o) == NO_ORACLE
