@@ -71,3 +71,26 @@ def op2_interleave(spark, sf_dir: str) -> DataFrame:
     out = interleave(rows, tie_cols=("size", "text_crc32"))
     return out.select("doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+# CRC-32 byte by byte: its table from the polynomial (a fixed value), then one fold over the text's bytes.
+ORACLE = {"op2_interleave": f"""
+WITH poly AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(n))),
+d AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+base AS (
+  SELECT doc_id, source, n + 1 AS size, md5(concat_ws(':', '{SEED}', doc_id)) AS k,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(n), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+        lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) AS text_crc32
+  FROM d CROSS JOIN poly),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS m FROM base),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(2 * r + 1 AS DOUBLE) / CAST(2 * m AS DOUBLE), source NULLS FIRST, k, doc_id) - 1 AS pos,
+    count(*) OVER () AS total FROM ranked),
+cut AS (SELECT *, (pos * {N_SHARDS}) // total AS s FROM placed)
+SELECT doc_id, source, size, text_crc32, 'rows' AS law, CAST(s AS INTEGER) AS shard,
+  pos - (s * total + {N_SHARDS - 1}) // {N_SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut"""}

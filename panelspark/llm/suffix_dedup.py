@@ -389,3 +389,22 @@ def op6_suffix_shards(spark, sf_dir: str) -> DataFrame:
     """What every document loses to strings of 400 bytes that occur elsewhere."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeats(docs, keep=["doc_id"], with_text=False)
+
+
+# Every window by its MD5; runs of removed bytes as islands of repeated starts.
+ORACLE = {"op6_suffix_shards": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT rid, i, md5(substr(x, 2 * i + 1, {2 * LENGTH})) AS h FROM (SELECT rid, x, unnest(range(0, n - {LENGTH - 1})) AS i FROM d WHERE n >= {LENGTH})),
+often AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+s AS (SELECT rid, i, i - lag(i) OVER (PARTITION BY rid ORDER BY i) AS gap FROM w WHERE h IN (SELECT h FROM often)),
+g AS (SELECT rid, i, sum(CASE WHEN gap IS NULL OR gap > {LENGTH} THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS run FROM s),
+runs AS (SELECT rid, run, min(i) AS a, max(i) + {LENGTH} AS b FROM g GROUP BY rid, run),
+before AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS e FROM runs),
+cut AS (
+  SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(x, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS head
+  FROM before JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)"""}
