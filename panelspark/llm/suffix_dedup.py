@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import sais
 from panelspark.llm.common import byte_slices, partitions, ship, stage
+from panelspark.session import checkpoint_dir
 
 ship(__name__)
 
@@ -267,11 +268,14 @@ def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: in
     spark = df.sparkSession
     runs = (scanned.select("k1", "k2", F.explode(F.arrays_zip("start", "count", "low", "own", "twice")).alias("r"))
             .select("k1", "k2", "r.*"))
-    often = runs.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("t")).filter("n > 1 or t").select("low")
+    # the tables of minimisers are cut off their aggregations, so that the joins with them can split hot minimisers
+    checkpoint_dir(spark)
+    often = (runs.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("t")).filter("n > 1 or t")
+             .select("low").checkpoint())
     runs = stage(runs.join(often, "low"), "suffix-runs")
     kinds = stage(runs.groupBy("low", "own", "count")
                   .agg(F.count(F.lit(1)).alias("n_occ"), F.max("twice").alias("twice"), F.min(F.struct("k1", "k2", "start")).alias("place")), "suffix-kinds")
-    several = kinds.groupBy("low").agg(F.count(F.lit(1)).alias("d"), F.max("twice").alias("t")).filter("d > 1 or t")
+    several = kinds.groupBy("low").agg(F.count(F.lit(1)).alias("d"), F.max("twice").alias("t")).filter("d > 1 or t").checkpoint()
     need = (kinds.join(several, "low")
             .select("low", "own", "count", "n_occ", "d", "place.k1", "place.k2", "place.start"))
     # whole runs of which the corpus has an equal one
