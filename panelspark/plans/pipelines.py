@@ -16,6 +16,7 @@ from panelspark.operators import layouts as L
 from panelspark.operators import mlm as M
 from panelspark.sources import readers as R
 from panelspark.sources import writers as W
+from panelspark.session import scratch_path
 
 WIDE_LAYOUTS = {1, 3, 5}
 
@@ -89,7 +90,10 @@ def load_converted(spark: SparkSession, folder: str, fmt: str = "parquet") -> tu
 def run_holdings(spark: SparkSession, input_dir: str, static_dir: str, output_dir: str,
                  per_holder: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """HLD-9 / E2: filings -> dimension tables (SNK-8) -> baskets (SNK-6)."""
-    filings = R.read_filings(spark, input_dir)
+    # the files are parsed once; three plans read the staged table, with one row order
+    path = scratch_path(spark, "filings")
+    R.read_filings(spark, input_dir).write.parquet(path)
+    filings = spark.read.parquet(path)
     holders, industries, baskets = H.holdings_pipeline(filings)
     W.write_dimensions(holders, industries, static_dir)
     out = baskets.withColumn("EndDate", F.date_format("EndDate", "yyyy-MM-dd"))
