@@ -42,7 +42,7 @@ PER_LANG = 6_000           # labelled documents learned from, per language, abou
 SWITCH = 14.0              # nats for a change of language
 SCRIPT_SHARE = 0.002       # of a language's letters, to make it a candidate for a script
 UNSEEN = 30.0              # nats against a language that isn't a candidate
-_SLICE = 12 << 20
+_SLICE = 4 << 20
 
 # First and last code point of the scripts' main blocks.
 SCRIPTS = {
@@ -244,7 +244,9 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: l
     asked for, ``spans`` (language, first word, words).  Columns of ``keep``
     with these names are not allowed."""
     keep = keep or []
-    src = df.select(F.struct(*[F.col(c) for c in keep] or [F.lit(0)]).alias("row_"), F.col(text_col).cast("string").alias("text_"))
+    others = [c for c in keep if c != text_col]
+    back = len(others) < len(keep)          # the text goes to Python once, and back only if kept
+    src = df.select(F.struct(*[F.col(c) for c in others] or [F.lit(0)]).alias("row_"), F.col(text_col).cast("string").alias("text_"))
     shared = df.sparkSession.sparkContext.broadcast(model and (model.langs, model.logp, model.against))   # languages x buckets numbers: fixed by the model
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("words", pa.int32())]))
 
@@ -278,14 +280,20 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: l
                 cols = [part.column(0), pa.array(names[lang].tolist(), pa.string()), pa.array(score)]
                 if spans:
                     cols.append(pa.array(found, span_type))
-                yield pa.RecordBatch.from_arrays(cols, names=["row_", "lang_pred", "score", "spans"][:len(cols)])
+                names_ = ["row_", "lang_pred", "score", "spans"][:len(cols)]
+                if back:
+                    cols.append(part.column(1))
+                    names_.append("text_")
+                yield pa.RecordBatch.from_arrays(cols, names=names_)
 
     schema = src.select("row_").schema.add("lang_pred", "string").add("score", "double")
     if spans:
         schema = schema.add("spans", SPANS)
+    if back:
+        schema = schema.add("text_", "string")
     out = src.mapInArrow(task, schema)
     own = ["lang_pred", "score"] + ["spans"] * spans
-    return out.select(*[F.col("row_").getField(c).alias(c) for c in keep], *own)
+    return out.select(*[(F.col("text_") if c == text_col else F.col("row_").getField(c)).alias(c) for c in keep], *own)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
