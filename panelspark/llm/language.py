@@ -16,6 +16,13 @@ Words without letters take their neighbours' label and have no weight.
 Texts are worked on side by side, one word of each at a time, so memory is
 the slice's words and never a text-by-text Python loop.
 
+``keep_known`` drops what fits no learned language: texts most of whose
+letters are of scripts that no language was seen in, and texts whose n-grams'
+mean log-probability a letter lies further below the usual one than
+``MARGIN`` times what all but ``FIT_TAIL`` of labelled documents kept out of the
+learning do.  The distance is taken in units of 1 + sqrt(``FIT_LETTERS`` / letters),
+since short texts vary more.
+
 Null texts and texts without letters are ``und`` with score 0 and no spans;
 so is everything when no labelled text is given.  Ties go to the
 first language in order.  Other columns of the input play no part.
@@ -42,6 +49,10 @@ PER_LANG = 6_000           # labelled documents learned from, per language, abou
 SWITCH = 14.0              # nats for a change of language
 SCRIPT_SHARE = 0.002       # of a language's letters, to make it a candidate for a script
 UNSEEN = 30.0              # nats against a language that isn't a candidate
+FIT_DOCS = 2_000           # documents the usual fit is measured on, per language, about
+FIT_TAIL = 0.01
+FIT_LETTERS = 100
+MARGIN = 3.0
 _SLICE = 4 << 20
 
 # First and last code point of the scripts' main blocks.
@@ -142,8 +153,8 @@ class Words:
 class Model:
     """Log-probabilities (4, BUCKETS, languages) and candidates per script."""
 
-    def __init__(self, langs: list[str], logp: np.ndarray, against: np.ndarray):
-        self.langs, self.logp, self.against = langs, logp, against
+    def __init__(self, langs: list[str], logp: np.ndarray, against: np.ndarray, known: np.ndarray):
+        self.langs, self.logp, self.against, self.known = langs, logp, against, known
 
     @staticmethod
     def of(langs: list[str], counts: np.ndarray) -> "Model":
@@ -152,10 +163,12 @@ class Model:
         letters = counts[:, 4, :len(SCRIPTS) + 2]
         share = letters / np.maximum(1, letters.sum(axis=1, keepdims=True))
         cand = share >= SCRIPT_SHARE
-        cand[:, ~cand.any(axis=0)] = True        # a script that no language was seen in: all remain
-        return Model(langs, logp, np.where(cand.T, 0, -UNSEEN).astype(np.float32))
+        known = cand.any(axis=0)
+        cand[:, ~known] = True        # a script that no language was seen in: all remain
+        return Model(langs, logp, np.where(cand.T, 0, -UNSEEN).astype(np.float32), known)
 
-    def scores(self, words: Words) -> np.ndarray:
+    def scores(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each word for each language, and of its n-grams alone, a letter."""
         out = np.zeros((words.n, len(self.langs)), np.float32)
         has = np.flatnonzero(words.letters)
         if len(has):
@@ -166,8 +179,10 @@ class Model:
                 b = first[lo + 100_000] if lo + 100_000 < len(has) else len(words.of)
                 grams = sum(self.logp[k][words.grams[k][a:b]] for k in range(3))
                 out[has[part]] = np.add.reduceat(grams, first[part] - a, axis=0) / 3
+            grams = out / np.maximum(1, words.letters)[:, None]
             out[has] += self.logp[3][words.whole[has]] + self.against[words.word_script[has]]
-        return out
+            return out, grams
+        return out, out
 
 
 def viterbi(scores: np.ndarray, word: np.ndarray, offsets: np.ndarray, switch: float) -> np.ndarray:
@@ -202,19 +217,26 @@ def viterbi(scores: np.ndarray, word: np.ndarray, offsets: np.ndarray, switch: f
     return label
 
 
-def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column, per_lang: int = PER_LANG) -> Model | None:
-    """Model from the labelled ``rows``, about ``per_lang`` texts a language."""
+def sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column, per_lang: int) -> tuple[list[str], DataFrame]:
+    """Languages of the labelled ``rows``, and about ``per_lang`` texts of each (text_, lang_)."""
     src = (docs.filter(rows & F.col(lang_col).isNotNull())
            .select(F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_"),
                    F.col(id_col).cast("string").alias("id_")))
     sizes = {r["lang_"]: r["n"] for r in src.groupBy("lang_").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row a language
-    if not sizes:
-        return None
     langs = sorted(sizes)
-    number = {lang: k for k, lang in enumerate(langs)}
+    if not langs:
+        return langs, src.select("text_", "lang_")
     quota = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, per_lang / sizes[lang]))])
     draw = F.pmod(F.xxhash64(F.coalesce("id_", F.lit("")), F.lit("train")), F.lit(1 << 20)) / float(1 << 20)
-    picked = src.filter(draw < F.element_at(quota, F.col("lang_"))).select("text_", "lang_")
+    return langs, src.filter(draw < F.element_at(quota, F.col("lang_"))).select("text_", "lang_")
+
+
+def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column, per_lang: int = PER_LANG) -> Model | None:
+    """Model from the labelled ``rows``, about ``per_lang`` texts a language."""
+    langs, picked = sample(docs, text_col, lang_col, id_col, rows, per_lang)
+    if not langs:
+        return None
+    number = {lang: k for k, lang in enumerate(langs)}
 
     def task(batches):
         total = np.zeros((len(langs), 5, BUCKETS))
@@ -238,16 +260,16 @@ def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Colu
     return Model.of(langs, counts.reshape(len(langs), 5, BUCKETS))
 
 
-def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None,
-             switch: float = SWITCH, spans: bool = True) -> DataFrame:
-    """The columns ``keep`` of ``df`` with ``lang_pred``, ``score`` and, if
-    asked for, ``spans`` (language, first word, words).  Columns of ``keep``
-    with these names are not allowed."""
-    keep = keep or []
+def told(df: DataFrame, model: Model | None, text_col: str, keep: list[str], switch: float = SWITCH, spans: bool = True,
+         fit: bool = False) -> DataFrame:
+    """``row_`` (the columns ``keep`` but the text), ``lang_pred``, ``score``
+    and, if asked for, ``spans``, ``fit`` (mean log-probability a letter of the
+    n-grams, over the letters of learned scripts), ``letters`` (number of
+    these), ``strange`` (number of the others) and, if kept, ``text_``."""
     others = [c for c in keep if c != text_col]
     back = len(others) < len(keep)          # the text goes to Python once, and back only if kept
     src = df.select(F.struct(*[F.col(c) for c in others] or [F.lit(0)]).alias("row_"), F.col(text_col).cast("string").alias("text_"))
-    shared = df.sparkSession.sparkContext.broadcast(model and (model.langs, model.logp, model.against))   # languages x buckets numbers: fixed by the model
+    shared = df.sparkSession.sparkContext.broadcast(model and (model.langs, model.logp, model.against, model.known))   # languages x buckets numbers: fixed by the model
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("words", pa.int32())]))
 
     def task(batches):
@@ -256,18 +278,25 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: l
             for part in byte_slices(batch, 1, _SLICE):
                 rows = part.num_rows
                 lang, score = np.full(rows, -1), np.zeros(rows)
+                mean, near, far = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
                 found = [[] for _ in range(rows)]
                 words, index, offsets = WT.split_words(part.column(1))
                 if m is not None and len(words):
                     index = index.to_numpy()
                     w = Words(words)
-                    label = viterbi(m.scores(w), index, offsets, switch)
+                    scores, grams = m.scores(w)
+                    label = viterbi(scores, index, offsets, switch)
                     of = np.repeat(np.arange(rows), np.diff(offsets))
                     weight = np.bincount(of * len(m.langs) + label, w.letters[index], rows * len(m.langs)).reshape(rows, -1)
                     total = weight.sum(axis=1)
                     some = total > 0
                     lang[some] = weight[some].argmax(axis=1)
                     score[some] = weight[some].max(axis=1) / total[some]
+                    if fit:
+                        size = np.where(m.known[w.word_script], w.letters, 0)[index]
+                        near = np.bincount(of, size, rows).astype(np.int64)
+                        far = total.astype(np.int64) - near
+                        mean = np.bincount(of, grams[index, label] * size, rows) / np.maximum(1, near)
                     if spans:
                         cut = np.flatnonzero(np.diff(label) | np.diff(of)) + 1
                         head = np.concatenate([[0], cut]) if len(of) else cut
@@ -278,9 +307,13 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: l
                                 found[r].append({"lang": m.langs[label[h]], "first_word": int(h - offsets[r]), "words": s})
                 names = np.array([*(m.langs if m else []), "und"], object)
                 cols = [part.column(0), pa.array(names[lang].tolist(), pa.string()), pa.array(score)]
+                names_ = ["row_", "lang_pred", "score"]
                 if spans:
                     cols.append(pa.array(found, span_type))
-                names_ = ["row_", "lang_pred", "score", "spans"][:len(cols)]
+                    names_.append("spans")
+                if fit:
+                    cols += [pa.array(mean), pa.array(near), pa.array(far)]
+                    names_ += ["fit", "letters", "strange"]
                 if back:
                     cols.append(part.column(1))
                     names_.append("text_")
@@ -289,11 +322,52 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: l
     schema = src.select("row_").schema.add("lang_pred", "string").add("score", "double")
     if spans:
         schema = schema.add("spans", SPANS)
+    if fit:
+        schema = schema.add("fit", "double").add("letters", "long").add("strange", "long")
     if back:
         schema = schema.add("text_", "string")
-    out = src.mapInArrow(task, schema)
+    return src.mapInArrow(task, schema)
+
+
+def unpacked(text_col: str, keep: list[str]) -> list[Column]:
+    """The columns ``keep`` of a table of ``told``."""
+    return [(F.col("text_") if c == text_col else F.col("row_").getField(c)).alias(c) for c in keep]
+
+
+def identify(df: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None,
+             switch: float = SWITCH, spans: bool = True) -> DataFrame:
+    """The columns ``keep`` of ``df`` with ``lang_pred``, ``score`` and, if
+    asked for, ``spans`` (language, first word, words).  Columns of ``keep``
+    with these names are not allowed."""
+    keep = keep or []
     own = ["lang_pred", "score"] + ["spans"] * spans
-    return out.select(*[(F.col("text_") if c == text_col else F.col("row_").getField(c)).alias(c) for c in keep], *own)
+    return told(df, model, text_col, keep, switch, spans).select(*unpacked(text_col, keep), *own)
+
+
+def unit() -> Column:
+    """Of a text's distance from the usual fit: larger for short texts."""
+    return 1 + F.sqrt(FIT_LETTERS / F.greatest(F.col("letters"), F.lit(1)))
+
+
+def level(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, rows: Column,
+          per_lang: int = FIT_DOCS) -> tuple[float, float] | None:
+    """The usual fit and the largest distance below it (in ``unit``) of a text
+    that is kept, from labelled ``rows`` that nothing was learned from."""
+    _, picked = sample(docs, text_col, lang_col, id_col, rows, per_lang)
+    fits = told(picked, model, "text_", [], spans=False, fit=True).filter("letters > 0").select("fit", "letters")
+    got = fits.agg(F.percentile_approx("fit", F.array(F.lit(0.5), F.lit(0.25)), 10_000).alias("m")).first()["m"]
+    if not got:
+        return None
+    far = fits.agg(F.percentile_approx((got[0] - F.col("fit")) / unit(), 1 - FIT_TAIL, 10_000)).first()[0]
+    return float(got[0]), MARGIN * max(float(far), float(got[0] - got[1]))
+
+
+def keep_known(df: DataFrame, model: Model, at: tuple[float, float] | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text fits a learned language; any column names."""
+    rows = told(df, model, text_col, df.columns, spans=False, fit=True).filter("lang_pred <> 'und' and letters >= strange")
+    if at is not None:
+        rows = rows.filter((at[0] - F.col("fit")) / unit() <= at[1])
+    return rows.select(*unpacked(text_col, df.columns))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
