@@ -18,6 +18,11 @@ meet.  Runs of windows with one minimiser travel as one stretch of text:
    shards by its 128-bit hash;
 5. the removed runs of each text are joined to it and cut out.
 
+``strip_repeats`` also cuts passages of ``words`` words, whatever their bytes, if asked:
+the same steps run over texts whose words are codes of ``CODE`` bytes (42 bits
+of a hash), with a length of ``words`` codes; ranges that begin or end
+inside a code count from the next or to the last whole one.
+
 Texts are told apart by two 64-bit hashes; copies share their result, so they
 are never paired.  Null texts count as empty; texts shorter than ``length``
 keep all; repeated rows are copies of each other; null ids are allowed;
@@ -27,6 +32,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import sais
+from panelspark.llm import word_tokens as WT
 from panelspark.llm.common import byte_slices, partitions, ship, stage
 from panelspark.session import checkpoint_dir
 
@@ -45,6 +52,9 @@ MAX_WINDOWS = 512          # of a run before it is cut in two (only repetitive t
 GROUP = 24                 # different stretches of a minimiser per shard
 SHARD_BYTES = 8_192        # small groups share a shard up to this
 BATCH_BYTES = 6 << 20      # of shards whose arrays are induced side by side
+CODE = 6                   # bytes of a word's code, seven bits each
+CODE_GRAM = 32
+WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _SLICE = 4 << 20
 _PIECE = 1 << 18
 
@@ -318,30 +328,75 @@ def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: in
     return ranges, texts.select("k1", "k2", "text_")
 
 
-def merged(ranges: list[dict]) -> list[tuple[int, int]]:
-    """Sorted ranges as maximal runs."""
+def merged(ranges: list[dict], touching: bool = True) -> list[tuple[int, int]]:
+    """Sorted ranges as maximal runs; those that only touch are one, if asked for."""
     out: list[list[int]] = []
     for r in ranges:
-        if out and r["a"] <= out[-1][1]:
+        if out and r["a"] < out[-1][1] + touching:
             out[-1][1] = max(out[-1][1], r["b"])
         else:
             out.append([r["a"], r["b"]])
     return [(a, b) for a, b in out]
 
 
+def word_codes(df: DataFrame, text_col: str) -> DataFrame:
+    """``t1``, ``t2`` (the text's hashes) and ``code``: its words' codes end to end."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    src = df.select(F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text_"))
+
+    def task(batches):
+        import xxhash
+        for batch in batches:
+            for part in byte_slices(batch, 2, _SLICE):
+                words, index, offsets = WT.split_words(part.column(2))
+                h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+                codes = np.stack([(h >> np.uint64(7 * k)) & np.uint64(0x7F) for k in range(CODE)], axis=1).astype(np.uint8)
+                index = index.to_numpy()
+                some = (np.array([w != "" for w in words.to_pylist()], bool)[index] if len(words) else np.zeros(0, bool))
+                before = np.concatenate([[0], np.cumsum(some)])[offsets] * CODE      # of a slice: fits 32 bits
+                data = codes[index[some]].tobytes()
+                code = pa.StringArray.from_buffers(part.num_rows, pa.py_buffer(before.astype(np.int32).tobytes()), pa.py_buffer(data))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code], names=["t1", "t2", "code"])
+
+    return src.mapInArrow(task, "t1 long, t2 long, code string")
+
+
+def repeated_passages(df: DataFrame, text_col: str, words: int) -> DataFrame:
+    """(k1, k2, passages: array<struct<a, b>>): ranges of each text's codes that repeat."""
+    coded = stage(word_codes(df, text_col), "suffix-codes")      # one Python worker a task at a time
+    scanned = scan(coded, ["t1", "t2"], "code", words * CODE, CODE_GRAM)
+    ranges, _ = repeated_ranges(coded, scanned, "code", words * CODE)
+    return (scanned.select("row_.t1", "row_.t2", "k1", "k2").distinct().join(ranges, ["k1", "k2"])
+            .select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), F.col("ranges").alias("passages")))
+
+
+def passage_bytes(raw: bytes, passages: list[dict], words: int) -> list[dict]:
+    """Ranges of codes as byte ranges of the text, from a first to a last word."""
+    at = [m.span() for m in WORD.finditer(raw)]
+    whole = [(-(-a // CODE), b // CODE) for a, b in merged(passages, touching=False)]     # white space between two stays
+    return [{"a": at[a][0], "b": at[b - 1][1]} for a, b in whole if b - a >= words]
+
+
 def removals(df: DataFrame, scanned: DataFrame, text_col: str = "text", length: int = LENGTH,
-             with_text: bool = True) -> DataFrame:
+             with_text: bool = True, words: int | None = None) -> DataFrame:
     """Texts that lose something: ``k1``, ``k2``, ``n_removed``, ``n_spans``,
     ``kept_sha`` and, if asked for, ``spans`` (removed byte ranges), ``kept``
     (the other bytes) and ``kept_text`` (their whole characters)."""
     ranges, texts = repeated_ranges(df, scanned, text_col, length)
+    if words:
+        # a text that loses passages may have no window of ``length`` bytes
+        ranges = stage(ranges.join(repeated_passages(df, text_col, words), ["k1", "k2"], "full"), "suffix-ranges")
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        texts = (df.select(text.alias("text_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+                 .join(ranges.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text_").alias("text_")))
 
     def cut(batches):
         for batch in batches:
             for part in byte_slices(batch, 2, _SLICE):
                 cols = [[] for _ in range(6)]
-                for t, r in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    raw, runs = t.encode(), merged(r)
+                for t, r, p in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
+                    raw = t.encode()
+                    runs = merged(sorted([*(r or ()), *(passage_bytes(raw, p, words) if p else ())], key=lambda x: (x["a"], x["b"])))
                     at, kept = 0, []
                     for a, b in runs:
                         kept.append(raw[at:a])
@@ -355,7 +410,8 @@ def removals(df: DataFrame, scanned: DataFrame, text_col: str = "text", length:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, t) for c, t in zip(cols, types)]], names=[
                     "k1", "k2", "n_removed", "n_spans", "kept_sha", "spans", "kept", "kept_text"])
 
-    return (texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges").mapInArrow(
+    passages = F.col("passages") if words else F.lit(None).cast("array<struct<a:int,b:int>>")
+    return (texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges", passages.alias("passages")).mapInArrow(
         cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha string, spans array<struct<a:int,b:int>>, kept binary, kept_text string"))
 
 
@@ -377,11 +433,12 @@ def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None
     return out.select(*cols, *(["spans", "kept"] if with_text else []))
 
 
-def strip_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``df`` with the repeated strings cut out of its texts (characters that a
+def strip_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
+    """``df`` with the repeated strings of ``length`` bytes and, if asked for,
+    the repeated passages of ``words`` words cut out of its texts (characters that a
     cut splits go too) and without the rows of which only white space is left."""
     scanned = scan(df, [], text_col, length, gram)
-    done = removals(df, scanned, text_col, length).select("k1", "k2", F.col("kept_text").alias("kept_text_"))
+    done = removals(df, scanned, text_col, length, words=words).select("k1", "k2", F.col("kept_text").alias("kept_text_"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
     cut = rows.join(done, ["k1", "k2"], "left").filter(F.col("kept_text_").isNull() | (F.trim(F.col("kept_text_")) != ""))
