@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.llm import word_tokens as WT
-from panelspark.llm.common import byte_slices, ship, worker_state
+from panelspark.llm.common import byte_slices, release, ship, worker_state
 
 ship(__name__)
 
@@ -272,52 +272,56 @@ def told(df: DataFrame, model: Model | None, text_col: str, keep: list[str], swi
     shared = df.sparkSession.sparkContext.broadcast(model and (model.langs, model.logp, model.against, model.known))   # languages x buckets numbers: fixed by the model
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("words", pa.int32())]))
 
+    def work(m, part):          # a slice's arrays end with it
+        rows = part.num_rows
+        lang, score = np.full(rows, -1), np.zeros(rows)
+        mean, near, far = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        found = [[] for _ in range(rows)]
+        words, index, offsets = WT.split_words(part.column(1))
+        if m is not None and len(words):
+            index = index.to_numpy()
+            w = Words(words)
+            scores, grams = m.scores(w)
+            label = viterbi(scores, index, offsets, switch)
+            of = np.repeat(np.arange(rows), np.diff(offsets))
+            weight = np.bincount(of * len(m.langs) + label, w.letters[index], rows * len(m.langs)).reshape(rows, -1)
+            total = weight.sum(axis=1)
+            some = total > 0
+            lang[some] = weight[some].argmax(axis=1)
+            score[some] = weight[some].max(axis=1) / total[some]
+            if fit:
+                size = np.where(m.known[w.word_script], w.letters, 0)[index]
+                near = np.bincount(of, size, rows).astype(np.int64)
+                far = total.astype(np.int64) - near
+                mean = np.bincount(of, grams[index, label] * size, rows) / np.maximum(1, near)
+            if spans:
+                cut = np.flatnonzero(np.diff(label) | np.diff(of)) + 1
+                head = np.concatenate([[0], cut]) if len(of) else cut
+                size = np.diff(np.append(head, len(of)))
+                for h, s in zip(head.tolist(), size.tolist()):
+                    r = of[h]
+                    if some[r]:
+                        found[r].append({"lang": m.langs[label[h]], "first_word": int(h - offsets[r]), "words": s})
+        names = np.array([*(m.langs if m else []), "und"], object)
+        cols = [part.column(0), pa.array(names[lang].tolist(), pa.string()), pa.array(score)]
+        names_ = ["row_", "lang_pred", "score"]
+        if spans:
+            cols.append(pa.array(found, span_type))
+            names_.append("spans")
+        if fit:
+            cols += [pa.array(mean), pa.array(near), pa.array(far)]
+            names_ += ["fit", "letters", "strange"]
+        if back:
+            cols.append(part.column(1))
+            names_.append("text_")
+        return pa.RecordBatch.from_arrays(cols, names=names_)
+
     def task(batches):
         m = Model(*shared.value) if shared.value else None
         for batch in batches:
             for part in byte_slices(batch, 1, _SLICE):
-                rows = part.num_rows
-                lang, score = np.full(rows, -1), np.zeros(rows)
-                mean, near, far = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-                found = [[] for _ in range(rows)]
-                words, index, offsets = WT.split_words(part.column(1))
-                if m is not None and len(words):
-                    index = index.to_numpy()
-                    w = Words(words)
-                    scores, grams = m.scores(w)
-                    label = viterbi(scores, index, offsets, switch)
-                    of = np.repeat(np.arange(rows), np.diff(offsets))
-                    weight = np.bincount(of * len(m.langs) + label, w.letters[index], rows * len(m.langs)).reshape(rows, -1)
-                    total = weight.sum(axis=1)
-                    some = total > 0
-                    lang[some] = weight[some].argmax(axis=1)
-                    score[some] = weight[some].max(axis=1) / total[some]
-                    if fit:
-                        size = np.where(m.known[w.word_script], w.letters, 0)[index]
-                        near = np.bincount(of, size, rows).astype(np.int64)
-                        far = total.astype(np.int64) - near
-                        mean = np.bincount(of, grams[index, label] * size, rows) / np.maximum(1, near)
-                    if spans:
-                        cut = np.flatnonzero(np.diff(label) | np.diff(of)) + 1
-                        head = np.concatenate([[0], cut]) if len(of) else cut
-                        size = np.diff(np.append(head, len(of)))
-                        for h, s in zip(head.tolist(), size.tolist()):
-                            r = of[h]
-                            if some[r]:
-                                found[r].append({"lang": m.langs[label[h]], "first_word": int(h - offsets[r]), "words": s})
-                names = np.array([*(m.langs if m else []), "und"], object)
-                cols = [part.column(0), pa.array(names[lang].tolist(), pa.string()), pa.array(score)]
-                names_ = ["row_", "lang_pred", "score"]
-                if spans:
-                    cols.append(pa.array(found, span_type))
-                    names_.append("spans")
-                if fit:
-                    cols += [pa.array(mean), pa.array(near), pa.array(far)]
-                    names_ += ["fit", "letters", "strange"]
-                if back:
-                    cols.append(part.column(1))
-                    names_.append("text_")
-                yield pa.RecordBatch.from_arrays(cols, names=names_)
+                yield work(m, part)
+        release()
 
     schema = src.select("row_").schema.add("lang_pred", "string").add("score", "double")
     if spans:

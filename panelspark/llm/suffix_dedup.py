@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import sais
 from panelspark.llm import word_tokens as WT
-from panelspark.llm.common import byte_slices, partitions, ship, stage
+from panelspark.llm.common import byte_slices, partitions, release, ship, stage
 from panelspark.session import checkpoint_dir
 
 ship(__name__)
@@ -152,6 +152,7 @@ def scan(df: DataFrame, keep: list[str], text_col: str, length: int, gram: int)
                     lists(start.astype(np.int32)), lists(count.astype(np.int32)), lists(low.view(np.int64)),
                     lists(np.array(own, np.uint64).view(np.int64)), lists(twice),
                 ], names=["row_", "k1", "k2", "n_bytes", "sha", "start", "count", "low", "own", "twice"])
+        release()
 
     names = {"start": "int", "count": "int", "low": "bigint", "own": "bigint", "twice": "boolean"}
     ddl = f"row_ {src.schema['row_'].dataType.simpleString()}, k1 long, k2 long, n_bytes long, sha string, " + ", ".join(
@@ -268,6 +269,7 @@ def shard_task(length: int):
                     held += len(key[8])
         if groups:
             yield solve(groups)
+        release()
 
     return work
 
@@ -357,6 +359,7 @@ def word_codes(df: DataFrame, text_col: str) -> DataFrame:
                 data = codes[index[some]].tobytes()
                 code = pa.StringArray.from_buffers(part.num_rows, pa.py_buffer(before.astype(np.int32).tobytes()), pa.py_buffer(data))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code], names=["t1", "t2", "code"])
+        release()
 
     return src.mapInArrow(task, "t1 long, t2 long, code string")
 
