@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["token_files", "shards", "language", "cws", "simhash", "suffix_dedup", "pack", "segment_bpe", "ann", "licences"]
+MODULES = ["token_files", "shards", "language", "cws", "simhash", "suffix_dedup", "pack", "segment_bpe", "ann", "licences",
+           "importance"]
 
 
 def _all():
