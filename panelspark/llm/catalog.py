@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["token_files", "shards", "language", "cws", "simhash", "suffix_dedup", "pack", "segment_bpe", "ann", "licences",
-           "importance", "hard_negatives"]
+           "importance", "hard_negatives", "flat_graph"]
 
 
 def _all():
