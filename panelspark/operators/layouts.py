@@ -144,10 +144,10 @@ def layout6(pool: DataFrame, stock_col: int | str = 0, factor_name_col: int | st
 
 
 def layout7(table: DataFrame, stock_col: int | str = 0, date_col: int | str = 1,
-            factor_cols: Sequence[int | str] = (2,)) -> tuple[Converted, DataFrame]:
-    """LAY-7: one big table.  Returns the long panel (numeric factors as
-    DOUBLE, text factors null) and the selected wide rows ``(date, stock,
-    factors...)`` for the split by date, which keeps every row.
+            factor_cols: Sequence[int | str] = (2,), keep_text: bool = False) -> tuple[Converted, DataFrame]:
+    """LAY-7: one big table.  Returns the long panel (numbers as DOUBLE;
+    ``keep_text`` adds ``value_text``, every cell as it stands) and the selected
+    wide rows ``(date, stock, factors...)`` for the split by date, which keeps every row.
 
     Only the named columns are read (column pruning reaches the scan).
     """
@@ -159,8 +159,12 @@ def layout7(table: DataFrame, stock_col: int | str = 0, date_col: int | str = 1,
            else parse_date(F.col(date).cast("string"), strict=True))
     wide = table.select(day.alias("date"),
                         F.col(stock).cast("string").alias("stock"), *[F.col(c) for c in factors])
-    long = wide.unpivot(["date", "stock"], [F.col(c).cast("string").try_cast("double").alias(c) for c in factors],
-                        "factor", "value")
+    if keep_text:
+        long = wide.unpivot(["date", "stock"], [F.col(c).cast("string").alias(c) for c in factors], "factor", "value_text")
+        long = long.select("date", "stock", "factor", P.to_number(F.col("value_text")).alias("value"), "value_text")
+    else:
+        long = wide.unpivot(["date", "stock"], [F.col(c).cast("string").try_cast("double").alias(c) for c in factors],
+                            "factor", "value")
     spark = table.sparkSession
     fac_axis = spark.createDataFrame([(c,) for c in factors], "value string")
     dates = wide.select(F.col("date").cast("string").alias("value")).distinct()

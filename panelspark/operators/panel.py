@@ -151,10 +151,14 @@ def assert_unique(panel: DataFrame, keys: Sequence[str] = ("date", "stock", "fac
         raise ValueError(f"duplicate panel keys {list(keys)}: {[tuple(r)[:len(keys)] for r in rows]}")
 
 
+def pivot_limit(axis: DataFrame) -> int:
+    """Factors that a table has columns for; beyond it cross-sections are packed as maps."""
+    return int(axis.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+
+
 def pivot_values(axis: DataFrame, spark_conf_max: int | None = None) -> list[str]:
     """The factor list for a pivot, sorted, after a size check."""
-    conf = axis.sparkSession.conf
-    limit = spark_conf_max or int(conf.get("spark.sql.pivotMaxValues", "10000"))
+    limit = spark_conf_max or pivot_limit(axis)
     vals = [r[0] for r in axis.select("value").distinct().orderBy("value").limit(limit + 1).collect()]
     if len(vals) > limit:
         raise ValueError(f"factor axis has more than {limit} labels; raise spark.sql.pivotMaxValues")
@@ -164,7 +168,7 @@ def pivot_values(axis: DataFrame, spark_conf_max: int | None = None) -> list[str
 CONDITIONAL_PIVOT_MAX = 64
 
 
-def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str = "raise") -> DataFrame:
+def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str = "raise", within: Sequence[str] = ()) -> DataFrame:
     """PAN-7: per (date, stock) one row, one column per factor.
 
     A (date, stock, factor) key is unique in a valid panel; a repeated key
@@ -173,7 +177,8 @@ def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str =
     single hash aggregate); beyond that, Spark's ``pivot``, which aggregates
     by factor first and places each value by index instead of testing every
     factor on every row.  The factor list is the size-checked axis from
-    ``pivot_values``.
+    ``pivot_values``.  ``within`` names further key columns that a stock decides
+    (its range), so that rows placed by them stay where they are.
     """
     if on_duplicate not in ("raise", "max"):
         raise ValueError("on_duplicate is 'raise' or 'max'")
@@ -187,12 +192,12 @@ def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str =
 
     f = F.col("factor")
     if len(factors) > CONDITIONAL_PIVOT_MAX:
-        cells = panel.groupBy("date", "stock", "factor").agg(F.max("value").alias("_v"), F.count(F.lit(1)).alias("_n"))
-        cells = cells.select("date", "stock", "factor", F.when(f.isNull(), F.col("_v")).otherwise(
+        cells = panel.groupBy("date", *within, "stock", "factor").agg(F.max("value").alias("_v"), F.count(F.lit(1)).alias("_n"))
+        cells = cells.select("date", *within, "stock", "factor", F.when(f.isNull(), F.col("_v")).otherwise(
             single(F.col("_v"), F.col("_n"), f)).alias("value"))
-        return cells.groupBy("date", "stock").pivot("factor", list(factors)).agg(F.max("value"))
+        return cells.groupBy("date", *within, "stock").pivot("factor", list(factors)).agg(F.max("value")).drop(*within)
     names = [str(v) for v in factors]
-    agg = panel.groupBy("date", "stock").agg(
+    agg = panel.groupBy("date", *within, "stock").agg(
         *[F.max(F.when(f == F.lit(v), F.col("value"))).alias(f"_v{i}") for i, v in enumerate(factors)],
         *[F.count_if(f == F.lit(v)).alias(f"_n{i}") for i, v in enumerate(factors) if on_duplicate == "raise"])
     return agg.select("date", "stock", *[
@@ -224,15 +229,54 @@ def dense_grid(dates: DataFrame, stocks: DataFrame, max_broadcast_rows: int = DE
     return grid.join(F.broadcast(s) if n <= max_broadcast_rows else s, "_si").select("date", "stock")
 
 
+STOCKS_PER_TASK = 200_000
+
+
+def packed_cross_section(panel: DataFrame) -> DataFrame:
+    """PAN-7 without a factor list: (date, stock, numbers MAP, texts MAP), a map entry per
+    cell by its factor; for panels with more factors than a table has room for columns.
+    A repeated key raises; cells that are absent have no entry."""
+    has_text = "value_text" in panel.columns
+    text = F.col("value_text") if has_text else F.lit(None).cast("string")
+    cells = panel.filter("factor is not null").groupBy("date", "stock", "factor").agg(
+        F.max("value").alias("_v"), F.max(text).alias("_t"), F.count(F.lit(1)).alias("_n"))
+    key = F.concat_ws(", ", F.col("date").cast("string"), F.col("stock"), F.col("factor"))
+    cells = cells.withColumn("factor", F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("duplicate panel key: "), key)).cast("string"))
+                             .otherwise(F.col("factor")))
+    number = F.collect_list(F.when(F.col("_t").isNull() | F.col("_v").isNotNull(), F.struct("factor", F.col("_v").alias("v"))))
+    words = F.collect_list(F.when(F.col("_t").isNotNull() & F.col("_v").isNull(), F.struct("factor", F.col("_t").alias("v"))))
+    return cells.groupBy("date", "stock").agg(F.map_from_entries(F.array_sort(number)).alias("numbers"),
+                                              F.map_from_entries(F.array_sort(words)).alias("texts"))
+
+
 def dense_cross_section(panel: DataFrame, factors: Sequence[str], dates: DataFrame, stocks: DataFrame,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, stocks_per_task: int | None = None) -> DataFrame:
     """PAN-7 + PAN-8 in one aggregation: the grid rows (no factor, no value)
     are unioned with the panel, so the pivot emits every kept pair and no
     join is needed.  Panel and dates are partitioned by date before the dates
     are expanded, so the aggregation above the union needs no exchange: the
-    panel is shuffled once, the grid never."""
+    panel is shuffled once, the grid never.
+
+    Beyond ``stocks_per_task`` stocks a date is cut by ranges of the numbered stock
+    axis: panel and grid are both placed by (date, range), so one date of any size spans many tasks."""
     n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = dict(panel.dtypes)["value"]
+    stocks_per_task = stocks_per_task or STOCKS_PER_TASK
+    total = stocks.select(F.col("value").cast("string")).distinct().count()
+    if total > stocks_per_task:
+        from panelspark.operators.indexing import global_index
+        s = global_index(stocks.select(F.col("value").cast("string").alias("stock")).distinct(), ["stock"], "_si")
+        s = F.broadcast(s) if total <= max_broadcast_rows else s
+        ranges = -(-total // stocks_per_task)
+        span = -(-total // ranges)
+        d = dates.select(F.col("value").alias("date")).distinct().withColumn("_range", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.lit(ranges - 1).cast("long")))).repartition(n, "date", "_range")
+        last = F.least((F.col("_range") + 1) * span, F.lit(total).cast("long")) - 1
+        grid = d.select("date", "_range", F.explode(F.sequence(F.col("_range") * span, last)).alias("_si")).join(s, "_si")
+        grid = grid.select("date", "_range", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast(kind).alias("value"))
+        rows = panel.select("date", "stock", "factor", "value").join(s, "stock", "left")
+        rows = rows.select("date", F.coalesce(F.expr(f"_si div {span}"), F.lit(0)).cast("long").alias("_range"), "stock", "factor", "value")
+        return cross_section(rows.repartition(n, "date", "_range").unionByName(grid), factors, within=["_range"]).drop("_range")
     grid = dense_grid(dates, stocks, max_broadcast_rows, by_date=n).select(
         "date", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast(kind).alias("value"))
     rows = panel.select("date", "stock", "factor", "value").repartition(n, "date")
@@ -262,11 +306,32 @@ def to_panel(df: DataFrame, date: Column, stock: Column, factor: Column, value:
 
     ``keep_text`` adds ``value_text``, the cell as it stands, for factors
     that hold text (``text_factors``)."""
+    number = to_number(value) if keep_text else value.try_cast("double")
     cols = [parse_date(date, strict=strict_dates).alias("date"), stock.cast("string").alias("stock"),
-            factor.cast("string").alias("factor"), value.try_cast("double").alias("value")]
+            factor.cast("string").alias("factor"), number.alias("value")]
     return df.select(*cols, *([value.cast("string").alias("value_text")] if keep_text else []))
 
 
+# Numbers as the reference's reader takes them; Spark's own cast also takes "100d" and "1f".
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(inf|Inf|INF|infinity|Infinity|nan|NaN)$"
+
+
+def to_number(cell: Column) -> Column:
+    """A cell as a number, null if its text is none."""
+    text = F.trim(cell.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def typed(panel: DataFrame, as_text: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A panel with ``value_text`` whose cells follow their factor's type: all cells of a
+    factor in ``as_text`` (column ``value``) are text, all others numbers."""
+    t = as_text.select(F.col("value").alias("factor"), F.lit(True).alias("_text"))
+    j = panel.join(F.broadcast(t) if t.count() <= max_broadcast_rows else t, "factor", "left")
+    rest = [c for c in panel.columns if c not in ("value", "value_text")]
+    return j.select(*rest, F.when(F.col("_text").isNull(), F.col("value")).alias("value"),
+                    F.when(F.col("_text"), F.col("value_text")).alias("value_text"))
+
+
 def text_factors(panel: DataFrame) -> DataFrame:
     """Factors with a cell that is no number (from ``value_text``): one column ``value``."""
     return (panel.groupBy("factor").agg(F.bool_or(F.col("value_text").isNotNull() & F.col("value").isNull()).alias("_t"))

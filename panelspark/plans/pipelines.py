@@ -14,6 +14,8 @@ from panelspark.operators import corpus as C
 from panelspark.operators import holdings as H
 from panelspark.operators import layouts as L
 from panelspark.operators import mlm as M
+from panelspark.operators import panel as P
+from panelspark.sources import folders
 from panelspark.sources import readers as R
 from panelspark.sources import writers as W
 from panelspark.session import scratch_path
@@ -21,21 +23,32 @@ from panelspark.session import scratch_path
 WIDE_LAYOUTS = {1, 3, 5}
 
 
-def read_layout(spark: SparkSession, layout: int, input_path: str, fmt: str = "csv", **roles) -> L.Converted:
-    """LAY-1..7 from files: the layout's reader, then its axis rules."""
-    if layout in WIDE_LAYOUTS:
-        cells = R.read_wide_cells(spark, input_path, fmt)
-        files = R.list_files(spark, input_path, fmt)
-        return L.convert(layout, cells, files=files, **roles)
+# Roles of the three-column layouts, by position unless named.
+ROLES = {2: {"stock_col": 0, "date_col": 1, "value_col": 2},
+         4: {"date_col": 0, "factor_name_col": 1, "factor_value_col": 2},
+         6: {"stock_col": 0, "factor_name_col": 1, "factor_value_col": 2}}
+
+
+def read_layout(spark: SparkSession, layout: int, input_path: str, fmt: str = "csv", keep_text: bool = True, **roles) -> L.Converted:
+    """LAY-1..7 from files: the layout's reader, then its axis rules.
+
+    Roles are resolved in each file's own header.  The panel has every cell as
+    it stands in ``value_text`` beside its number (``keep_text``); ``panel.typed``
+    keeps one of the two by the factor's type."""
     if layout == 7:
-        return L.layout7(_big_table(spark, input_path, fmt), **roles)[0]
-    pool = R.read_keyed_folder(spark, input_path, fmt)
+        return L.layout7(_big_table(spark, input_path, fmt), keep_text=keep_text, **roles)[0]
     files = R.list_files(spark, input_path, fmt)
-    return L.convert(layout, pool, files=files, **roles)
+    if layout in WIDE_LAYOUTS:
+        return L.convert(layout, R.read_wide_cells(spark, input_path, fmt), files=files, keep_text=keep_text, **roles)
+    if layout not in ROLES:
+        raise ValueError(f"layout must be 1-7, got {layout}")
+    asked = ROLES[layout] | roles
+    pool = folders.keyed_roles(spark, input_path, fmt, asked)
+    return L.convert(layout, pool, files=files, keep_text=keep_text, **{r: r for r in asked})
 
 
 def _big_table(spark: SparkSession, input_path: str, fmt: str) -> DataFrame:
-    if os.path.isfile(input_path):
+    if folders.is_file(spark, input_path):
         return R.read_auto(spark, input_path)
     return R.read_csv(spark, input_path) if fmt == "csv" else spark.read.format(fmt).load(input_path)
 
@@ -44,7 +57,7 @@ def convert_files(spark: SparkSession, layout: int, input_path: str, output_path
                   output_format: str = "parquet", **roles) -> L.Converted:
     """LAY-8 / E1: read -> axes -> cross-sections per date -> manifest."""
     if layout == 7:
-        conv, wide = L.layout7(_big_table(spark, input_path, input_format), **roles)
+        conv, wide = L.layout7(_big_table(spark, input_path, input_format), keep_text=True, **roles)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         out = wide.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
         out = out.repartitionByRange(n, "date", "stock").sortWithinPartitions("date", "stock")
@@ -68,8 +81,9 @@ def load_converted(spark: SparkSession, folder: str, fmt: str = "parquet") -> tu
     """ALN-6: a converted folder as (long panel, manifest axes); only dates
     listed in the manifest and present on disk are read.
 
-    Stocks stay text as written.  ``value`` is the number, ``value_text`` the cell of a
-    text factor (null for numbers)."""
+    Stocks stay text as written.  A factor's type is that of the manifest: ``value`` is the
+    number, ``value_text`` the cell of a text factor (null for numbers).  A folder
+    packed as maps gives the cells it has; its absent cells have no row."""
     axes = R.read_manifest(spark, os.path.join(folder, "_manifest"))
     reader = spark.read.option("basePath", folder).option("pathGlobFilter", f"*.{fmt}")   # not config.json
     if fmt == "csv":
@@ -79,14 +93,27 @@ def load_converted(spark: SparkSession, folder: str, fmt: str = "parquet") -> tu
     else:
         wide = reader.format(fmt).load(folder)
     factor_cols = [c for c in wide.columns if c not in ("date", "stock")]
-    long = (wide.unpivot(["date", "stock"], [F.col(f"`{c}`").cast("string").alias(c) for c in factor_cols], "factor", "_cell")
-            .withColumn("value", F.col("_cell").try_cast("double"))
-            .withColumn("value_text", F.when(F.col("value").isNull(), F.col("_cell"))).drop("_cell")
-            .withColumn("date", F.col("date").cast("date")))
+    if sorted(factor_cols) == ["numbers", "texts"]:
+        long = _unpacked(wide)
+    else:
+        long = wide.unpivot(["date", "stock"], [F.col(f"`{c}`").cast("string").alias(c) for c in factor_cols], "factor", "value_text")
+        long = long.withColumn("value", P.to_number(F.col("value_text")))
+        long = P.typed(long, P.materialize(R.read_manifest(spark, os.path.join(folder, "_manifest"), ("text_factors",)).select("value")))
+    long = long.select(F.col("date").cast("date").alias("date"), "stock", "factor", "value", "value_text")
     dates = axes.filter(F.col("dim") == "dates").select(F.col("value").cast("date").alias("date"))
     return long.join(dates, "date", "left_semi").withColumn("stock", F.col("stock").cast("string")), axes
 
 
+def _unpacked(wide: DataFrame) -> DataFrame:
+    """Cells of cross-sections that were packed as maps (or as their JSON text)."""
+    kinds = {"numbers": "map<string,double>", "texts": "map<string,string>"}
+    both = wide.select("date", "stock", *[F.from_json(c, k).alias(c) if dict(wide.dtypes)[c] == "string" else F.col(c).cast(k).alias(c)
+                                          for c, k in kinds.items()])
+    numbers = both.select("date", "stock", F.explode("numbers").alias("factor", "value")).withColumn("value_text", F.lit(None).cast("string"))
+    texts = both.select("date", "stock", F.explode("texts").alias("factor", "value_text")).withColumn("value", F.lit(None).cast("double"))
+    return numbers.unionByName(texts)
+
+
 def run_holdings(spark: SparkSession, input_dir: str, static_dir: str, output_dir: str,
                  per_holder: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """HLD-9 / E2: filings -> dimension tables (SNK-8) -> baskets (SNK-6)."""
@@ -108,6 +135,13 @@ def stack_holder_files(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(F.col("file_key").alias("ShareHolderID"), "EndDate", "Holdings")
 
 
+def stack_holder_folders(spark: SparkSession, folder: str, holder: str = "ShareHolderID") -> DataFrame:
+    """HLD-12 on the per-holder export of SNK-6 (a folder ``<holder>=<id>`` each):
+    the holder id, kept as text, as the first column."""
+    df = spark.read.schema(f"EndDate string, Holdings string, {holder} string").option("header", True).csv(folder)
+    return df.select(holder, "EndDate", "Holdings")
+
+
 def merge_baskets(df: DataFrame, output_dir: str, max_file_size_mb: float = 100,
                   filter_func: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """SNK-7 with the HLD-13 hook (e.g. ``lambda d: H.filter_holdings(d, 3)``)."""

@@ -1,31 +1,21 @@
 """Readers (SRC-1..9).
 
 Folders of files become one DataFrame with the file key as a column;
-splittable formats (CSV, Parquet) are read by Spark's own scans, so column
-pruning and filters reach the files.  Wide panel files carry data in their
-headers and may differ in header, so each is parsed on its own in one task
-(``binaryFile`` + ``mapInPandas``): a wide file must fit one task, while
-the number of files is unbounded.
+CSV and Parquet are read by Spark's own scans, so column pruning and filters
+reach the files and large files are split; Feather is read by record batches.
+Files with headers of their own (wide panel files, keyed folders) go through
+``sources.folders``.
 """
 
 from __future__ import annotations
 
 import os
-import sys
-from typing import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-
-# Functions and classes of this module run inside tasks (mapInPandas,
-# mapInArrow, the Feather data source).  Ship them by value so executors do
-# not need the package installed (cluster installs still use --py-files).
-from pyspark import cloudpickle as _cloudpickle  # noqa: E402
-
-_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from panelspark.sources import feather, folders
 
 # File formats by extension and the filing columns.
 FORMATS = {"csv": "csv", "parquet": "parquet", "feather": "feather"}
@@ -33,7 +23,6 @@ FILING_COLUMNS = ["ShareHolderID", "SystematicsID", "FundID", "CategoryCode", "S
                   "IndustryCode", "IndustryName", "EndDate", "Holdshares"]
 FILING_SCHEMA = StructType([StructField(c, StringType()) for c in FILING_COLUMNS])
 ALIAS_SCHEMA = StructType([StructField("code", StringType()), StructField("name", StringType())])
-CELL_SCHEMA = "file_key string, row_label string, col_label string, value string"
 
 
 def format_of(path: str) -> str:
@@ -49,11 +38,7 @@ def format_of(path: str) -> str:
 def stem(col: str = "_file", rule: str = "first_dot"):
     """SRC-5 file key: ``first_dot`` (converters: ``a.b.csv`` -> ``a``) or
     ``last_ext`` (merger: ``a.b.csv`` -> ``a.b``)."""
-    if rule == "first_dot":
-        return F.regexp_extract(F.col(col), r"^([^.]*)", 1)
-    if rule == "last_ext":
-        return F.regexp_extract(F.col(col), r"^(.*?)(\.[^.]*)?$", 1)
-    raise ValueError(rule)
+    return folders.stem(F.col(col), rule)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options) -> DataFrame:
@@ -71,61 +56,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _feather_schema(path: str):
-    """Schema from the footer of the first Feather file (any ``pyarrow.fs``
-    file system: local, HDFS, object stores)."""
-    import pyarrow.feather as feather
-    import pyarrow.fs as pafs
-    import pyarrow.ipc as ipc
-    fs, base = pafs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
-    first = base
-    if fs.get_file_info(base).type == pafs.FileType.Directory:
-        infos = fs.get_file_info(pafs.FileSelector(base))
-        files = sorted(i.path for i in infos if i.path.endswith(".feather"))
-        if not files:
-            raise FileNotFoundError(f"no .feather files in {path}")
-        first = files[0]
-    with fs.open_input_file(first) as fh:
-        try:
-            return ipc.open_file(fh).schema
-        except Exception:  # noqa: BLE001  (feather v1)
-            return feather.read_table(fh).schema
-
-
 def read_feather(spark: SparkSession, path: str, schema: str | StructType | None = None,
                  key_rule: str | None = None) -> DataFrame:
-    """SRC-3: Feather (Arrow IPC) files, one task per file.
+    """SRC-3: Feather (Arrow IPC) files, a task per range of record batches.
 
-    The output schema is declared: given, or taken from the first file's
-    footer (a metadata read, not data).  With ``key_rule`` a ``file_key``
-    column is added (SRC-5).
+    The schema is given, or the union by name of the footers of all files (a
+    metadata read, not data); a column that a file lacks is null there.  With
+    ``key_rule`` a ``file_key`` column is added (SRC-5).
     """
     if schema is None:
         from pyspark.sql.pandas.types import from_arrow_schema
-        schema = from_arrow_schema(_feather_schema(path))
+        schema = from_arrow_schema(feather.merged_schema(feather.feather_files(path)))
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     if key_rule:
         schema = StructType(list(schema.fields) + [StructField("file_key", StringType())])
-    glob = path if not os.path.isdir(path) else os.path.join(path, "*.feather")
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    names = [f.name for f in schema.fields]
-
-    def decode(batches):
-        import io
-
-        import pyarrow as pa
-        import pyarrow.feather as feather
-        for b in batches:
-            for fpath, blob in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                t = feather.read_table(io.BytesIO(blob))
-                if key_rule:
-                    name = os.path.basename(fpath)
-                    key = name.split(".")[0] if key_rule == "first_dot" else name.rsplit(".", 1)[0]
-                    t = t.append_column("file_key", pa.array([key] * t.num_rows, pa.string()))
-                yield from t.select(names).to_batches()
-
-    return files.mapInArrow(decode, schema)
+    return feather.read_batches(spark, path, schema, "table", key_rule or "first_dot")
 
 
 def read_auto(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -142,16 +88,16 @@ def read_keyed_folder(spark: SparkSession, folder: str, fmt: str = "csv", rule:
                       schema: StructType | str | None = None, **options) -> DataFrame:
     """SRC-5: all ``*.<fmt>`` files of a folder as one table + ``file_key``.
 
-    Files must share a header (three-column layouts, baskets); wide files
-    use ``read_wide_cells``.
+    Columns are matched by name, file by file; one that a file lacks is null
+    there.  With a ``schema``, CSV columns are taken by position instead.
+    ``folders.keyed_roles`` resolves roles (by position or name) in each file's own header.
     """
-    glob = os.path.join(folder, f"*.{fmt}")
-    if fmt == "csv":
-        df = read_csv(spark, glob, schema, **options)
-    elif fmt == "parquet":
-        df = spark.read.parquet(glob)
-    else:
+    if fmt == "feather":
         return read_feather(spark, folder, schema, key_rule=rule)
+    if schema is None and not options:
+        return folders.keyed_table(spark, folder, fmt, rule)
+    glob = os.path.join(folder, f"*.{fmt}")
+    df = read_csv(spark, glob, schema, **options) if fmt == "csv" else spark.read.parquet(glob)
     return df.withColumn("_file", F.col("_metadata.file_name")).withColumn("file_key", stem("_file", rule)).drop("_file")
 
 
@@ -162,53 +108,23 @@ def list_files(spark: SparkSession, folder: str, fmt: str = "csv", rule: str = "
     return files.select(stem("_file", rule).alias("file_key"))
 
 
-def _cells_from_frame(key: str, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Wide frame (first column = row label) to long cells, nulls kept."""
-    label = pdf.columns[0]
-    body = pdf.set_index(label)
-    body.index = body.index.astype(str)
-    body.columns = [str(c) for c in body.columns]
-    long = body.stack(future_stack=True).reset_index()
-    long.columns = ["row_label", "col_label", "value"]
-    long.insert(0, "file_key", key)
-    values = long["value"]      # any cell value, as text; numbers are told apart by factor later
-    long["value"] = values.astype(object).where(values.notna(), None).map(lambda x: None if x is None else str(x))
-    return long
-
-
 def read_wide_cells(spark: SparkSession, folder: str, fmt: str = "csv", rule: str = "first_dot") -> DataFrame:
     """Wide layout files (1, 3, 5) to cells ``(file_key, row_label,
-    col_label, value STRING)``; each file keeps its own header and null cells."""
-    glob = os.path.join(folder, f"*.{fmt}")
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        for b in batches:
-            for path, blob in zip(b["path"], b["content"]):
-                name = os.path.basename(path)
-                key = name.split(".")[0] if rule == "first_dot" else name.rsplit(".", 1)[0]
-                buf = io.BytesIO(blob)
-                if fmt == "csv":
-                    pdf = pd.read_csv(buf, dtype=str, keep_default_na=False, na_values=[""])
-                elif fmt == "parquet":
-                    pdf = pd.read_parquet(buf)
-                else:
-                    pdf = pd.read_feather(buf)
-                yield _cells_from_frame(key, pdf)
-
-    return files.mapInPandas(parse, CELL_SCHEMA)
-
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-6: the panel manifest as ``axis(dim, value)``."""
+    col_label, value STRING)``; each file keeps its own header and null cells.
+    Files are split like any other: a wide file spans as many tasks as its size asks for."""
+    return folders.wide_cells(spark, folder, fmt, rule)
+
+
+AXES = ("dates", "stocks", "factors")
+
+
+def read_manifest(spark: SparkSession, path: str, dims: tuple[str, ...] = AXES) -> DataFrame:
+    """SRC-6: the panel manifest as ``axis(dim, value)``; a list that the manifest lacks gives no rows."""
     m = spark.read.option("multiLine", True).json(path)
-    parts = [m.select(F.lit(d).alias("dim"), F.explode(F.col(d)).alias("value"))
-             .withColumn("value", F.col("value").cast("string"))
-             for d in ("dates", "stocks", "factors") if d in m.columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = spark.createDataFrame([], "dim string, value string")
+    for d in dims:
+        if d in m.columns:
+            out = out.unionByName(m.select(F.lit(d).alias("dim"), F.explode(F.col(d).cast("array<string>")).alias("value")))
     return out
 
 

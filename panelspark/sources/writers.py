@@ -15,12 +15,13 @@ import uuid
 from dataclasses import dataclass
 from typing import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from panelspark.functions.scalars import format_date
 from panelspark.operators import panel as P
+from panelspark.operators.indexing import sorted_tagged
 from panelspark.operators.layouts import Converted
 
 
@@ -97,14 +98,13 @@ class _FeatherWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         import pyarrow.fs as pafs
         fs = self._fs()
-        if self.overwrite:      # what was there goes; the new parts are still under their temporary names
-            base = pafs.FileSystem.from_uri(self.path)[1]
-            for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-                if i.base_name.endswith(".feather"):
-                    fs.delete_file(i.path)
-        for m in messages:
+        base = pafs.FileSystem.from_uri(self.path)[1]
+        old = [i.path for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if i.base_name.endswith(".feather")]
+        for m in messages:      # the new parts first: a driver lost in between leaves old and new, never neither
             if m and m.tmp:
                 fs.move(m.tmp, m.final)
+        for path in old if self.overwrite else ():
+            fs.delete_file(path)
 
     def abort(self, messages) -> None:
         import pyarrow.fs as pafs
@@ -139,12 +139,15 @@ def cross_sections(conv: Converted) -> DataFrame:
     every kept stock where the layout says so (PAN-7, PAN-8).
 
     A panel with ``value_text`` (layouts read from files) keeps factors that
-    hold text as text columns, all others as numbers.
+    hold text as text columns, all others as numbers.  More factors than
+    ``panel.pivot_limit`` become maps (``panel.packed_cross_section``).
     """
+    if conv.factors.distinct().count() > P.pivot_limit(conv.factors):
+        return _packed(conv)
     factors = P.pivot_values(conv.factors)
     panel, as_text = conv.panel, set()
     if "value_text" in panel.columns:
-        as_text = {r["value"] for r in P.text_factors(panel).collect()} & set(factors)     # of the size-checked axis
+        as_text = {r["value"] for r in factor_types(conv).collect()} & set(factors)     # of the size-checked axis
         if as_text:
             panel = panel.withColumn("value", F.col("value_text"))
         panel = panel.drop("value_text")
@@ -159,6 +162,26 @@ def cross_sections(conv: Converted) -> DataFrame:
                                           for c in factors])
 
 
+def factor_types(conv: Converted) -> DataFrame:
+    """The factors that hold text (column ``value``), decided once over all cells of a factor."""
+    if "value_text" not in conv.panel.columns:
+        return conv.panel.sparkSession.createDataFrame([], "value string")
+    return P.text_factors(conv.panel)
+
+
+def _packed(conv: Converted) -> DataFrame:
+    panel = conv.panel
+    if "value_text" in panel.columns:
+        panel = P.typed(panel, P.materialize(factor_types(conv)))
+    wide = P.packed_cross_section(panel)
+    if not conv.dense:
+        return wide
+    dates = P.materialize(panel.select(F.col("date").alias("value")).distinct())
+    out = P.reindex_dense(wide, dates, conv.stocks)
+    empty = {c: F.create_map().cast(dict(wide.dtypes)[c]) for c in ("numbers", "texts")}
+    return out.select("date", "stock", *[F.coalesce(F.col(c), e).alias(c) for c, e in empty.items()])
+
+
 def write_cross_sections(conv: Converted, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """SNK-4: one folder per date, ``date=YYYY-MM-DD``.
 
@@ -167,6 +190,8 @@ def write_cross_sections(conv: Converted, path: str, fmt: str = "parquet", mode:
     and leaves every file sorted by stock.
     """
     wide = cross_sections(conv).withColumn("date", format_date("date"))
+    if fmt != "parquet":        # CSV and Feather hold the maps as JSON
+        wide = wide.select(*[F.to_json(F.col(f"`{c}`")).alias(c) if t.startswith("map<") else F.col(f"`{c}`") for c, t in wide.dtypes])
     n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = wide.repartitionByRange(n, "date", "stock").sortWithinPartitions("date", "stock")
     w = out.write.mode(mode).partitionBy("date")
@@ -183,18 +208,20 @@ def manifest(conv: Converted, layout: int, input_path: str, output_path: str, in
     """SNK-5 content: one row with the sorted axes as arrays.
 
     The manifest is one JSON document by definition; its arrays are the
-    axes (dates, stocks, factors), bounded by the panel's label counts.
-    One aggregation over the stacked axes builds all three.
+    axes (dates, stocks, factors), bounded by the panel's label counts, and
+    ``text_factors``, the factors whose cells are text (the type is the
+    factor's, not the cell's).  One aggregation over the stacked axes builds all.
     """
     from panelspark.operators.align import axis_table
     axes = axis_table(conv.dates, conv.stocks, conv.factors)
+    axes = axes.unionByName(factor_types(conv).select(F.lit("text_factors").alias("dim"), "value"))
 
     def arr(dim):
         return F.sort_array(F.collect_set(F.when(F.col("dim") == dim, F.col("value")))).alias(dim)
 
     return axes.agg(F.lit(layout).alias("raw_data_format_type"), F.lit(input_path).alias("input_path"),
                     F.lit(output_path).alias("output_path"), F.lit(input_format).alias("input_file_format"),
-                    F.lit(output_format).alias("output_file_format"), arr("dates"), arr("stocks"), arr("factors"))
+                    F.lit(output_format).alias("output_file_format"), arr("dates"), arr("stocks"), arr("factors"), arr("text_factors"))
 
 
 def write_manifest(conv: Converted, path: str, config_json: str | None = None, **meta) -> None:
@@ -239,20 +266,42 @@ def csv_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(line.cast("long")), F.lit(0))).first()[0])
 
 
+def cut_by_bytes(df: DataFrame, cap: int, order: list[str] | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``_file``, the number of the file a row falls into, and ``_row``, its
+    place in ``order`` (all columns, if not given), and the number of files.
+
+    A row's file is the running total of the bytes before it, divided by the cap:
+    totals per range partition give offsets, a window adds up within a
+    partition, so no file passes the cap by more than its last row."""
+    columns = df.columns
+    line = (F.octet_length(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]))) + 1).cast("long")
+    keys = [F.col(f"`{c}`") for c in order or []] + [F.col(f"`{c}`").cast("string") if t.startswith("map<") else F.col(f"`{c}`")
+                                                    for c, t in df.dtypes if c not in (order or [])]
+    placed = sorted_tagged(df.withColumn("_bytes", line), keys)
+    part = placed.groupBy("_pid").agg(F.sum("_bytes").alias("_sum"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select("_pid", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))      # a row per partition
+    here = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_off") + F.coalesce(F.sum("_bytes").over(here), F.lit(0))
+    rows = placed.join(F.broadcast(part), "_pid").withColumn("_file", (start / cap).cast("long")).withColumn("_row", F.col("_mid"))
+    whole = placed.agg(F.sum("_bytes").alias("all"), F.max_by("_bytes", F.struct("_pid", "_mid")).alias("last")).first()
+    rows = rows.select(*[F.col(f"`{c}`") for c in columns], "_file", "_row")
+    return rows, 1 if whole["all"] is None else int((whole["all"] - whole["last"]) // cap) + 1
+
+
 def write_merged(df: DataFrame, path: str, max_file_size_mb: float = 100, filter_func=None,
-                 mode: str = "overwrite") -> int:
-    """SNK-7: CSV files that fill ``max_file_size_mb`` each.
-
-    The bytes of all rows give the number of files; every row is written once,
-    dealt out evenly whatever the input's partitions, so small inputs are
-    merged and long rows don't gather in one file.  Files differ from the
-    cap by the spread of the row sizes; exact cut points differ from the
-    reference (which appended whole inputs until over the cap).
-    Returns the number of files.
+                 mode: str = "overwrite", order: list[str] | None = None) -> int:
+    """SNK-7: CSV files cut at ``max_file_size_mb``, rows in order.
+
+    Rows are ordered by ``order`` (then by all other columns, so two runs give
+    equal files), and a new file begins where the bytes so far reach the
+    cap; file ``k`` is partition ``k``.  Returns the number of files (rows larger
+    than the cap leave numbers without a file behind them).
     """
     out = df.transform(filter_func) if filter_func else df
-    n_files = max(1, -(-csv_bytes(out) // max(1, int(max_file_size_mb * 1024 * 1024))))
-    out.repartition(n_files).write.mode(mode).option("header", True).csv(path)
+    rows, n_files = cut_by_bytes(out, max(1, int(max_file_size_mb * 1024 * 1024)), order)
+    rows = rows.repartitionById(n_files, F.col("_file").cast("int")).sortWithinPartitions("_file", "_row")
+    rows.drop("_file", "_row").write.mode(mode).option("header", True).csv(path)
     return n_files
 
 
