@@ -47,6 +47,48 @@ def uniform_sql(seed: int, stream: str, *parts_sql: str, k: int = 0) -> str:
     return f"(CAST(('0x' || substr(md5({key}), {1 + 8 * k}, 8)) AS BIGINT) / 4294967296.0)"
 
 
+FEISTEL_ROUNDS = 4
+FEISTEL_STEPS = 64
+
+
+def feistel(index: Column, n: int, seed: int, stream: str = "feistel") -> Column:
+    """A keyed permutation of 0..n-1: ``index`` -> its new place.
+
+    Numbers below ``a * a`` (``a`` the rounded-up root of ``n``) are pairs of two
+    digits; each round adds a hash of one digit to the other, modulo ``a``.
+    Places from ``n`` on are walked on from until one below ``n`` is met; at
+    most ``2 a`` numbers lie there, so a walk beyond ``FEISTEL_STEPS`` (which
+    raises) does not occur: for small ``n`` there are fewer, for large ones its chance is below 1e-70."""
+    a = math.isqrt(max(0, n - 1)) + 1
+
+    def rounds(x: Column) -> Column:       # one round per element: a nested expression would repeat its hash
+        pair = F.struct(F.floor(x / F.lit(a)).cast("long").alias("l"), F.pmod(x, F.lit(a)).cast("long").alias("r"))
+
+        def step(acc, r):
+            h = F.conv(F.substring(digest(seed, stream, r, acc["r"]), 1, 8), 16, 10).cast("long")
+            return F.struct(acc["r"].alias("l"), F.pmod(acc["l"] + h, F.lit(a)).alias("r"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1)), pair, step, lambda p: p["l"] * F.lit(a) + p["r"])
+
+    walk = min(a * a - n, FEISTEL_STEPS)
+    out = rounds(index.cast("long"))
+    if walk <= 0:
+        return out
+    out = F.aggregate(F.sequence(F.lit(1), F.lit(walk)), out, lambda x, _: F.when(x < n, x).otherwise(rounds(x)))
+    return F.when(out < n, out).otherwise(F.raise_error(F.lit("a walk of the permutation did not end")).cast("long"))
+
+
+def feistel_sql(index: str, n: str, seed: int, stream: str = "feistel") -> str:
+    """The same permutation as DuckDB SQL text; ``n`` is an expression, constant over the rows."""
+    a = f"CAST(ceil(sqrt({n})) AS BIGINT)"
+
+    def rounds(x: str) -> str:
+        h = f"CAST('0x' || substr(md5('{seed}:{stream}:' || r || ':' || (p % {a})), 1, 8) AS BIGINT)"
+        return f"list_reduce(list_prepend(CAST({x} AS BIGINT), range({FEISTEL_ROUNDS})), lambda p, r: (p % {a}) * {a} + ((p // {a} + {h}) % {a}))"
+
+    return (f"list_reduce(list_prepend({rounds(index)}, range({FEISTEL_STEPS})), lambda q, k: CASE WHEN q < {n} THEN q ELSE {rounds('q')} END)")
+
+
 def normal(seed: int, stream: str, *parts: Column | str, mean: Column | float = 0.0,
            std: Column | float = 1.0) -> Column:
     """N(mean, std) by Box-Muller from two uniform streams."""

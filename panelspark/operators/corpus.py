@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.rand import uniform
 from panelspark.functions.scalars import pad_id, parse_basket
-from panelspark.operators.indexing import global_index
+from panelspark.operators.indexing import copies, distinct_rows, global_index
 
 # Fixed values (tokenizer special tokens, in the reference's order).
 CLS, SEP, MASK, PAD, UNK = "[CLS]", "[SEP]", "[MASK]", "[PAD]", "[UNK]"
@@ -99,8 +99,8 @@ def subsample(sent: DataFrame, keys: Sequence[str], col: str = "tokens", sample:
     checkpoint_dir(sent.sparkSession)
     counts = counts.checkpoint()            # the token set, used three times
     total = counts.select(F.sum("count")).scalar()
-    rows = sent.select(*keys, F.monotonically_increasing_id().alias("_rid"), F.col(col).alias("_toks"))
-    long = rows.select(*keys, "_rid", F.posexplode("_toks").alias("pos", "token"))
+    rows = distinct_rows(sent.select(*keys, F.col(col).alias("_toks")), keys, "_toks")      # rows by content: safe under a retry
+    long = rows.select(*keys, "_h1", "_h2", "_n", F.posexplode("_toks").alias("pos", "token"))
     # the counts are one row a token; broadcast under the bound, so that a
     # token of every sentence (the markers) is no hot join key
     small = counts.count() <= max_broadcast
@@ -108,8 +108,8 @@ def subsample(sent: DataFrame, keys: Sequence[str], col: str = "tokens", sample:
     ratio = F.lit(sample) * total / F.col("count")
     keep_p = F.least(F.lit(1.0), F.sqrt(ratio) + ratio)
     kept = j.filter(uniform(seed, "subsample", *keys, "pos") < keep_p)
-    return (kept.groupBy(*keys, "_rid").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
-            .select(*keys, F.transform("_t", lambda x: x["token"]).alias(col)))
+    whole = kept.groupBy(*keys, "_h1", "_h2").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"), F.max("_n").alias("_n"))
+    return copies(whole.select(*keys, F.transform("_t", lambda x: x["token"]).alias(col), "_n"))
 
 
 def alias_maps(alias: DataFrame, order: Column | str = "row_order") -> tuple[DataFrame, DataFrame]:
@@ -120,18 +120,25 @@ def alias_maps(alias: DataFrame, order: Column | str = "row_order") -> tuple[Dat
     return name2code, code2name
 
 
-def encode(texts: DataFrame, col: str, vocab: DataFrame, name2code: DataFrame, out: str = "id") -> DataFrame:
+def encode(texts: DataFrame, col: str, vocab: DataFrame, name2code: DataFrame, out: str = "id",
+           max_broadcast: int = 5_000_000) -> DataFrame:
     """TOK-12: a stock given as code or name -> token index ([UNK] if unknown).
 
     Names become codes first (the reference turned codes into names, which
-    the vocabulary does not hold).
+    the vocabulary does not hold).  Both small tables are materialized, counted
+    and broadcast under the bound, so a name that fills a third of the texts is
+    no hot join key; beyond it the tables are read as they are, which lets
+    adaptive execution split a hot name's texts.
     """
+    from panelspark.operators.panel import materialize
+    name2code = materialize(name2code)
+    vocab = materialize(vocab)
     unk = vocab.filter((F.col("token") == UNK) & F.col("raw").isNull()).select("index")
     n2c = name2code.withColumnRenamed("name", "_name").withColumnRenamed("code", "_code")
-    t = texts.join(n2c, F.col(col) == F.col("_name"), "left")
+    t = texts.join(F.broadcast(n2c) if name2code.count() <= max_broadcast else n2c, F.col(col) == F.col("_name"), "left")
     t = t.withColumn("_tok", pad_id(F.coalesce(F.col("_code"), F.col(col))))
     v = vocab.filter(F.col("raw").isNotNull()).select(F.col("token").alias("_tok"), F.col("index").alias("_idx"))
-    t = t.join(v, "_tok", "left")
+    t = t.join(F.broadcast(v) if vocab.count() <= max_broadcast else v, "_tok", "left")
     return t.withColumn(out, F.coalesce(F.col("_idx"), unk.scalar())).drop("_name", "_code", "_tok", "_idx")
 
 

@@ -77,6 +77,37 @@ def valid_holdings(filings: DataFrame, holders: DataFrame, key: str = "ShareHold
     return filings.join(holders.select(key), on=key, how="left_semi")
 
 
+HEAVY_ROWS = 2_000_000     # of a (holder, date) that is ranked over several tasks
+HEAVY_BYTES = 1 << 30      # of the plan's sources, below which no pair is looked for
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Estimated bytes of the sources of a plan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def heavy_pairs(base: DataFrame, holder: str, date: str) -> DataFrame | None:
+    """Pairs of more than ``HEAVY_ROWS`` rows, counted over the two keys (map-side first); None if there are none."""
+    from panelspark.operators.panel import materialize
+    if source_bytes(base) < HEAVY_BYTES:
+        return None
+    found = materialize(base.groupBy(holder, date).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HEAVY_ROWS).select(holder, date))
+    return None if found.isEmpty() else found
+
+
+def heavy_baskets(rows: DataFrame, holder: str, date: str, symbol: str, shares: str) -> DataFrame:
+    """Baskets of heavy pairs: a range sort over (pair, shares, symbol) cuts a pair into sorted runs, one per task,
+    which are put together in their order; only that last step, the basket itself, is one row's work."""
+    from panelspark.operators.indexing import sorted_tagged
+    order = [(-F.col(shares)).asc_nulls_first(), F.col(symbol).asc_nulls_first()]
+    tagged = sorted_tagged(rows.select(holder, date, symbol, shares), order, partition_first=[holder, date])
+    runs = tagged.groupBy(holder, date, "_pid").agg(F.sort_array(F.collect_list(F.struct("_mid", symbol))).alias("_r"))
+    runs = runs.select(holder, date, "_pid", F.transform("_r", lambda x: x[symbol]).alias("_r"))
+    whole = runs.groupBy(holder, date).agg(F.sort_array(F.collect_list(F.struct("_pid", "_r"))).alias("_r"))
+    return whole.select(holder, date, F.flatten(F.transform("_r", lambda x: x["_r"])).alias("symbols"))
+
+
 def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: str,
             salt_buckets: int = DEFAULT_SALT_BUCKETS, collapse_copies: bool = False) -> DataFrame:
     """HLD-6: per (holder, date), symbols ordered by shares descending, ties
@@ -87,9 +118,16 @@ def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: st
     so a flood of copies moves and sorts as one item (one extra shuffle on
     data without copies, so it is opt-in).
 
+    Pairs that hold very many rows are found by counting (large inputs only) and
+    ranked over several tasks (``heavy_baskets``); all others are one task's sort.
+
     Returns (holder, date, symbols ARRAY<symbol type>).
     """
     base = holdings.filter(F.col(holder).isNotNull() & F.col(date).isNotNull())
+    heavy = None if collapse_copies or (salt_buckets and salt_buckets > 1) else heavy_pairs(base, holder, date)
+    if heavy is not None:
+        hot = heavy_baskets(base.join(F.broadcast(heavy), [holder, date], "left_semi"), holder, date, symbol, shares)     # rows / HEAVY_ROWS pairs at most
+        base = base.join(F.broadcast(heavy), [holder, date], "left_anti")
     if collapse_copies:
         counted = base.groupBy(holder, date, symbol, shares).agg(F.count(F.lit(1)).alias("_n"))
         rows = counted.select(holder, date, F.struct((-F.col(shares)).alias("k"), F.col(symbol).alias("s"),
@@ -109,7 +147,8 @@ def baskets(holdings: DataFrame, holder: str, date: str, symbol: str, shares: st
         symbols = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["s"], x["n"].cast("int"))))
     else:
         symbols = F.transform("_items", lambda x: x["s"])
-    return merged.select(holder, date, symbols.alias("symbols"))
+    out = merged.select(holder, date, symbols.alias("symbols"))
+    return out if heavy is None else out.unionByName(hot)
 
 
 def basket_items(holdings: DataFrame, holder: str, date: str, symbol: str, shares: str,

@@ -63,6 +63,45 @@ def global_index(df: DataFrame, order: Sequence[Column | str], index_col: str =
             .drop(_PID, _MID, "_off"))
 
 
+def distinct_rows(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """(keys, ``_h1``, ``_h2``, ``col``, ``_n``): each different row of ``keys`` and the
+    array ``col`` once, with its number of copies.
+
+    A row is named by its content, so the name is the same when a lost map
+    output is computed again in another order; copies are counted map-side.
+    Grouping by (keys, ``_h1``, ``_h2``) later needs no shuffle where the
+    input is already partitioned by the keys."""
+    counted = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.withColumn("_h1", F.xxhash64(col)).withColumn("_h2", F.xxhash64(F.lit(1), col))
+
+
+def copies(df: DataFrame) -> DataFrame:
+    """Each row ``_n`` times, without ``_n``."""
+    return df.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).drop("_n")
+
+
+def bucket_index(df: DataFrame, keys: Sequence[str], index_col: str = "idx", buckets: int = 1_024) -> DataFrame:
+    """0-based position of every row in the order (bucket, keys, other columns); a
+    row's bucket is the MD5 of its keys.
+
+    Bucket sizes come from a count over the keys alone, and rows are placed and
+    sorted by bucket, so whole rows are shuffled once, by their keys' hash, and
+    neither sampled nor checkpointed; a partition's content and order are fixed
+    by the rows, so a task that runs again gives the same numbers.  Give keys
+    that tell rows apart well: rows of one key are in one bucket."""
+    text = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    bucket = F.pmod(F.conv(F.substring(text, 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+    counts = df.select(bucket.alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # at most one row per bucket: a bounded broadcast
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    others = [c for c, t in df.dtypes if c not in keys and not t.startswith("map")]
+    placed = df.withColumn("_b", bucket).repartitionById(buckets, F.col("_b")).sortWithinPartitions(*keys, *others)
+    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    return (placed.withColumn("_at", local).join(F.broadcast(offsets), "_b")
+            .withColumn(index_col, (F.col("_off") + F.col("_at")).cast("long")).drop("_b", "_at", "_off"))
+
+
 def running_aggregates(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                        value: str, num_partitions: int | None = None) -> DataFrame:
     """Per group, in ``order``: running count, sum, sum of squares and sum of

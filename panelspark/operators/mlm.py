@@ -23,9 +23,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.rand import digest, uniform, uniform_at
+from panelspark.functions.rand import digest, feistel, uniform, uniform_at
 from panelspark.operators.corpus import CLS, MASK, PAD, SEP, UNK
-from panelspark.operators.indexing import global_index
+from panelspark.operators.indexing import bucket_index, copies, distinct_rows, global_index
 
 IGNORE_LABEL = -100
 DEFAULT_MAX_VOCAB_BROADCAST = 5_000_000
@@ -64,16 +64,15 @@ def token_ids(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, col: str =
     loses its [SEP], as the reference's tokenizer does.
     """
     toks = F.slice(col, 1, max_length) if max_length else F.col(col)
-    # rows are told apart by their own number: two rows of one key stay two
-    # rows.  A regroup on (keys, number) needs no shuffle where the input is
-    # already partitioned by the keys.
-    rows = sent.select(*keys, F.monotonically_increasing_id().alias("_rid"), toks.alias("_toks"))
-    long = rows.select(*keys, "_rid", F.posexplode("_toks").alias("_pos", "_tok"))
+    # rows are told apart by their content and its number of copies: two rows
+    # of one key stay two rows, whatever order a task meets them in
+    rows = distinct_rows(sent.select(*keys, toks.alias("_toks")), keys, "_toks")
+    long = rows.select(*keys, "_h1", "_h2", "_n", F.posexplode("_toks").alias("_pos", "_tok"))
     lk = _lookup_table(vocab, max_broadcast)
     info = info or vocab_info(vocab)
     j = long.join(lk, "_tok", "left").withColumn("_id", F.coalesce(F.col("_id"), F.lit(info["unk_id"])))
-    return (j.groupBy(*keys, "_rid").agg(F.sort_array(F.collect_list(F.struct("_pos", "_id"))).alias("_p"))
-            .select(*keys, F.transform("_p", lambda x: x["_id"]).alias("input_ids")))
+    whole = j.groupBy(*keys, "_h1", "_h2").agg(F.sort_array(F.collect_list(F.struct("_pos", "_id"))).alias("_p"), F.max("_n").alias("_n"))
+    return copies(whole.select(*keys, F.transform("_p", lambda x: x["_id"]).alias("input_ids"), "_n"))
 
 
 def training_rows(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, max_length: int = 20,
@@ -166,3 +165,18 @@ def shuffle_batches(rows: DataFrame, keys: Sequence[str], batch_size: int = 32,
     order = ([uniform(seed, "shuffle", *keys)] if shuffle else []) + [F.col(k) for k in keys]
     indexed = global_index(rows, order, "sample_idx", num_partitions)
     return indexed.withColumn("batch_id", F.floor(F.col("sample_idx") / batch_size).cast("long"))
+
+
+def permuted_batches(rows: DataFrame, keys: Sequence[str], batch_size: int = 32, seed: int = 42, buckets: int = 1_024) -> DataFrame:
+    """MLM-11 without a sort or a copy of the rows: every row is numbered in place
+    (``bucket_index``) and a keyed permutation of 0..n-1 turns its number into
+    its place in the shuffled order; ``batch_id = floor(place / batch_size)``.
+
+    Whole rows are shuffled once, by their keys' hash; only keys are counted.
+    The order differs from ``shuffle_batches`` and is as fixed by the seed."""
+    n = rows.count()
+    if n == 0:
+        return rows.withColumn("sample_idx", F.lit(None).cast("long")).withColumn("batch_id", F.lit(None).cast("long"))
+    numbered = bucket_index(rows, keys, "_number", buckets)
+    placed = numbered.withColumn("sample_idx", feistel(F.col("_number"), n, seed)).drop("_number")
+    return placed.withColumn("batch_id", F.floor(F.col("sample_idx") / batch_size).cast("long"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.functions.rand import uniform_sql
+from panelspark.functions.rand import feistel_sql, uniform_sql
 from panelspark.operators import corpus as C
 from panelspark.operators import embed as EM
 from panelspark.operators import mlm as M
+from panelspark.operators import skipgram as SG
 from panelspark.plans import views as V
 from panelspark.plans.q_holdings import V_HOLD_SQL
 
@@ -282,7 +283,31 @@ o AS (SELECT holder, end_date, row_number() OVER (ORDER BY {uniform_sql(SEED, 's
 SELECT holder, end_date, sample_idx, sample_idx // 32 AS batch_id FROM o"""
 
 
+BUCKETS = 64
+
+
+def mlm11_permuted_batches(spark, sf_dir):
+    b = M.permuted_batches(V.v_sent(spark, sf_dir), KEYS, batch_size=32, seed=SEED, buckets=BUCKETS)
+    return b.select(*KEYS, "sample_idx", "batch_id")
+
+
+MLM11P_SQL = f"""WITH k AS (SELECT DISTINCT holder, end_date FROM ({T_SQL})),
+b AS (SELECT holder, end_date, CAST('0x' || substr(md5(concat_ws(':', holder, end_date)), 1, 8) AS BIGINT) % {BUCKETS} AS bucket,
+    count(*) OVER () AS n FROM k),
+i AS (SELECT holder, end_date, n, row_number() OVER (ORDER BY bucket, holder, end_date) - 1 AS i FROM b),
+o AS (SELECT holder, end_date, CAST({feistel_sql('i', 'n', SEED)} AS BIGINT) AS sample_idx FROM i)
+SELECT holder, end_date, sample_idx, sample_idx // 32 AS batch_id FROM o"""
+
+
 # ---------------------------------------------------------------- EMB
+def emb01_skipgram(spark, sf_dir):
+    """Trained tokens and their dimensions with the reference trainer's settings: skip-gram with 10 negative
+    samples, frequent tokens subsampled (sample 1e-3, TOK-10), dim 100, window 5, min count 1, 10 passes."""
+    sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
+    vec = SG.train_skipgram(sub, vector_size=100, window=5, min_count=1, epochs=10, negative=10, seed=SEED)
+    return vec.select("token", F.size("vector").alias("n_dims"))
+
+
 def emb01_word2vec(spark, sf_dir):
     """Trained tokens and their dimensions with the reference trainer's
     settings: frequent tokens subsampled (sample 1e-3, TOK-10), dim 100,
@@ -399,6 +424,8 @@ QUERIES = {
     "mlm09_rows_per_file": mlm09_rows_per_file,
     "mlm10_locate": mlm10_locate,
     "mlm11_batches": mlm11_batches,
+    "mlm11_permuted_batches": mlm11_permuted_batches,
+    "emb01_skipgram": emb01_skipgram,
     "emb01_word2vec": emb01_word2vec,
     "tok09_vocab_size": tok09_vocab_size,
     "tok10_duplicate_keys": tok10_duplicate_keys,
@@ -421,6 +448,8 @@ ORACLE = {
     "tok10_subsample": TOK10_SQL,
     "tok10_duplicate_keys": TOK10_DUP_SQL,
     "mlm01_duplicate_keys": MLM01_DUP_SQL,
+    "mlm11_permuted_batches": MLM11P_SQL,
+    "emb01_skipgram": EMB01_SQL,
     "emb01_word2vec": EMB01_SQL,
     "tok11_alias_maps": TOK11_SQL,
     "tok12_encode": TOK12_SQL,

@@ -250,6 +250,27 @@ b AS (SELECT CAST(holder AS VARCHAR) AS ShareHolderID, end_date,
 SELECT * FROM b WHERE end_date >= DATE '1998-07-01' AND len(string_split(Holdings, ', ')) >= 5"""
 
 
+def hld12_stack(spark, sf_dir):
+    """Baskets per nation and month end, written as one folder per holder (SNK-6), stacked again with the holder as a column."""
+    from panelspark.plans import pipelines as PL
+    from panelspark.session import scratch_path
+    from panelspark.sources import writers as W
+    c = V.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("holder"), F.format_string("%04d", F.col("c_nationkey")).alias("nation"))
+    held = V.v_hold(spark, sf_dir).join(c, "holder")
+    b = H.baskets(held, "nation", "end_date", "symbol", "shares")
+    out = b.select(F.col("nation").alias("ShareHolderID"), F.date_format("end_date", "yyyy-MM-dd").alias("EndDate"), basket_text("symbols").alias("Holdings"))
+    path = scratch_path(spark, "holders")
+    W.write_baskets(out, path, per_holder=True)
+    return PL.stack_holder_folders(spark, path)
+
+
+HLD12_SQL = f"""
+WITH h AS ({V_HOLD_SQL})
+SELECT printf('%04d', c_nationkey) AS ShareHolderID, strftime(end_date, '%Y-%m-%d') AS EndDate,
+       '[' || string_agg(symbol, ', ' ORDER BY shares DESC, symbol) || ']' AS Holdings
+FROM h JOIN customer ON holder = c_custkey GROUP BY ALL"""
+
+
 QUERIES = {
     "hld_flagship_baskets": flagship,
     "hld01_holder_dimension": hld01_holder_dim,
@@ -267,6 +288,7 @@ QUERIES = {
     "hld09_pipeline_industries": hld09_pipeline_industries,
     "hld10_count_elements": hld10_count_elements,
     "hld11_filter_holdings": hld11_filter_holdings,
+    "hld12_stack": hld12_stack,
     "hld13_user_filter": hld13_user_filter,
 }
 
@@ -287,5 +309,6 @@ ORACLE = {
     "hld09_pipeline_industries": HLD02_SQL,
     "hld10_count_elements": HLD10_SQL,
     "hld11_filter_holdings": HLD11_SQL,
+    "hld12_stack": HLD12_SQL,
     "hld13_user_filter": HLD13_SQL,
 }

@@ -184,3 +184,60 @@ def test_baskets_with_a_hot_holder(spark):
     rebuilt = {k: list(g.sort_values("rank")["s"]) for k, g in items.groupby(["h", "d"])}
     assert rebuilt == want
     assert (items.groupby(["h", "d"])["rank"].apply(lambda r: sorted(r) == list(range(len(r))))).all()
+
+
+def test_heavy_pairs_are_ranked_over_several_tasks(spark, monkeypatch):
+    """A pair with 30 % of the rows: found by counting, cut into sorted runs, equal to the plain baskets."""
+    import random
+    from panelspark.operators import holdings as H
+    rng = random.Random(1)
+    rows = [("hot" if k % 10 < 3 else f"h{k % 50}", "2020-01-31", f"{rng.randrange(400):04d}" if k % 97 else None,
+             float(rng.randrange(50)) if k % 89 else None) for k in range(6000)]
+    df = spark.createDataFrame(rows, "holder string, date string, symbol string, shares double")
+    want = {(r.holder, r.date): r.symbols for r in H.baskets(df, "holder", "date", "symbol", "shares").collect()}
+    monkeypatch.setattr(H, "HEAVY_ROWS", 1000)
+    monkeypatch.setattr(H, "HEAVY_BYTES", 0)
+    got = {(r.holder, r.date): r.symbols for r in H.baskets(df, "holder", "date", "symbol", "shares").collect()}
+    assert got == want and len(got["hot", "2020-01-31"]) == 1800
+    assert [r.holder for r in H.heavy_pairs(df, "holder", "date").collect()] == ["hot"]
+    from panelspark.operators.indexing import sorted_tagged
+    from pyspark.sql import functions as F
+    per = sorted_tagged(df.filter("holder = 'hot'"), [F.desc("shares"), "symbol"], partition_first=["holder", "date"]).groupBy("_pid").count().collect()
+    assert len(per) > 3 and max(r["count"] for r in per) < 3 * 1800 / len(per)
+
+
+def test_rows_are_named_by_content(spark):
+    """Ids and subsamples are equal under another partitioning, copies included."""
+    from panelspark.operators import corpus as C
+    from panelspark.operators import mlm as M
+    rows = [("h", "d", ["[CLS]", "000001", "000002", "[SEP]"])] * 3 + [("h", "d", ["[CLS]", "000003", "[SEP]"]), ("g", "d", ["[CLS]", "000001", "[SEP]"])]
+    sent = spark.createDataFrame(rows, "holder string, end_date string, tokens array<string>")
+    vocab = C.vocabulary(sent)
+    found = []
+    for df in (sent, sent.repartition(5), sent.orderBy("tokens")):
+        ids = sorted((r.holder, tuple(r.input_ids)) for r in M.token_ids(df, ["holder", "end_date"], vocab).collect())
+        kept = sorted((r.holder, tuple(r.tokens)) for r in C.subsample(df, ["holder", "end_date"], sample=0.05).collect())
+        found.append((ids, kept))
+    assert found[0] == found[1] == found[2] and len(found[0][0]) == 5
+    assert not any("monotonically" in line for line in M.token_ids(sent, ["holder", "end_date"], vocab)._jdf.queryExecution().toString().splitlines())
+
+
+def test_keyed_permutation_and_batches(spark):
+    from pyspark.sql import functions as F
+    from panelspark.functions.rand import feistel
+    from panelspark.operators import mlm as M
+    from panelspark.plans.inspect import plan_text
+    for n in (1, 2, 3, 5, 16, 17, 100, 101, 1000, 4097):
+        got = [r.p for r in spark.range(n).select(feistel(F.col("id"), n, 7).alias("p")).collect()]
+        assert sorted(got) == list(range(n)), n
+        if n > 50:
+            assert sum(i == p for i, p in enumerate(got)) < n / 4 and got != [r.p for r in spark.range(n).select(feistel(F.col("id"), n, 8).alias("p")).collect()]
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 7).cast("string").alias("text")).union(spark.createDataFrame([(5, "x"), (5, "x")], "id long, text string"))
+    out = M.permuted_batches(rows, ["id"], batch_size=32, seed=3, buckets=16)
+    got = out.collect()
+    assert sorted(r.sample_idx for r in got) == list(range(1002)) and all(r.batch_id == r.sample_idx // 32 for r in got)
+    again = M.permuted_batches(rows.repartition(9), ["id"], batch_size=32, seed=3, buckets=16).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+    text = plan_text(out, "simple")
+    assert "rangepartitioning" not in text.lower()
+    assert M.permuted_batches(rows.limit(0), ["id"]).count() == 0
