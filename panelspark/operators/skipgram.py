@@ -181,7 +181,7 @@ def _average(dim: int):
 
 def train_skipgram(sent: DataFrame, col: str = "tokens", vector_size: int = 100, window: int = 5, min_count: int = 1,
                    epochs: int = 10, negative: int = 10, seed: int = 42, alpha: float = 0.025, min_alpha: float = 1e-4,
-                   power: float = 0.75, block_rows: int = 65_536, pairs_per_task: int = 1_000_000) -> DataFrame:
+                   power: float = 0.75, block_rows: int = 65_536, pairs_per_task: int = 500_000) -> DataFrame:
     """EMB-1: (token, vector ARRAY<DOUBLE>) of every token with ``min_count`` occurrences.
 
     A task holds two blocks of ``block_rows`` vectors and ``pairs_per_task`` pairs (about);
