@@ -21,7 +21,8 @@ meet.  Runs of windows with one minimiser travel as one stretch of text:
 ``strip_repeats`` also cuts passages of ``words`` words, whatever their bytes, if asked:
 the same steps run over texts whose words are codes of ``CODE`` bytes (42 bits
 of a hash), with a length of ``words`` codes; ranges that begin or end
-inside a code count from the next or to the last whole one.
+inside a code count from the next or to the last whole one.  The two passes run
+one after the other; each frees its staged tables when its ranges are written.
 
 Texts are told apart by two 64-bit hashes; copies share their result, so they
 are never paired.  Null texts count as empty; texts shorter than ``length``
@@ -41,8 +42,8 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import sais
 from panelspark.llm import word_tokens as WT
-from panelspark.llm.common import byte_slices, partitions, release, ship, stage
-from panelspark.session import checkpoint_dir
+from panelspark.llm.common import byte_slices, partitions, release, ship
+from panelspark.operators.scratch import free, staged
 
 ship(__name__)
 
@@ -51,7 +52,7 @@ GRAM = 64
 MAX_WINDOWS = 512          # of a run before it is cut in two (only repetitive text has longer ones)
 GROUP = 24                 # different stretches of a minimiser per shard
 SHARD_BYTES = 8_192        # small groups share a shard up to this
-BATCH_BYTES = 6 << 20      # of shards whose arrays are induced side by side
+BATCH_BYTES = 4 << 20      # of shards whose arrays are induced side by side
 CODE = 6                   # bytes of a word's code, seven bits each
 CODE_GRAM = 32
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -157,7 +158,7 @@ def scan(df: DataFrame, keep: list[str], text_col: str, length: int, gram: int)
     names = {"start": "int", "count": "int", "low": "bigint", "own": "bigint", "twice": "boolean"}
     ddl = f"row_ {src.schema['row_'].dataType.simpleString()}, k1 long, k2 long, n_bytes long, sha string, " + ", ".join(
         f"{c} array<{t}>" for c, t in names.items())
-    return stage(src.mapInArrow(task, ddl), "suffix-scan")
+    return staged(src.mapInArrow(task, ddl), "suffix-scan")
 
 
 def repeats_in_shards(shards: list[list[bytes]], length: int) -> list[list[np.ndarray]]:
@@ -274,33 +275,28 @@ def shard_task(length: int):
     return work
 
 
-def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
-    """(k1, k2, ranges: array<struct<a, b>>) of bytes to remove per text, and
-    the staged texts (k1, k2, text_) that they may lie in."""
+def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: int) -> DataFrame:
+    """Staged: (k1, k2, ranges: array<struct<a, b>>) of bytes to remove per text."""
     spark = df.sparkSession
     runs = (scanned.select("k1", "k2", F.explode(F.arrays_zip("start", "count", "low", "own", "twice")).alias("r"))
             .select("k1", "k2", "r.*"))
     # the tables of minimisers are cut off their aggregations, so that the joins with them can split hot minimisers
-    checkpoint_dir(spark)
-    often = (runs.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("t")).filter("n > 1 or t")
-             .select("low").checkpoint())
-    runs = stage(runs.join(often, "low"), "suffix-runs")
-    kinds = stage(runs.groupBy("low", "own", "count")
-                  .agg(F.count(F.lit(1)).alias("n_occ"), F.max("twice").alias("twice"), F.min(F.struct("k1", "k2", "start")).alias("place")), "suffix-kinds")
-    several = kinds.groupBy("low").agg(F.count(F.lit(1)).alias("d"), F.max("twice").alias("t")).filter("d > 1 or t").checkpoint()
-    need = (kinds.join(several, "low")
-            .select("low", "own", "count", "n_occ", "d", "place.k1", "place.k2", "place.start"))
-    # whole runs of which the corpus has an equal one
-    whole = (runs.join(kinds.filter("n_occ > 1").select("low", "own", "count"), ["low", "own", "count"], "left_semi")
-             .select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("count") + length - 1).alias("b")))
-    # texts with a run that may repeat, once each, with the stretches to be taken from them
-    asked = (need.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "own", "count", "n_occ", "d", "start")).alias("asked")))
-    wanted = runs.select("k1", "k2").distinct().join(asked, ["k1", "k2"], "left")
+    often = staged(runs.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("t")).filter("n > 1 or t").select("low"), "suffix-often")
+    runs = staged(runs.join(often, "low"), "suffix-runs")
+    free(often)
+    kinds = staged(runs.groupBy("low", "own", "count")
+                   .agg(F.count(F.lit(1)).alias("n_occ"), F.max("twice").alias("twice"), F.min(F.struct("k1", "k2", "start")).alias("place")), "suffix-kinds")
+    several = staged(kinds.groupBy("low").agg(F.count(F.lit(1)).alias("d"), F.max("twice").alias("t"))
+                     .filter("d > 1 or t").select("low", "d"), "suffix-several")
+    need = kinds.join(several, "low").select("low", "own", "count", "n_occ", "d", "place.k1", "place.k2", "place.start")
+    # texts that stretches are taken from, once each
+    asked = need.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "own", "count", "n_occ", "d", "start")).alias("asked"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = (df.select(text.alias("text_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
              .filter(F.octet_length("text_") >= length)
              .groupBy("k1", "k2").agg(F.first("text_").alias("text_")))
-    texts = stage(texts.join(wanted, ["k1", "k2"]), "suffix-texts")
+    texts = staged(texts.join(asked, ["k1", "k2"]), "suffix-texts")      # one Python worker a task at a time
+    free(several)
 
     def take(batches):
         for batch in batches:
@@ -308,7 +304,7 @@ def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: in
                 cols = [[] for _ in range(9)]
                 for k1, k2, t, asked_ in zip(*(part.column(i).to_pylist() for i in range(4))):
                     raw = t.encode()
-                    for r in asked_ or ():
+                    for r in asked_:
                         parts = -(-r["d"] // GROUP)
                         for c, v in zip(cols, (r["low"], r["own"] % parts, parts > 1, r["n_occ"], k1, k2, r["start"], r["count"],
                                                raw[r["start"]:r["start"] + r["count"] + length - 1])):
@@ -316,18 +312,24 @@ def repeated_ranges(df: DataFrame, scanned: DataFrame, text_col: str, length: in
                 types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[
                     "low", "part", "split", "n_occ", "k1", "k2", "start", "count", "content"])
+        release()
 
-    content = (texts.filter("asked is not null").select("k1", "k2", "text_", "asked").mapInArrow(
+    content = (texts.select("k1", "k2", "text_", "asked").mapInArrow(
         take, "low long, part long, split boolean, n_occ long, k1 long, k2 long, start int, count int, content binary")
         .repartition(partitions(spark), "low", "part").sortWithinPartitions("low", "part"))
-    found = stage(content.mapInArrow(shard_task(length), FOUND), "suffix-found")
+    found = staged(content.mapInArrow(shard_task(length), FOUND), "suffix-found")
+    free(texts)
+    # whole runs of which the corpus has an equal one
+    whole = (runs.join(kinds.filter("n_occ > 1").select("low", "own", "count"), ["low", "own", "count"], "left_semi")
+             .select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("count") + length - 1).alias("b")))
     inside = found.filter("h1 is null").select("k1", "k2", "a", "b")
     hashed = found.filter("h1 is not null")
     both = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
     across = hashed.filter("k1 is not null").join(both, ["h1", "h2"], "left_semi").select("k1", "k2", "a", "b")
-    ranges = (whole.unionByName(inside).unionByName(across).distinct()
-              .groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("ranges")))
-    return ranges, texts.select("k1", "k2", "text_")
+    ranges = staged(whole.unionByName(inside).unionByName(across).distinct()
+                    .groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("ranges")), "suffix-ranges")
+    free(runs, kinds, found)
+    return ranges
 
 
 def merged(ranges: list[dict], touching: bool = True) -> list[tuple[int, int]]:
@@ -365,12 +367,15 @@ def word_codes(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def repeated_passages(df: DataFrame, text_col: str, words: int) -> DataFrame:
-    """(k1, k2, passages: array<struct<a, b>>): ranges of each text's codes that repeat."""
-    coded = stage(word_codes(df, text_col), "suffix-codes")      # one Python worker a task at a time
+    """Staged: (k1, k2, passages: array<struct<a, b>>): ranges of each text's codes that repeat."""
+    coded = staged(word_codes(df, text_col), "suffix-codes")      # one Python worker a task at a time
     scanned = scan(coded, ["t1", "t2"], "code", words * CODE, CODE_GRAM)
-    ranges, _ = repeated_ranges(coded, scanned, "code", words * CODE)
-    return (scanned.select("row_.t1", "row_.t2", "k1", "k2").distinct().join(ranges, ["k1", "k2"])
-            .select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), F.col("ranges").alias("passages")))
+    ranges = repeated_ranges(coded, scanned, "code", words * CODE)
+    free(coded)
+    passages = staged(scanned.select("row_.t1", "row_.t2", "k1", "k2").distinct().join(ranges, ["k1", "k2"])
+                      .select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), F.col("ranges").alias("passages")), "suffix-passages")
+    free(scanned, ranges)
+    return passages
 
 
 def passage_bytes(raw: bytes, passages: list[dict], words: int) -> list[dict]:
@@ -380,18 +385,23 @@ def passage_bytes(raw: bytes, passages: list[dict], words: int) -> list[dict]:
     return [{"a": at[a][0], "b": at[b - 1][1]} for a, b in whole if b - a >= words]
 
 
-def removals(df: DataFrame, scanned: DataFrame, text_col: str = "text", length: int = LENGTH,
+def removals(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
              with_text: bool = True, words: int | None = None) -> DataFrame:
     """Texts that lose something: ``k1``, ``k2``, ``n_removed``, ``n_spans``,
     ``kept_sha`` and, if asked for, ``spans`` (removed byte ranges), ``kept``
     (the other bytes) and ``kept_text`` (their whole characters)."""
-    ranges, texts = repeated_ranges(df, scanned, text_col, length)
+    scanned = scan(df, [], text_col, length, gram)
+    ranges = repeated_ranges(df, scanned, text_col, length)
+    free(scanned)
     if words:
         # a text that loses passages may have no window of ``length`` bytes
-        ranges = stage(ranges.join(repeated_passages(df, text_col, words), ["k1", "k2"], "full"), "suffix-ranges")
-        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-        texts = (df.select(text.alias("text_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
-                 .join(ranges.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text_").alias("text_")))
+        passages_ = repeated_passages(df, text_col, words)
+        both = staged(ranges.join(passages_, ["k1", "k2"], "full"), "suffix-both")
+        free(ranges, passages_)
+        ranges = both
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = (df.select(text.alias("text_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+             .join(ranges.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text_").alias("text_")))
 
     def cut(batches):
         for batch in batches:
@@ -414,25 +424,33 @@ def removals(df: DataFrame, scanned: DataFrame, text_col: str = "text", length:
                     "k1", "k2", "n_removed", "n_spans", "kept_sha", "spans", "kept", "kept_text"])
 
     passages = F.col("passages") if words else F.lit(None).cast("array<struct<a:int,b:int>>")
-    return (texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges", passages.alias("passages")).mapInArrow(
+    joined = staged(texts.join(ranges, ["k1", "k2"]).select("k1", "k2", "text_", "ranges", passages.alias("passages")), "suffix-cuts")
+    free(ranges)
+    return (joined.mapInArrow(
         cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha string, spans array<struct<a:int,b:int>>, kept binary, kept_text string"))
 
 
+def rows_and_cuts(df: DataFrame, text_col: str, done: DataFrame) -> DataFrame:
+    """All rows of ``df`` as ``row_``, their text as ``text_`` and, where it loses something, the columns of ``done``."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row_"), text.alias("text_"),
+                     F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+    return rows.join(done, ["k1", "k2"], "left")
+
+
 def remove_repeats(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, length: int = LENGTH,
                    gram: int = GRAM, with_text: bool = True) -> DataFrame:
     """The columns ``keep``, ``n_bytes``, ``n_removed``, ``n_spans``,
-    ``kept_sha256`` and, if asked for, ``spans`` and ``kept`` of ``removals``
-    (null where nothing was removed)."""
+    ``kept_sha256``, ``kept_text`` (whole characters of what is left) and, if
+    asked for, ``spans`` and ``kept`` of ``removals`` (null where nothing was removed)."""
     if length < gram or gram & (gram - 1):
         raise ValueError("gram must be a power of two, and length at least gram")
-    keep = keep or []
-    scanned = scan(df, keep, text_col, length, gram)
-    done = removals(df, scanned, text_col, length, with_text)
-    out = scanned.select("row_", "k1", "k2", "n_bytes", "sha").join(done, ["k1", "k2"], "left")
+    out = rows_and_cuts(df, text_col, removals(df, text_col, length, gram))
     zero = F.lit(0).cast("long")
-    cols = [F.col("row_").getField(c).alias(c) for c in keep] + [
-        "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("kept_sha", "sha").alias("kept_sha256")]
+    cols = [F.col("row_").getField(c).alias(c) for c in keep or []] + [
+        F.octet_length("text_").cast("long").alias("n_bytes"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha", F.sha2("text_", 256)).alias("kept_sha256"),
+        F.coalesce("kept_text", "text_").alias("kept_text")]
     return out.select(*cols, *(["spans", "kept"] if with_text else []))
 
 
@@ -440,22 +458,22 @@ def strip_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, g
     """``df`` with the repeated strings of ``length`` bytes and, if asked for,
     the repeated passages of ``words`` words cut out of its texts (characters that a
     cut splits go too) and without the rows of which only white space is left."""
-    scanned = scan(df, [], text_col, length, gram)
-    done = removals(df, scanned, text_col, length, words=words).select("k1", "k2", F.col("kept_text").alias("kept_text_"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row_"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
-    cut = rows.join(done, ["k1", "k2"], "left").filter(F.col("kept_text_").isNull() | (F.trim(F.col("kept_text_")) != ""))
+    done = removals(df, text_col, length, gram, words=words).select("k1", "k2", F.col("kept_text").alias("kept_text_"))
+    cut = rows_and_cuts(df, text_col, done).filter(F.col("kept_text_").isNull() | (F.trim(F.col("kept_text_")) != ""))
     return cut.select(*[(F.coalesce("kept_text_", F.col("row_").getField(c)) if c == text_col else F.col("row_").getField(c)).alias(c)
                         for c in df.columns])
 
 
 def op6_suffix_shards(spark, sf_dir: str) -> DataFrame:
-    """What every document loses to strings of 400 bytes that occur elsewhere."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return remove_repeats(docs, keep=["doc_id"], with_text=False)
+    """What every document loses to strings of 400 bytes that occur elsewhere, and the text that is left."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return remove_repeats(docs, keep=["doc_id"], with_text=False).withColumnRenamed("kept_text", "text")
 
 
 # Every window by its MD5; runs of removed bytes as islands of repeated starts.
+# Text: whole characters of the bytes left, bytes of no whole character dropped.
+_CHARACTER = ("[0-7][0-9A-F]|(?:C[2-9A-F]|D[0-9A-F])[89AB][0-9A-F]|(?:E0[AB]|ED[89]|E[1-9A-CEF][89AB])[0-9A-F][89AB][0-9A-F]"
+              "|(?:F0[9AB]|F[1-3][89AB]|F48)[0-9A-F][89AB][0-9A-F][89AB][0-9A-F]")
 ORACLE = {"op6_suffix_shards": f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
@@ -468,7 +486,10 @@ before AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a),
 cut AS (
   SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
     string_agg(substr(x, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS head
-  FROM before JOIN d USING (rid) GROUP BY rid)
+  FROM before JOIN d USING (rid) GROUP BY rid),
+kept AS (SELECT d.*, n_removed, n_spans, CASE WHEN last IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END AS y FROM d LEFT JOIN cut USING (rid))
 SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  sha256(unhex(CASE WHEN last IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END)) AS kept_sha256
-FROM d LEFT JOIN cut USING (rid)"""}
+  sha256(unhex(y)) AS kept_sha256,
+  decode(unhex(array_to_string(list_filter(regexp_extract_all(y, '{_CHARACTER}|[0-9A-F][0-9A-F]'),
+    lambda c: len(c) > 2 OR c < '80'), ''))) AS text
+FROM kept"""}
