@@ -67,3 +67,24 @@ def repeats(texts, length):
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()) if len(b) else 0
         out.append((len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def stripped(texts, length, words):
+    """Each text without bytes of repeated strings of ``length`` bytes or of repeated
+    passages of ``words`` words (from a first to a last word); cut characters go too."""
+    raw = [(t or "").encode() for t in texts]
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", b)] for b in raw]
+    lists = [[b[x:y] for x, y in s] for b, s in zip(raw, spans)]
+    strings = Counter(b[i:i + length] for b in raw for i in range(len(b) - length + 1))
+    passages = Counter(tuple(w[i:i + words]) for w in lists for i in range(len(w) - words + 1))
+    out = []
+    for b, s, w in zip(raw, spans, lists):
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if strings[b[i:i + length]] > 1:
+                gone[i:i + length] = True
+        for i in range(len(w) - words + 1):
+            if passages[tuple(w[i:i + words])] > 1:
+                gone[s[i][0]:s[i + words - 1][1]] = True
+        out.append(bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore"))
+    return out
