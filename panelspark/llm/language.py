@@ -18,9 +18,9 @@ the slice's words and never a text-by-text Python loop.
 
 ``keep_known`` drops what fits no learned language: texts most of whose
 letters are of scripts that no language was seen in, and texts whose n-grams'
-mean log-probability a letter lies further below the usual one than
-``MARGIN`` times what all but ``FIT_TAIL`` of labelled documents kept out of the
-learning do.  The distance is taken in units of 1 + sqrt(``FIT_LETTERS`` / letters),
+mean log-probability a letter lies further below the usual one of their language
+than ``MARGIN`` times what all but ``FIT_TAIL`` of that language's labelled documents
+kept out of the learning do (``level``).  The distance is taken in units of 1 + sqrt(``FIT_LETTERS`` / letters),
 since short texts vary more.
 
 Null texts and texts without letters are ``und`` with score 0 and no spans;
@@ -52,7 +52,8 @@ UNSEEN = 30.0              # nats against a language that isn't a candidate
 FIT_DOCS = 2_000           # documents the usual fit is measured on, per language, about
 FIT_TAIL = 0.01
 FIT_LETTERS = 100
-MARGIN = 3.0
+MARGIN = 5.5               # between the worst labelled texts (3.3 to 5.3 of their tails) and foreign ones (7.2 and more)
+FIT_PRIOR = 20             # texts that the mean tail of all languages counts for
 _SLICE = 4 << 20
 
 # First and last code point of the scripts' main blocks.
@@ -354,23 +355,38 @@ def unit() -> Column:
 
 
 def level(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, rows: Column,
-          per_lang: int = FIT_DOCS) -> tuple[float, float] | None:
-    """The usual fit and the largest distance below it (in ``unit``) of a text
-    that is kept, from labelled ``rows`` that nothing was learned from."""
+          per_lang: int = FIT_DOCS) -> dict[str, tuple[float, float]] | None:
+    """For each language the usual fit and the largest distance below it (in
+    ``unit``) of a text that is kept, from labelled ``rows`` that nothing was
+    learned from and that are told as their label.
+
+    The tail of a language with few such texts is uncertain: it is shrunk towards
+    the mean tail of all languages, as if ``FIT_PRIOR`` texts had shown it, but
+    never below what its own texts show.  A language without any has no
+    entry: its texts can't be judged and stay."""
     _, picked = sample(docs, text_col, lang_col, id_col, rows, per_lang)
-    fits = told(picked, model, "text_", [], spans=False, fit=True).filter("letters > 0").select("fit", "letters")
-    got = fits.agg(F.percentile_approx("fit", F.array(F.lit(0.5), F.lit(0.25)), 10_000).alias("m")).first()["m"]
-    if not got:
+    fits = told(picked, model, "text_", ["lang_"], spans=False, fit=True).filter("letters > 0 and lang_pred = row_.lang_").select("lang_pred", "fit", "letters")
+    usual = fits.groupBy("lang_pred").agg(F.percentile_approx("fit", F.array(F.lit(0.5), F.lit(0.25)), 10_000).alias("m"), F.count(F.lit(1)).alias("n"))
+    far = (fits.join(F.broadcast(usual), "lang_pred")                                       # a row per language
+           .withColumn("d", (F.col("m")[0] - F.col("fit")) / unit()).groupBy("lang_pred")
+           .agg(F.percentile_approx("d", 1 - FIT_TAIL, 10_000).alias("far"), F.first("m").alias("m"), F.first("n").alias("n")).collect())
+    if not far:
         return None
-    far = fits.agg(F.percentile_approx((got[0] - F.col("fit")) / unit(), 1 - FIT_TAIL, 10_000)).first()[0]
-    return float(got[0]), MARGIN * max(float(far), float(got[0] - got[1]))
+    whole = sum(r["n"] for r in far)
+    common = sum(r["far"] * r["n"] for r in far) / whole
+    out = {}
+    for r in far:
+        shrunk = (r["n"] * r["far"] + FIT_PRIOR * common) / (r["n"] + FIT_PRIOR)
+        out[r["lang_pred"]] = float(r["m"][0]), MARGIN * max(float(r["far"]), float(shrunk), float(r["m"][0] - r["m"][1]))
+    return out
 
 
-def keep_known(df: DataFrame, model: Model, at: tuple[float, float] | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text fits a learned language; any column names."""
+def keep_known(df: DataFrame, model: Model, at: dict[str, tuple[float, float]] | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text fits the language it is told as; any column names."""
     rows = told(df, model, text_col, df.columns, spans=False, fit=True).filter("lang_pred <> 'und' and letters >= strange")
-    if at is not None:
-        rows = rows.filter((at[0] - F.col("fit")) / unit() <= at[1])
+    if at:
+        usual, far = (F.create_map(*[F.lit(x) for k, v in at.items() for x in (k, v[i])])[F.col("lang_pred")] for i in (0, 1))     # as many as languages
+        rows = rows.filter(usual.isNull() | ((usual - F.col("fit")) / unit() <= far))
     return rows.select(*unpacked(text_col, df.columns))
 
 

@@ -1,6 +1,8 @@
 """Texts that fit no learned language leave the pipeline's first stage."""
 import random
 
+import pytest
+
 import corpus_pipeline
 from panelspark.llm import language
 
@@ -32,3 +34,34 @@ def test_level_of_nothing(spark):
     docs = spark.read.parquet(f"{SF2}/documents.parquet")
     model = language.train(docs, "text", "lang", "doc_id", ~language.held_out())
     assert language.level(docs.limit(0), model, "text", "lang", "doc_id", language.held_out()) is None
+
+
+SUOMI = """kissa koira talo puu järvi metsä kaupunki ihminen lapsi äiti isä ystävä päivä yö aamu ilta vuosi kesä talvi syksy kevät ruoka vesi leipä kahvi
+kirja kynä pöytä tuoli ikkuna ovi auto juna lentokone laiva tie silta koulu työ opettaja lääkäri kauppa raha hinta suuri pieni kaunis vanha uusi hyvä
+huono nopea hidas lämmin kylmä kirkas pimeä punainen sininen vihreä keltainen musta valkoinen juosta kävellä istua nukkua syödä juoda lukea kirjoittaa
+puhua kuunnella katsoa ajatella ymmärtää rakastaa odottaa tulla mennä olla tehdä ottaa antaa sanoa kysyä vastata ja mutta koska kun jos että joka mikä
+missä milloin aina usein joskus harvoin koskaan täällä siellä tänään huomenna eilen nyt sitten vielä myös vain hyvin paljon vähän yhdessä kanssa ilman""".split()
+HAN = "的一是在不了有和人这中大为上个国我以要他时来用们生到作地于出就分对成会可主发年动同工也能下过子说产种面而方后多定行学法所民得经十三之进着等部度家电力里如水化高自二理起小物现实加量都两体制机当使点从业本去把性好应开它合还因由其些然前外天政四日那社义事平形相全表间样与关各重新线内数正心反你明看原又么利比或但质气第向道命此变条只没结解问意建月公无系军很情者最立代想已通并提直题党程展五果料象员革位入常文总次品式活设及管特件长求老头基资边流路级少图山统接知较将组见计别她手角期根论运农指"
+
+
+def small_languages(seed, n):
+    """``n`` labelled texts each of two languages of other letters and the same letters."""
+    rng = random.Random(seed)
+    fi = [" ".join(rng.choice(SUOMI) for _ in range(rng.randint(60, 160))).capitalize() + "." for _ in range(n)]
+    zh = ["".join("".join(rng.choice(HAN) for _ in range(rng.randint(4, 14))) + rng.choice("，。") for _ in range(rng.randint(8, 30))) for _ in range(n)]
+    return [(t, "fi") for t in fi] + [(t, "zh") for t in zh]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_small_learned_languages_stay_and_foreign_texts_go(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rng = random.Random(6)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n)) for n in (30, 60, 100, 200, 400)]
+    bad = [v for k, v in FOREIGN.items() if k != "fi"] + noise
+    good = small_languages(8, 30)
+    rows = [(10 ** 6 + i, t, None, "planted", len(t)) for i, t in enumerate(bad)] + [
+        (2 * 10 ** 6 + i, t, k, "planted", len(t)) for i, (t, k) in enumerate(good)]
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), sf).select("doc_id").collect()}
+    assert {2 * 10 ** 6 + i for i in range(len(good))} <= kept
+    assert not kept & {10 ** 6 + i for i in range(len(bad))}
+    assert len({r.doc_id for r in docs.filter("lang is not null").select("doc_id").collect()} - kept) <= 0.001 * docs.count()
