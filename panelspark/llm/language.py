@@ -1,10 +1,9 @@
 """OP 3: language identification of whole, possibly mixed-language texts.
 
 Learning: letter n-grams of orders 1 to 3 and whole words, hashed into
-``BUCKETS`` per language, counted by Spark over at most about ``per_lang``
-labelled documents of each language (a documented bound: a hash of the id
-picks them evenly); shares of each script's letters per language come from
-the same counts.
+``BUCKETS`` per language, counted by Spark over all labelled documents it may
+learn from; shares of each script's letters per language come from the same
+counts.
 
 Labelling: a word's letters name its script, and the script's languages are
 its candidates; its score for a language is the mean log-probability of its
@@ -45,11 +44,9 @@ from panelspark.llm.common import byte_slices, release, ship, worker_state
 ship(__name__)
 
 BUCKETS = 1 << 16
-PER_LANG = 6_000           # labelled documents learned from, per language, about
 SWITCH = 14.0              # nats for a change of language
 SCRIPT_SHARE = 0.002       # of a language's letters, to make it a candidate for a script
 UNSEEN = 30.0              # nats against a language that isn't a candidate
-FIT_DOCS = 2_000           # documents the usual fit is measured on, per language, about
 FIT_TAIL = 0.01
 FIT_LETTERS = 100
 MARGIN = 5.5               # between the worst labelled texts (3.3 to 5.3 of their tails) and foreign ones (7.2 and more)
@@ -140,15 +137,14 @@ class Words:
         h = h * np.uint64(0xD6E8FEB86659FD93)
         return (h >> np.uint64(48)).astype(np.int64) % BUCKETS
 
-    def counts(self, times: np.ndarray) -> np.ndarray:
-        """(5, BUCKETS): counts of the four features and of scripts, each word ``times`` times."""
-        out = np.zeros((5, BUCKETS))
-        w = times[self.of]
+    def count(self, times: np.ndarray, out: np.ndarray) -> None:
+        """Add to ``out`` (5, BUCKETS) the four features and the scripts, each word ``times`` times."""
+        keep = np.flatnonzero(times[self.of])                # a language's words are few of a slice's
+        w = times[self.of[keep]]
         for k, g in enumerate(self.grams):
-            out[k] = np.bincount(g, w, BUCKETS)
-        out[3] = np.bincount(self.whole, times * (self.letters > 0), BUCKETS)
-        out[4, :len(SCRIPTS) + 2] = np.bincount(self.script, w, len(SCRIPTS) + 2)
-        return out
+            out[k] += np.bincount(g[keep], w, BUCKETS)
+        out[3] += np.bincount(self.whole, times * (self.letters > 0), BUCKETS)
+        out[4, :len(SCRIPTS) + 2] += np.bincount(self.script[keep], w, len(SCRIPTS) + 2)
 
 
 class Model:
@@ -218,23 +214,16 @@ def viterbi(scores: np.ndarray, word: np.ndarray, offsets: np.ndarray, switch: f
     return label
 
 
-def sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column, per_lang: int) -> tuple[list[str], DataFrame]:
-    """Languages of the labelled ``rows``, and about ``per_lang`` texts of each (text_, lang_)."""
-    src = (docs.filter(rows & F.col(lang_col).isNotNull())
-           .select(F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_"),
-                   F.col(id_col).cast("string").alias("id_")))
-    sizes = {r["lang_"]: r["n"] for r in src.groupBy("lang_").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row a language
-    langs = sorted(sizes)
-    if not langs:
-        return langs, src.select("text_", "lang_")
-    quota = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, per_lang / sizes[lang]))])
-    draw = F.pmod(F.xxhash64(F.coalesce("id_", F.lit("")), F.lit("train")), F.lit(1 << 20)) / float(1 << 20)
-    return langs, src.filter(draw < F.element_at(quota, F.col("lang_"))).select("text_", "lang_")
+def labelled(docs: DataFrame, text_col: str, lang_col: str, rows: Column) -> DataFrame:
+    """Text and label (text_, lang_) of all ``rows`` that have a label."""
+    return (docs.filter(rows & F.col(lang_col).isNotNull())
+            .select(F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_")))
 
 
-def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column, per_lang: int = PER_LANG) -> Model | None:
-    """Model from the labelled ``rows``, about ``per_lang`` texts a language."""
-    langs, picked = sample(docs, text_col, lang_col, id_col, rows, per_lang)
+def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Column) -> Model | None:
+    """Model from all labelled ``rows``; ids play no part."""
+    texts = labelled(docs, text_col, lang_col, rows)
+    langs = sorted(r["lang_"] for r in texts.select("lang_").distinct().collect())       # one row a language
     if not langs:
         return None
     number = {lang: k for k, lang in enumerate(langs)}
@@ -248,14 +237,14 @@ def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, rows: Colu
                 of = np.repeat([number[x] for x in part.column(1).to_pylist()], np.diff(offsets))
                 w = Words(words)
                 for k in np.unique(of):
-                    total[k] += w.counts(np.bincount(index[of == k], minlength=len(words)).astype(np.float64))
+                    w.count(np.bincount(index[of == k], minlength=len(words)), total[k])
         lang, kind, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang.astype(np.int32)), pa.array((kind * BUCKETS + bucket).astype(np.int32)), pa.array(total[lang, kind, bucket])],
             names=["lang", "cell", "n"])
 
     # languages x buckets cells at most, whatever the number of documents
-    cells = (picked.mapInArrow(task, "lang int, cell int, n double").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas())
+    cells = (texts.mapInArrow(task, "lang int, cell int, n double").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros((len(langs), 5 * BUCKETS))
     counts[cells["lang"], cells["cell"]] = cells["n"]
     return Model.of(langs, counts.reshape(len(langs), 5, BUCKETS))
@@ -354,18 +343,16 @@ def unit() -> Column:
     return 1 + F.sqrt(FIT_LETTERS / F.greatest(F.col("letters"), F.lit(1)))
 
 
-def level(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, rows: Column,
-          per_lang: int = FIT_DOCS) -> dict[str, tuple[float, float]] | None:
+def level(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, rows: Column) -> dict[str, tuple[float, float]] | None:
     """For each language the usual fit and the largest distance below it (in
-    ``unit``) of a text that is kept, from labelled ``rows`` that nothing was
+    ``unit``) of a text that is kept, from all labelled ``rows`` that nothing was
     learned from and that are told as their label.
 
     The tail of a language with few such texts is uncertain: it is shrunk towards
     the mean tail of all languages, as if ``FIT_PRIOR`` texts had shown it, but
     never below what its own texts show.  A language without any has no
     entry: its texts can't be judged and stay."""
-    _, picked = sample(docs, text_col, lang_col, id_col, rows, per_lang)
-    fits = told(picked, model, "text_", ["lang_"], spans=False, fit=True).filter("letters > 0 and lang_pred = row_.lang_").select("lang_pred", "fit", "letters")
+    fits = told(labelled(docs, text_col, lang_col, rows), model, "text_", ["lang_"], spans=False, fit=True).filter("letters > 0 and lang_pred = row_.lang_").select("lang_pred", "fit", "letters")
     usual = fits.groupBy("lang_pred").agg(F.percentile_approx("fit", F.array(F.lit(0.5), F.lit(0.25)), 10_000).alias("m"), F.count(F.lit(1)).alias("n"))
     far = (fits.join(F.broadcast(usual), "lang_pred")                                       # a row per language
            .withColumn("d", (F.col("m")[0] - F.col("fit")) / unit()).groupBy("lang_pred")

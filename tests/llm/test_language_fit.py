@@ -1,7 +1,9 @@
 """Texts that fit no learned language leave the pipeline's first stage."""
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelspark.llm import language
@@ -65,3 +67,30 @@ def test_small_learned_languages_stay_and_foreign_texts_go(spark, sf):
     assert {2 * 10 ** 6 + i for i in range(len(good))} <= kept
     assert not kept & {10 ** 6 + i for i in range(len(bad))}
     assert len({r.doc_id for r in docs.filter("lang is not null").select("doc_id").collect()} - kept) <= 0.001 * docs.count()
+
+
+def many_texts(spark, n, seed=9):
+    """``n`` labelled English texts, and in twenty of them a word that no other text has."""
+    rng = random.Random(seed)
+    some = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    rare = ["".join(rng.choice("bcfgjkmpqvwxyz") for _ in range(12)) for _ in range(20)]
+    texts = [" ".join(rng.choice(some) for _ in range(rng.randint(3, 9))) for _ in range(n)]
+    for k, word in enumerate(rare):
+        texts[k * (n // 20)] += f" {word}"
+    return rare, spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    rare, docs = many_texts(spark, 20_000)
+    model = language.train(docs, "text", "lang", "doc_id", F.lit(True))
+    seen = model.logp[3][language.Words(pa.array(rare)).whole, 0]
+    assert (seen > model.logp[3].min()).all()
+
+
+def test_the_usual_fit_is_that_of_every_held_out_text(spark):
+    _, docs = many_texts(spark, 6_000)
+    model = language.train(docs, "text", "lang", "doc_id", ~language.held_out())
+    held = docs.filter(language.held_out()).unionByName(docs.withColumn("text", F.concat("text", F.lit(" xyz"))))
+    usual, _ = language.level(held, model, "text", "lang", "doc_id", F.lit(True))["en"]
+    fits = sorted(r.fit for r in language.told(held, model, "text", ["lang"], spans=False, fit=True).collect())
+    assert usual == fits[(len(fits) + 1) // 2 - 1]
