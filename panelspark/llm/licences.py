@@ -5,8 +5,7 @@ an elastic-net penalty (Spark ML) over word n-grams of orders 1 to 3 tells the l
 families and ``unknown`` apart.  It is trained here:
 
 * positives: the templates (``licence_texts``, or a table of one's own) and their spans of words;
-* unknown: paragraphs of about ``NEGATIVE_DOCS`` documents, picked by a hash of
-  the row (a documented bound), without those that a template covers;
+* unknown: the different paragraphs of all documents, without those that a template covers;
 * features: the templates' n-grams, but for those frequent among the unknown
   paragraphs.  Other n-grams have no weight, so the model is as sparse as the templates.
 
@@ -30,7 +29,9 @@ of its paragraphs.
 
 Everything on the way from rows to result is a built-in expression, join or
 aggregation; the weights are one row per n-gram and the templates one row per
-paragraph, both bounded by the table of templates.
+paragraph, both bounded by the table of templates.  A paragraph is named by two
+64-bit hashes of its words and looked up once, however often it occurs: training and
+scan read the same table (``looked_up``), a row per different paragraph with the numbers of the templates' n-grams in it.
 
 Null and empty texts have no paragraphs and are ``unknown``; results belong to
 texts (told apart by two 64-bit hashes), so null and repeated ids are rows
@@ -40,6 +41,8 @@ columns of the input play no part.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -52,12 +55,12 @@ from panelspark.session import checkpoint_dir
 
 ship(__name__)
 
-NEGATIVE_DOCS = 4_000
 FREQUENT = 0.002           # share of unknown paragraphs that makes an n-gram no feature
 FALSE_SHARE = 0.0005
 CONFIRM = 0.6
 MIN_SPAN = 0.3             # of a paragraph's words, for spans to train on
 LINE_WORDS = 10            # of a line of a wrapped text, likewise
+MAX_BROADCAST = 1_000_000  # paragraphs that pass the level
 UNKNOWN = "unknown"
 
 NEGATIONS = ["not", "no", "never", "neither", "nor", "without", "cannot", "isn", "aren", "wasn", "weren", "don", "doesn", "t"]
@@ -111,6 +114,42 @@ def paragraphs(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("line")).filter("line <> ''")
 
 
+def named(ws: Column) -> list[Column]:
+    """The two hashes that stand for a paragraph's words."""
+    return [F.xxhash64(ws).alias("h1"), F.xxhash64(F.lit(1), ws).alias("h2")]
+
+
+def numbered(spark: SparkSession, rows: list[tuple]) -> list[str]:
+    """The n-grams of a table of templates, sorted; their places are their numbers."""
+    told = spark.createDataFrame(rows, TABLE).select(all_grams(words(F.col("text"))).alias("grams"))
+    return sorted({g for r in told.collect() for g in r["grams"]})
+
+
+def gram_numbers(df: DataFrame, listed: list[str], *more: str) -> DataFrame:
+    """Per (``h1``, ``h2``) of the word arrays ``ws`` (none empty) the distinct numbers ``at`` of their n-grams among ``listed``
+    (bounded by the templates), ``of_line`` (number of its 3-grams) and the columns ``more``, the largest of each."""
+    table = df.sparkSession.createDataFrame([("", -1), *((g, i) for i, g in enumerate(listed))], "gram string, i int")
+    # the pairs once, for themselves and the triples
+    pairs = df.select("ws", *more, grams(F.col("ws"), 2).alias("two"))
+    room = F.greatest(F.size("ws") - 2, F.lit(0))
+    triples = pairs.select("*", F.zip_with(F.slice("two", F.lit(1), room), F.slice("ws", 3, 1_000_000_000), lambda x, y: F.concat_ws(" ", x, y)).alias("three"))
+    each = F.explode(F.when(F.size("ws") > 0, F.concat(F.array(F.lit("")), "ws", "two", "three"))).alias("gram")  # "" keeps paragraphs without any
+    hits = triples.select(*named(F.col("ws")), F.size(F.array_distinct("three")).alias("of_line"), *more, "ws", "two", "three").select(
+        "h1", "h2", "of_line", *more, each).join(F.broadcast(table), "gram")                                    # n-grams of the templates
+    found = hits.groupBy("h1", "h2").agg(F.collect_set("i").alias("at"), *[F.max(c).alias(c) for c in ("of_line", *more)])      # of the templates at most
+    return found.withColumn("at", F.sort_array(F.filter("at", lambda i: i >= 0)))
+
+
+def looked_up(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
+    """``gram_numbers`` of every different paragraph of all texts, and
+    ``line``: it is a line as it stands, not only an identifier taken out of one."""
+    lines = paragraphs(docs, text_col).select("line", line_parts(F.col("line")).alias("parts"))
+    own = F.array(F.struct(F.col("line").alias("text"), F.lit(True).alias("line")))
+    out = F.transform("parts", lambda x: F.struct(x.alias("text"), F.lit(False).alias("line")))
+    each = lines.select(F.explode(F.when(F.col("parts")[0] == F.col("line"), own).otherwise(F.concat(own, out))).alias("p"))
+    return gram_numbers(each.select(words(F.col("p.text")).alias("ws"), F.col("p.line").alias("line")), listed, "line")
+
+
 def shingles(ws: Column) -> Column:
     """Distinct 3-grams (all words, if fewer)."""
     return F.array_distinct(F.when(F.size(ws) >= 3, grams(ws, 3)).otherwise(F.array(F.array_join(ws, " "))))
@@ -134,12 +173,19 @@ class Model:
         self.classes, self.intercept, self.weights, self.level, self.table = classes, intercept, weights, level, table
 
 
-def train(docs: DataFrame, text_col: str = "text", table: DataFrame | None = None) -> Model:
+def rows_of(spark: SparkSession, table: DataFrame | None) -> list[tuple]:
+    """A table of templates (``templates``, if not given) on the driver: a row per paragraph of a licence."""
+    return [tuple(r) for r in (templates(spark) if table is None else table).select("family", "template", "text", "exact").collect()]
+
+
+def train(docs: DataFrame, text_col: str = "text", table: DataFrame | None = None, lines: DataFrame | None = None) -> Model:
     """The model of a table of templates (``templates``, if not given; columns as there) against
-    paragraphs of about ``NEGATIVE_DOCS`` documents.  The table comes to the driver: a row per paragraph of a licence."""
+    the different paragraphs of all ``docs``.  The table comes to the driver: a row per paragraph of a licence.
+    ``lines``: ``looked_up`` of the ``docs`` and the table's n-grams, where it is there already."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    rows_ = [tuple(r) for r in (templates(spark) if table is None else table).select("family", "template", "text", "exact").collect()]
+    rows_ = rows_of(spark, table)
+    listed = numbered(spark, rows_)
     classes = [UNKNOWN, *dict.fromkeys(r[0] for r in rows_)]
     told = (spark.createDataFrame(rows_, TABLE).withColumn("ws", words(F.col("text")))
             .withColumn("of_ref", F.size(F.array_distinct(grams(F.col("ws"), 3)))).checkpoint())
@@ -151,38 +197,46 @@ def train(docs: DataFrame, text_col: str = "text", table: DataFrame | None = Non
     spans = (told.withColumn("n", F.explode(lengths))
              .withColumn("a", F.explode(F.sequence(F.lit(1), size - F.col("n") + 1, F.greatest(F.lit(1), F.floor(size / 8).cast("int")))))
              .select("family", F.slice("ws", F.col("a"), F.col("n")).alias("ws")).distinct())
-    total = docs.count()
-    share = min(1.0, NEGATIVE_DOCS / max(1, total))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    picked = docs.filter(F.pmod(F.xxhash64(text, F.lit("licence")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    lines = (paragraphs(picked, text_col).select(words(F.col("line")).alias("ws")).filter(F.size("ws") > 0).distinct()
-             .withColumn("key", F.xxhash64("ws"))
-             .withColumn("of_line", F.size(F.array_distinct(grams(F.col("ws"), 3)))).checkpoint())
-    three = F.explode(F.array_distinct(grams(F.col("ws"), 3)))
-    ref = F.broadcast(told.select("template", "of_ref", three.alias("gram")))  # of the templates
-    near = (lines.select("key", "of_line", three.alias("gram")).join(ref, "gram")
-            .groupBy("key", "template").agg((F.count(F.lit(1)) / F.least(F.first("of_ref"), F.first("of_line"))).alias("share"))
-            .filter("share >= 0.5").select("key").distinct())
-    plain = lines.join(near, "key", "left_anti").select("ws").checkpoint()
+    lines = (looked_up(docs, text_col, listed).checkpoint() if lines is None else lines).filter("line")
+    number_of = spark.createDataFrame(list(enumerate(listed)), "i int, gram string")
+    ref = F.broadcast(told.select("template", "of_ref", F.explode(F.array_distinct(grams(F.col("ws"), 3))).alias("gram"))
+                      .join(number_of, "gram").select("template", "of_ref", "i"))          # of the templates
+    near = (lines.select("h1", "h2", "of_line", F.explode("at").alias("i")).join(ref, "i")
+            .groupBy("h1", "h2", "template").agg((F.count(F.lit(1)) / F.least(F.first("of_ref"), F.first("of_line"))).alias("share"))
+            .filter("share >= 0.5").select("h1", "h2").distinct())
+    plain = lines.join(near, ["h1", "h2"], "left_anti").select("h1", "at").checkpoint()
     n_plain = plain.count()
-    frequent = (plain.select(F.explode(F.array_distinct(all_grams(F.col("ws")))).alias("gram")).groupBy("gram")
-                .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(1, FREQUENT * n_plain)).select("gram"))
-    vocab = [r["gram"] for r in told.select(F.explode(all_grams(F.col("ws"))).alias("gram")).distinct()
-             .join(frequent, "gram", "left_anti").orderBy("gram").collect()]          # n-grams of the templates
-    number = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
-    rows = (spans.select(F.element_at(number, F.col("family")).alias("label"), "ws", F.lit(1.0).alias("w"))
-            .unionByName(plain.select(F.lit(0.0).alias("label"), "ws", F.lit(1.0).alias("w")))
-            .withColumn("grams", all_grams(F.col("ws"))).withColumn("out", F.pmod(F.xxhash64("ws"), F.lit(4)) == 0))
-    vec = CountVectorizerModel.from_vocabulary(vocab, inputCol="grams", outputCol="features", binary=True)
-    data = vec.transform(rows).select("label", "features", "out", "w").repartition(4).checkpoint()    # the bounded sample
-    fit = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.2, maxIter=40, tol=1e-4, weightCol="w").fit(
-        data.filter(~F.col("out") | (F.col("label") > 0)))
-    level = (fit.transform(data.filter("out and label = 0"))
-             .select((1 - vector_to_array("probability")[0]).alias("p")).agg(F.percentile_approx("p", 1 - FALSE_SHARE, 100_000)).first()[0])
+    frequent = {r["i"] for r in plain.select(F.explode("at").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") > max(1, FREQUENT * n_plain)).collect()}                # n-grams of the templates
+    vocab = [g for i, g in enumerate(listed) if i not in frequent]
+    label = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
+    spans = (spans.select(F.element_at(label, F.col("family")).alias("label"), *named(F.col("ws")))
+             .join(gram_numbers(spans, listed), ["h1", "h2"]).select("label", "h1", "at"))
+    rows = (spans.unionByName(plain.select(F.lit(0.0).alias("label"), "h1", "at"))
+            .withColumn("out", (F.pmod("h1", F.lit(4)) == 0) & (F.col("label") == 0)))
+    if frequent:
+        rows = rows.withColumn("at", F.array_except("at", F.array(*[F.lit(i) for i in sorted(frequent)])))
+    # equal rows once, with their number
+    rows = rows.groupBy("label", "at", "out").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    vec = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(listed)) if i not in frequent], inputCol="grams", outputCol="features", binary=True)
+    data = vec.transform(rows.withColumn("grams", F.transform("at", lambda i: i.cast("string")))).select("label", "features", "out", "w").checkpoint()
+    fit = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.2, maxIter=40, tol=1e-4, weightCol="w").fit(data.filter("not out"))
+    level = upper_level(fit.transform(data.filter("out")).select((1 - vector_to_array("probability")[0]).alias("p"), "w"))
     present = int(fit.coefficientMatrix.numRows)
     coef = fit.coefficientMatrix.toArray()
     weights = [(g, [float(x) for x in coef[:, j]]) for j, g in enumerate(vocab) if abs(coef[:, j]).max() > 0]
-    return Model(classes[:present], [float(x) for x in fit.interceptVector.toArray()], weights, max(0.5, float(level or 0.0)), rows_)
+    return Model(classes[:present], [float(x) for x in fit.interceptVector.toArray()], weights, max(0.5, level), rows_)
+
+
+def upper_level(kept_out: DataFrame) -> float:
+    """The ``p`` (weight ``w``) that all but ``FALSE_SHARE`` of the rows don't pass, exactly."""
+    total = kept_out.agg(F.sum("w")).first()[0] or 0.0
+    above = total - max(1, math.ceil(total * (1 - FALSE_SHARE)))
+    for r in kept_out.orderBy(F.desc("p")).limit(max(1, int(above) + 1)).collect():       # FALSE_SHARE of the rows at most, one number each
+        above -= r["w"]
+        if above < 0:
+            return float(r["p"])
+    return 0.0
 
 
 def hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -192,28 +246,33 @@ def hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id_"), text.alias("text_"), F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"))
 
 
-def confirmed(rows: DataFrame, model: Model) -> DataFrame:
+def confirmed(rows: DataFrame, model: Model, found: tuple[list[str], DataFrame] | None = None) -> DataFrame:
     """One row per text (``k1``, ``k2``), paragraph ``para`` and confirmed
-    ``family``: ``overlap``, ``probability`` and ``template``."""
+    ``family``: ``overlap``, ``probability`` and ``template``.  ``found``: n-grams and ``looked_up``
+    of them in these texts, where it is there already."""
     spark = rows.sparkSession
     checkpoint_dir(spark)
-    weights = F.broadcast(spark.createDataFrame(model.weights, "gram string, w array<double>"))   # n-grams of the templates
-    lines = (rows.select("k1", "k2", F.monotonically_increasing_id().alias("uid"), "text_")
-             .select("k1", "k2", "uid", F.posexplode(F.split("text_", "\n")).alias("para", "line")).filter("line <> ''")
-             .select("k1", "k2", "uid", "para", F.posexplode(line_parts(F.col("line"))).alias("part", "line"))
-             .select("k1", "k2", "uid", "para", "part", words(F.col("line")).alias("ws")))
-    hits = (lines.select("k1", "k2", "uid", "para", "part", "ws", F.explode(F.array_distinct(all_grams(F.col("ws")))).alias("gram"))
-            .join(weights, "gram"))
+    listed, seen = found or ([g for g, _ in model.weights], None)
+    seen = looked_up(rows, "text_", listed) if seen is None else seen
+    at = {g: i for i, g in enumerate(listed)}
+    weights = F.broadcast(spark.createDataFrame([(at[g], w) for g, w in model.weights], "i int, w array<double>"))   # n-grams of the templates
     k = len(model.classes)
-    scored = hits.groupBy("uid", "para", "part").agg(
-        F.first("ws").alias("ws"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), *[F.sum(F.col("w")[c]).alias(f"s{c}") for c in range(k)])
+    scored = seen.select("h1", "h2", F.explode("at").alias("i")).join(weights, "i").groupBy("h1", "h2").agg(
+        *[F.sum(F.col("w")[c]).alias(f"s{c}") for c in range(k)])
     z = F.array(*[F.exp(F.col(f"s{c}") + model.intercept[c] - (F.col("s0") + model.intercept[0])) for c in range(k)])
-    probs = scored.select("uid", "k1", "k2", "para", "part", "ws", z.alias("z"))
+    probs = scored.select("h1", "h2", z.alias("z"))
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + x)
     family = F.slice("z", 2, k - 1) if k > 1 else F.array().cast("array<double>")
     names = F.array(*[F.lit(c) for c in model.classes[1:]]) if k > 1 else F.array().cast("array<string>")
-    known = (probs.filter(F.lit(1.0) - 1 / total > model.level)
-             .select("uid", "k1", "k2", "para", "part", "ws", total.alias("total"), F.array_max(family).alias("best"),
+    passed = probs.withColumn("total", total).filter(F.lit(1.0) - 1 / F.col("total") > model.level).checkpoint()
+    if passed.count() <= MAX_BROADCAST:
+        passed = F.broadcast(passed)
+    lines = (rows.select("k1", "k2", F.monotonically_increasing_id().alias("uid"), "text_")
+             .select("k1", "k2", "uid", F.posexplode(F.split("text_", "\n")).alias("para", "line")).filter("line <> ''")
+             .select("k1", "k2", "uid", "para", F.posexplode(line_parts(F.col("line"))).alias("part", "line"))
+             .select("k1", "k2", "uid", "para", "part", words(F.col("line")).alias("ws")))
+    known = (lines.select("*", *named(F.col("ws"))).join(passed, ["h1", "h2"])
+             .select("uid", "k1", "k2", "para", "part", "ws", "total", F.array_max(family).alias("best"),
                      F.explode(F.arrays_zip(names.alias("family"), family.alias("z"))).alias("f")))
     # the likeliest family, and all that pass the level against unknown alone
     told = (known.filter((F.col("f.z") == F.col("best")) | (F.col("f.z") / (1 + F.col("f.z")) > model.level))
@@ -262,12 +321,13 @@ def notices(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             .select(F.col("id_").alias(id_col), F.col("para").alias("paragraph"), "family", "template", "overlap", "probability"))
 
 
-def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+         found: tuple[list[str], DataFrame] | None = None) -> DataFrame:
     """One row per row: the id, ``family`` (the closest, or unknown), its ``probability``,
     ``paragraph`` (line number from 0), ``template`` and ``overlap``;
     ``n_paragraphs`` (confirmed ones) and ``families`` (all of them, sorted)."""
     rows = hashed(df, id_col, text_col)
-    per_row = confirmed(rows, model).groupBy("k1", "k2").agg(
+    per_row = confirmed(rows, model, found).groupBy("k1", "k2").agg(
         F.max(F.struct("overlap", "probability", (-F.col("para")).alias("neg"), "family", "template")).alias("b"),
         F.size(F.collect_set("para")).cast("long").alias("n_paragraphs"), F.sort_array(F.collect_set("family")).alias("families"))
     per_row = per_row.checkpoint()                   # cut off, so that the join can split a text of very many copies
@@ -281,4 +341,7 @@ def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "t
 def op10_licences(spark, sf_dir: str) -> DataFrame:
     """Licence families of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return scan(docs, train(docs))
+    checkpoint_dir(spark)
+    listed = numbered(spark, rows_of(spark, None))
+    lines = looked_up(docs, "text", listed).checkpoint()          # each paragraph's n-grams once, for training and scan
+    return scan(docs, train(docs, lines=lines), found=(listed, lines))

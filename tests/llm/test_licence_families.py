@@ -115,3 +115,20 @@ def test_scores_levels_and_overlaps_recomputed(spark, model):
         for k, t in enumerate(lines):
             if any(tokens(t) == tokens(x) for x in ("Released under the MIT License.", "Licensed under CC BY 4.0.")):
                 assert (doc, k) in reported
+
+
+def test_unknown_paragraphs_of_every_document_are_learned_from(spark):
+    """A phrase of the house's own template that one in 6,000 of 24,000 documents also has, in other words."""
+    table = spark.createDataFrame([("house", "house/0", "the quick house licence lets anybody copy and sell this work", False)], licences.TABLE)
+    texts = [f"report {i} about matters of no note" for i in range(24_000)]
+    for i in range(0, 24_000, 6_000):
+        texts[i] = f"number {i} lets anybody copy"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    listed = licences.numbered(spark, licences.rows_of(spark, table))
+    lines = licences.looked_up(docs, "text", listed)
+    assert lines.count() == 24_000 and lines.filter("size(at) > 0").count() == 4
+    lines = lines.checkpoint()
+    own = licences.train(docs, table=table, lines=lines)
+    assert licences.train(docs, table=table).weights == own.weights
+    got = {r.doc_id: r.families for r in licences.scan(docs, own, found=(listed, lines)).filter("n_paragraphs > 0").collect()}
+    assert got == {r.doc_id: r.families for r in licences.scan(docs, own).filter("n_paragraphs > 0").collect()}
