@@ -216,12 +216,10 @@ def train(docs: DataFrame, text_col: str = "text", table: DataFrame | None = Non
             .withColumn("out", (F.pmod("h1", F.lit(4)) == 0) & (F.col("label") == 0)))
     if frequent:
         rows = rows.withColumn("at", F.array_except("at", F.array(*[F.lit(i) for i in sorted(frequent)])))
-    # equal rows once, with their number
-    rows = rows.groupBy("label", "at", "out").agg(F.count(F.lit(1)).cast("double").alias("w"))
     vec = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(listed)) if i not in frequent], inputCol="grams", outputCol="features", binary=True)
-    data = vec.transform(rows.withColumn("grams", F.transform("at", lambda i: i.cast("string")))).select("label", "features", "out", "w").checkpoint()
-    fit = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.2, maxIter=40, tol=1e-4, weightCol="w").fit(data.filter("not out"))
-    level = upper_level(fit.transform(data.filter("out")).select((1 - vector_to_array("probability")[0]).alias("p"), "w"))
+    data = vec.transform(rows.withColumn("grams", F.transform("at", lambda i: i.cast("string")))).select("label", "features", "out").checkpoint()
+    fit = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.2, maxIter=40, tol=1e-4).fit(data.filter("not out"))
+    level = upper_level(fit.transform(data.filter("out")).select((1 - vector_to_array("probability")[0]).alias("p")))
     present = int(fit.coefficientMatrix.numRows)
     coef = fit.coefficientMatrix.toArray()
     weights = [(g, [float(x) for x in coef[:, j]]) for j, g in enumerate(vocab) if abs(coef[:, j]).max() > 0]
@@ -229,14 +227,11 @@ def train(docs: DataFrame, text_col: str = "text", table: DataFrame | None = Non
 
 
 def upper_level(kept_out: DataFrame) -> float:
-    """The ``p`` (weight ``w``) that all but ``FALSE_SHARE`` of the rows don't pass, exactly."""
-    total = kept_out.agg(F.sum("w")).first()[0] or 0.0
+    """The ``p`` that all but ``FALSE_SHARE`` of the rows don't pass, exactly."""
+    total = kept_out.count()
     above = total - max(1, math.ceil(total * (1 - FALSE_SHARE)))
-    for r in kept_out.orderBy(F.desc("p")).limit(max(1, int(above) + 1)).collect():       # FALSE_SHARE of the rows at most, one number each
-        above -= r["w"]
-        if above < 0:
-            return float(r["p"])
-    return 0.0
+    top = kept_out.orderBy(F.desc("p")).limit(max(1, above + 1)).collect()       # FALSE_SHARE of the rows at most, one number each
+    return float(top[-1]["p"]) if top else 0.0
 
 
 def hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
