@@ -3,9 +3,10 @@
 EMB-1 trains skip-gram vectors with Spark ML's ``Word2Vec``.  It differs
 from the reference's trainer: Spark uses hierarchical softmax (no negative
 sampling, so ``negative`` has no counterpart), its vocabulary and vectors
-live on the driver during training (vocabulary x dimension must fit there;
-the vocabulary is the listed securities), and more partitions change the
-result.  It is checked for shape and neighbourhoods, not equality.
+live on the driver during training, several times over, and more partitions
+change the result.  A vocabulary too large for that is trained by
+``skipgram.train_skipgram`` (the reference's negative sampling), whose vectors
+never meet on the driver.  It is checked for shape and neighbourhoods, not equality.
 
 EMB-3..5 build the embedding matrix as a table ``(index, vector
 ARRAY<DOUBLE>)``: the V trained rows in vocabulary order, then the special
@@ -19,30 +20,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.rand import normal
+from panelspark.operators.skipgram import train_skipgram
 
 
 def train_word2vec(sent: DataFrame, col: str = "tokens", vector_size: int = 100, window: int = 5,
                    min_count: int = 1, max_iter: int = 10, seed: int = 42, num_partitions: int | None = None,
                    step_size: float = 0.025, max_sentence_length: int | None = None,
-                   sentences_per_partition: int = 250_000, driver_budget_mb: int = 4_096):
+                   sentences_per_partition: int = 250_000, driver_budget_mb: int = 64):
     """EMB-1: fit Word2Vec; returns (model, vectors (token, vector ARRAY<DOUBLE>)).
 
     Spark trains one model per partition and averages them each pass.  The
     number of partitions comes from the data (the reference's 4 workers, and
     one for every ``sentences_per_partition``), the sentence length from the
     longest one, so none is cut.  A vocabulary whose two vector tables
-    exceed ``driver_budget_mb`` is refused: they live on the driver.
+    exceed ``driver_budget_mb`` (Spark's model holds them on the driver about
+    five times over: sums, partitions' results, the model's copies) is trained in
+    blocks on the executors instead, with the same settings; ``model`` is then None.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    size = sent.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(col)), F.lit(0)).alias("longest")).first()
-    num_partitions = num_partitions or max(4, -(-size["n"] // sentences_per_partition))
-    max_sentence_length = max_sentence_length or max(1, size["longest"])
     tokens = sent.select(F.explode(col).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") >= min_count).count()
     if 2 * 4 * tokens * vector_size > driver_budget_mb << 20:
-        raise ValueError(f"{tokens} tokens x {vector_size} dimensions exceed the driver budget of {driver_budget_mb} MB")
+        return None, train_skipgram(sent, col, vector_size=vector_size, window=window, min_count=min_count, epochs=max_iter,
+                                    seed=seed, alpha=step_size)
+    size = sent.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(col)), F.lit(0)).alias("longest")).first()
+    num_partitions = num_partitions or max(4, -(-size["n"] // sentences_per_partition))
+    max_sentence_length = max_sentence_length or max(1, size["longest"])
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, seed=seed,
                    numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_sentence_length,
                    inputCol=col, outputCol="_avg")

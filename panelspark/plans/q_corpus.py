@@ -313,7 +313,7 @@ def emb01_word2vec(spark, sf_dir):
     settings: frequent tokens subsampled (sample 1e-3, TOK-10), dim 100,
     window 5, min count 1, 10 passes.  Spark's Word2Vec differs from the
     reference's trainer, so the vectors themselves have no SQL oracle; the
-    token set and shape do."""
+    token set and shape do.  A vocabulary beyond the driver's budget is trained in blocks."""
     sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
     _, vec = EM.train_word2vec(sub, vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED)
     return vec.select("token", F.size("vector").alias("n_dims"))

@@ -76,3 +76,17 @@ def test_word2vec_fixed_seed_one_partition_is_repeatable(spark):
         runs.append({r.token: list(r.vector) for r in vec.collect()})
     assert runs[0] == runs[1]
     assert len(runs[0]) == 18 and all(len(v) == 8 for v in runs[0].values())
+
+
+def test_vocabulary_beyond_the_driver_budget_is_trained_in_blocks(spark):
+    sent, a, b = two_clusters(spark)
+    model, vec = EM.train_word2vec(sent, vector_size=16, window=5, min_count=1, max_iter=6, step_size=0.1, seed=42, driver_budget_mb=0)
+    v = {r.token: np.array(r.vector) for r in vec.collect()}
+    assert model is None and set(v) == {"[CLS]", "[SEP]", *a, *b}
+    assert all(x.shape == (16,) and np.isfinite(x).all() for x in v.values())
+    mean = np.mean([v[t] for t in a + b], axis=0)
+
+    def cos(x, y):
+        return float((x - mean) @ (y - mean) / np.linalg.norm(x - mean) / np.linalg.norm(y - mean))
+    inside = np.mean([cos(v[x], v[y]) for g in (a, b) for x in g for y in g if x < y])
+    assert inside > np.mean([cos(v[x], v[y]) for x in a for y in b])
