@@ -83,3 +83,21 @@ def test_min_count_and_nothing(spark):
     sent = spark.createDataFrame([(["a", "b", "a", "rare"],)], "tokens array<string>")
     assert set(vectors(SG.train_skipgram(sent, vector_size=4, epochs=1, min_count=2))) == {"a"}
     assert SG.train_skipgram(sent.limit(0), vector_size=4).count() == 0
+
+
+def test_cells_trained_side_by_side_are_not_sliced(spark, monkeypatch):
+    sent, _, _ = clusters(spark, rows=120)
+    monkeypatch.setattr(SG, "_average", lambda dim: pytest.fail("a cell of a few times pairs_per_task was cut"))
+    v = vectors(SG.train_skipgram(sent, vector_size=8, epochs=1, block_rows=6, pairs_per_task=400))
+    assert len(v) == 18
+
+
+def test_rows_are_added_as_often_as_used():
+    rng = np.random.default_rng(4)
+    table, rows = rng.random((40, 6)).astype(np.float32), np.concatenate([rng.integers(0, 40, 60), np.full(200, 7)])
+    change, uses = rng.random((260, 6)).astype(np.float32), np.where(rows == 7, 2.0, 1.0)
+    want = table.astype(np.float64)
+    for r, c in zip(rows, change):
+        want[r] += c * min(1.0, SG.ROW_STEPS / max(1.0, uses[rows == r].sum()))
+    SG._add_rows(table, rows, change, uses)
+    assert np.allclose(table, want, rtol=1e-4)
