@@ -85,6 +85,8 @@ def training_rows(sent: DataFrame, keys: Sequence[str], vocab: DataFrame, max_le
     reference's code); then ``random_prob`` of chosen positions get a
     random id in [0, V+5).
     """
+    from panelspark.operators.panel import materialize
+    vocab = materialize(vocab)              # read three times
     info = vocab_info(vocab)
     ids = token_ids(sent, keys, vocab, col, max_length, max_broadcast, info)
     vocab_len, pad_id, mask_id = info["vocab_len"], F.lit(info["pad_id"]), F.lit(info["mask_id"])

@@ -9,6 +9,7 @@ from panelspark.operators import corpus as C
 from panelspark.operators import embed as EM
 from panelspark.operators import mlm as M
 from panelspark.operators import skipgram as SG
+from panelspark.operators.scratch import staged
 from panelspark.plans import views as V
 from panelspark.plans.q_holdings import V_HOLD_SQL
 
@@ -229,7 +230,8 @@ FROM r GROUP BY ALL"""
 
 
 def _rows(spark, sf_dir, **kw):
-    r = M.training_rows(_sent(spark, sf_dir), KEYS, _vocab(spark, sf_dir), seed=SEED, **kw)
+    sent = staged(_sent(spark, sf_dir), "sentences")        # read by the vocabulary and the rows
+    r = M.training_rows(sent, KEYS, C.vocabulary(sent), seed=SEED, **kw)
     return r.select(*KEYS, _text("input_ids").alias("input_ids"), _text("attention_mask").alias("attention_mask"),
                     _text("labels").alias("labels"))
 

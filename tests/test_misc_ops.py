@@ -65,3 +65,12 @@ def test_cross_section_both_strategies_agree(spark):
     few = {r.stock: tuple(r[2:]) for r in P.cross_section(p, factors[:10]).collect()}            # conditional path
     assert all(many[s][:10] == few[s] for s in few)
     assert many["S2"][69] == 2069.0
+
+
+def test_training_rows_make_the_vocabulary_once(spark):
+    from panelspark.operators import corpus as C
+    from panelspark.operators import mlm as M
+    sent = spark.createDataFrame([(1, ["[CLS]", "000001", "000002", "[SEP]"]), (2, ["[CLS]", "000002", "[SEP]"])], "rid int, tokens array<string>")
+    rows = M.training_rows(sent, ["rid"], C.vocabulary(sent), max_length=6, mask_prob=0.0)
+    assert "explode(tokens" not in rows._jdf.queryExecution().analyzed().toString()      # counted before, not again with the rows
+    assert sorted((r.rid, sum(r.attention_mask)) for r in rows.collect()) == [(1, 4), (2, 3)]
