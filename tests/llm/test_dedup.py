@@ -163,3 +163,25 @@ def test_weighted_samples_of_edges(spark):
     one = cws.fingerprint_pairs(df.filter("doc_id = 8"), samples=8).first()
     assert one.near_next == 1.0
     assert cws.fingerprint_pairs(df.filter("doc_id is null"), samples=8).count() == 2
+
+
+def test_shard_arrays_hold_no_more_than_the_windows():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    core = rng.integers(97, 123, 500, dtype=np.uint8).tobytes()
+    shard = [rng.integers(97, 123, 60, dtype=np.uint8).tobytes() + core[:450 + k] + b"~" * k for k in range(20)] + [b"a" * 900, core * 2]
+    rows = {"low": [], "part": [], "split": [], "n_occ": [], "k1": [], "k2": [], "start": [], "count": [], "content": []}
+    for g in range(60):
+        for k, x in enumerate(shard):
+            for c, v in zip(rows, (g, 0, False, 1, 100 * g + k, 0, 0, len(x) - 399, x)):
+                rows[c].append(v)
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict(rows)
+    tracemalloc.start()
+    found = [r for b in suffix_dedup.shard_task(400)([batch]) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen = Counter(x[i:i + 400] for x in shard for i in range(len(x) - 399))
+    want = {(k, i + j) for k, x in enumerate(shard) for i in range(len(x) - 399) if seen[x[i:i + 400]] > 1 for j in range(400)}
+    assert all({(r["k1"] - 100 * g, j) for r in found if r["k1"] // 100 == g for j in range(r["a"], r["b"])} == want for g in range(60))
+    assert peak < 48 << 20
