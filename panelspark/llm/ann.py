@@ -220,14 +220,18 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", e
         place = {u: i for i, u in enumerate(have["uid"].tolist())}
         vid = have["vec_id"].astype("Int64")
         key = vid.fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-        out = []
+        who, which, scores = [], [], []
         for i, u in enumerate(ask["uid"].tolist()):
             rows_ = scan(qr[i], xr, place.get(u, -1), k)
             score = (x[rows_] * q[i]).sum(axis=1) / (nx[rows_] * nq[i])
             best = np.lexsort((key[rows_], -score))[:k]
-            out.append(pd.DataFrame({"uid": u, "query_id": ask["vec_id"].iat[i], "vec_id": vid.iloc[rows_[best]].to_numpy(),
-                                     "score": score[best]}))
-        return pd.concat(out) if out else empty
+            who.append(np.full(len(best), i))
+            which.append(rows_[best])
+            scores.append(score[best])
+        who, which = np.concatenate(who), np.concatenate(which)
+        # one table a group: making one a query took longer than its scan
+        return pd.DataFrame({"uid": ask["uid"].to_numpy()[who], "query_id": ask["vec_id"].to_numpy()[who],
+                             "vec_id": vid.to_numpy()[which], "score": np.concatenate(scores)})
 
     keys = ["list", "chunk", "block"]
     found = (asks.groupBy(*keys).cogroup(cand.groupBy(*keys))
