@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.scalars import parse_date
@@ -58,17 +58,21 @@ def pool_axes(pool: DataFrame, key: str, labels: dict[str, str], files: DataFram
 
     One scan, one ``distinct`` of (file, dim, label) and one count per label,
     both with map-side partial aggregation; the result is the size of the
-    label sets, not of the data.
+    label sets, not of the data.  Without ``files``, the key of a row with any
+    label goes the same way, as a label of its own file.
     """
-    dims = [F.struct(F.lit(name).alias("dim"), F.col(c).cast("string").alias("value")) for name, c in labels.items()]
-    per = (pool.select(F.col(key).cast("string").alias("_k"), F.explode(F.array(*dims)).alias("_a"))
-           .select("_k", F.col("_a.dim").alias("dim"), F.col("_a.value").alias("value"))
-           .filter(F.col("value").isNotNull()).distinct())
-    counts = per.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n_files"))
-    keys = (files.select(F.col(key).cast("string").alias("value")) if files is not None
-            else per.select(F.col("_k").alias("value"))).distinct()
-    keys = keys.select(F.lit("__file").alias("dim"), "value", F.lit(1).cast("long").alias("n_files"))
-    return materialize(counts.unionByName(keys))
+    names = [F.col(c).cast("string") for c in labels.values()]
+    dims = [F.struct(F.lit(name).alias("dim"), c.alias("value"), c.isNotNull().alias("is")) for name, c in zip(labels, names)]
+    k = F.col(key).cast("string")
+    if files is None:
+        dims.append(F.struct(F.lit("__file").alias("dim"), k.alias("value"), F.coalesce(*names).isNotNull().alias("is")))
+    per = (pool.select(k.alias("_k"), F.explode(F.array(*dims)).alias("_a")).filter("_a.is")
+           .select("_k", F.col("_a.dim").alias("dim"), F.col("_a.value").alias("value")).distinct())
+    axes = per.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n_files"))
+    if files is not None:
+        keys = files.select(k.alias("value")).distinct()
+        axes = axes.unionByName(keys.select(F.lit("__file").alias("dim"), "value", F.lit(1).cast("long").alias("n_files")))
+    return materialize(axes)
 
 
 def axis_from(axes: DataFrame, dim: str, how: str = "intersect") -> DataFrame:
@@ -178,7 +182,8 @@ def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str =
     by factor first and places each value by index instead of testing every
     factor on every row.  The factor list is the size-checked axis from
     ``pivot_values``.  ``within`` names further key columns that a stock decides
-    (its range), so that rows placed by them stay where they are.
+    (its range and number), so that rows placed by them stay where they are; they
+    stand between date and stock.
     """
     if on_duplicate not in ("raise", "max"):
         raise ValueError("on_duplicate is 'raise' or 'max'")
@@ -195,12 +200,12 @@ def cross_section(panel: DataFrame, factors: Sequence[str], on_duplicate: str =
         cells = panel.groupBy("date", *within, "stock", "factor").agg(F.max("value").alias("_v"), F.count(F.lit(1)).alias("_n"))
         cells = cells.select("date", *within, "stock", "factor", F.when(f.isNull(), F.col("_v")).otherwise(
             single(F.col("_v"), F.col("_n"), f)).alias("value"))
-        return cells.groupBy("date", *within, "stock").pivot("factor", list(factors)).agg(F.max("value")).drop(*within)
+        return cells.groupBy("date", *within, "stock").pivot("factor", list(factors)).agg(F.max("value"))
     names = [str(v) for v in factors]
     agg = panel.groupBy("date", *within, "stock").agg(
         *[F.max(F.when(f == F.lit(v), F.col("value"))).alias(f"_v{i}") for i, v in enumerate(factors)],
         *[F.count_if(f == F.lit(v)).alias(f"_n{i}") for i, v in enumerate(factors) if on_duplicate == "raise"])
-    return agg.select("date", "stock", *[
+    return agg.select("date", *within, "stock", *[
         single(F.col(f"_v{i}"), F.col(f"_n{i}") if on_duplicate == "raise" else F.lit(1), F.lit(v)).alias(v)
         for i, v in enumerate(names)])
 
@@ -251,36 +256,47 @@ def packed_cross_section(panel: DataFrame) -> DataFrame:
 
 def dense_cross_section(panel: DataFrame, factors: Sequence[str], dates: DataFrame, stocks: DataFrame,
                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, stocks_per_task: int | None = None) -> DataFrame:
-    """PAN-7 + PAN-8 in one aggregation: the grid rows (no factor, no value)
-    are unioned with the panel, so the pivot emits every kept pair and no
-    join is needed.  Panel and dates are partitioned by date before the dates
-    are expanded, so the aggregation above the union needs no exchange: the
-    panel is shuffled once, the grid never.
-
-    Beyond ``stocks_per_task`` stocks a date is cut by ranges of the numbered stock
-    axis: panel and grid are both placed by (date, range), so one date of any size spans many tasks."""
+    """PAN-7 + PAN-8: every kept pair, each with its cells or nulls, from the panel's rows alone.
+
+    The stock axis is numbered and cut into ranges.  The panel is shuffled once, by (date,
+    range), with one seed row per (date, range) of the grid, and pivoted there; then each
+    row, in the order of the numbers, also gives off the pairs up to the next row's.
+    So only the panel is aggregated and sorted, in tasks that spill, and the grid is
+    neither, nor shuffled while the numbers' labels can be broadcast.  Rows off
+    the axes are given off as they are.
+
+    Beyond ``stocks_per_task`` stocks a date has several ranges, so one date of any size spans many tasks."""
+    from panelspark.operators.indexing import global_index
     n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kind = dict(panel.dtypes)["value"]
-    stocks_per_task = stocks_per_task or STOCKS_PER_TASK
-    total = stocks.select(F.col("value").cast("string")).distinct().count()
-    if total > stocks_per_task:
-        from panelspark.operators.indexing import global_index
-        s = global_index(stocks.select(F.col("value").cast("string").alias("stock")).distinct(), ["stock"], "_si")
-        s = F.broadcast(s) if total <= max_broadcast_rows else s
-        ranges = -(-total // stocks_per_task)
-        span = -(-total // ranges)
-        d = dates.select(F.col("value").alias("date")).distinct().withColumn("_range", F.explode(F.sequence(
-            F.lit(0).cast("long"), F.lit(ranges - 1).cast("long")))).repartition(n, "date", "_range")
-        last = F.least((F.col("_range") + 1) * span, F.lit(total).cast("long")) - 1
-        grid = d.select("date", "_range", F.explode(F.sequence(F.col("_range") * span, last)).alias("_si")).join(s, "_si")
-        grid = grid.select("date", "_range", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast(kind).alias("value"))
-        rows = panel.select("date", "stock", "factor", "value").join(s, "stock", "left")
-        rows = rows.select("date", F.coalesce(F.expr(f"_si div {span}"), F.lit(0)).cast("long").alias("_range"), "stock", "factor", "value")
-        return cross_section(rows.repartition(n, "date", "_range").unionByName(grid), factors, within=["_range"]).drop("_range")
-    grid = dense_grid(dates, stocks, max_broadcast_rows, by_date=n).select(
-        "date", "stock", F.lit(None).cast("string").alias("factor"), F.lit(None).cast(kind).alias("value"))
-    rows = panel.select("date", "stock", "factor", "value").repartition(n, "date")
-    return cross_section(rows.unionByName(grid), factors)
+    s = global_index(stocks.select(F.col("value").cast("string").alias("stock")).distinct(), ["stock"], "_si")
+    total = s.count()
+    ranges = max(1, -(-total // (stocks_per_task or STOCKS_PER_TASK)))
+    span = max(1, -(-total // ranges))
+    s = F.broadcast(s) if total <= max_broadcast_rows else s
+
+    numbered = s.select("_si", F.col("stock").alias("_label"))
+    rows = panel.select("date", "stock", "factor", "value").join(numbered, F.col("stock").eqNullSafe(F.col("_label")), "left")
+    rows = rows.select("date", F.coalesce(F.expr(f"_si div {span}"), F.lit(-1)).cast("long").alias("_range"),
+                       F.coalesce("_si", F.lit(-1)).cast("long").alias("_si"), "stock", "factor", "value")
+    d = dates.select(F.col("value").alias("date")).distinct().filter(F.lit(total > 0))
+    d = d.withColumn("_range", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ranges - 1).cast("long"))))
+    before = F.col("_range") * span - 1                       # the number of a seed
+    seeds = d.repartition(n, "date", "_range").select(
+        "date", "_range", before.alias("_si"), *[F.lit(None).cast(t).alias(c) for c, t in rows.dtypes if c in ("stock", "factor", "value")])
+    both = cross_section(rows.repartition(n, "date", "_range").unionByName(seeds), factors, within=["_range", "_si"])
+    cells = [f"_v{i}" for i in range(len(factors))]           # a factor may have any name
+    both = both.toDF("date", "_range", "_si", "stock", *cells).withColumn("_seed", F.col("_si") == before)
+
+    order = Window.partitionBy("date", "_range").orderBy("_si")
+    end = F.least((F.col("_range") + 1) * span, F.lit(total).cast("long"))
+    following = F.coalesce(F.lead("_si").over(order), end) - 1
+    on_grid = F.max("_seed").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.withColumn("_last", F.when(on_grid, following).otherwise(F.col("_si")))
+    own = F.col("_at") == F.col("_si")
+    pairs = both.withColumn("_at", F.explode(F.sequence("_si", "_last"))).filter(~(F.col("_seed") & own))
+    pairs = pairs.join(s.select(F.col("_si").alias("_at"), F.col("stock").alias("_label")), "_at", "left")
+    return pairs.select("date", F.coalesce("_label", F.when(own, F.col("stock"))).alias("stock"),
+                        *[F.when(own, F.col(c)).alias(str(f)) for c, f in zip(cells, factors)])
 
 
 def reindex_dense(wide: DataFrame, dates: DataFrame, stocks: DataFrame,

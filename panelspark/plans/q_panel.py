@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import align as A
 from panelspark.operators import layouts as L
 from panelspark.operators import panel as P
+from panelspark.operators.scratch import staged
 from panelspark.plans import views as V
 
 # ---------------------------------------------------------------- SQL views
@@ -199,8 +200,13 @@ def pan06_file_axis(spark, sf_dir):
 PAN06_SQL = "SELECT DISTINCT l_returnflag AS value FROM lineitem"
 
 
+def _converted2(spark, sf_dir):
+    """Layout 2 of a pool made once: its axes and its panel both read it."""
+    return L.layout2(staged(pool2(spark, sf_dir), "panel-pool"))
+
+
 def _wide2(spark, sf_dir):
-    conv = L.layout2(pool2(spark, sf_dir))
+    conv = _converted2(spark, sf_dir)
     factors = P.pivot_values(conv.factors)
     return conv, factors, P.cross_section(conv.panel, factors)
 
@@ -220,7 +226,7 @@ PAN07_SQL = _pivot_sql(_keyed_by("factor", ["date", "stock"]))
 
 
 def pan08_reindex_dense(spark, sf_dir):
-    conv = L.layout2(pool2(spark, sf_dir))
+    conv = _converted2(spark, sf_dir)
     factors = P.pivot_values(conv.factors)
     dates = conv.dates.select(F.to_date("value").alias("value"))
     return P.dense_cross_section(conv.panel, factors, dates, conv.stocks)

@@ -1,6 +1,8 @@
 """Skew-safe indexing, running statistics, masking and batching against
 brute force on small fixtures."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -241,3 +243,46 @@ def test_keyed_permutation_and_batches(spark):
     text = plan_text(out, "simple")
     assert "rangepartitioning" not in text.lower()
     assert M.permuted_batches(rows.limit(0), ["id"]).count() == 0
+
+
+def test_dense_cross_section_aggregates_the_panel_alone(spark):
+    from panelspark.operators import panel as P
+    days = [dt.date(2020, 1, d) for d in (1, 2, 3)]
+    dates = spark.createDataFrame([(d,) for d in days], "value date")
+    stocks = spark.createDataFrame([(f"{i:02d}",) for i in range(20)] + [("03",)], "value string")
+    cells = [(days[0], "00", "stock", 1.0), (days[0], "19", "A", 2.0), (days[0], "19", "a", 3.0), (days[1], "07", "A", None), (days[1], "08", None, 9.0),
+             (days[2], "off", "A", 4.0), (days[2], None, "a", 5.0), (dt.date(2021, 1, 1), "05", "A", 6.0), (dt.date(2021, 1, 1), "09", "A", 7.0)]
+    panel = spark.createDataFrame(cells, "date date, stock string, factor string, value double")
+    want = {(d, f"{i:02d}"): [None] * 3 for d in days for i in range(20)}
+    for d, s, f, v in cells:
+        row = want.setdefault((d, s), [None] * 3)
+        if f:
+            row[["A", "a", "stock"].index(f)] = v
+    for options in ({}, {"stocks_per_task": 6}, {"stocks_per_task": 6, "max_broadcast_rows": 1}):
+        wide = P.dense_cross_section(panel, ["A", "a", "stock"], dates, stocks, **options)
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate") < plan.index("Aggregate")      # the grid is made above the aggregation, not below
+        assert wide.columns == ["date", "stock", "A", "a", "stock"]
+        rows = [tuple(r) for r in wide.collect()]
+        assert len(rows) == len(want) and {r[:2]: list(r[2:]) for r in rows} == want
+    empty = P.dense_cross_section(panel, ["A"], dates, stocks.limit(0))
+    assert sorted(empty.select("date", "A").collect(), key=str) == sorted(
+        [(d, v if f == "A" else None) for d, s, f, v in cells if (s, f) != ("19", "a")], key=str)
+    with pytest.raises(Exception, match="duplicate panel key"):
+        P.dense_cross_section(panel.union(panel.limit(1)), ["A", "a", "stock"], dates, stocks).collect()
+
+
+def test_pool_axes_reads_its_pool_once(spark, tmp_path):
+    from panelspark.operators import panel as P
+    rows = [("f", "d1", "s1"), ("f", "d2", None), (None, "d1", "s1"), ("g", None, None), ("h", None, "s2")]
+    spark.createDataFrame(rows, "file_key string, date string, stock string").write.parquet(str(tmp_path / "pool"))
+    seen = []
+    made, P.materialize = P.materialize, lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or made(df)
+    try:
+        axes = P.pool_axes(spark.read.parquet(str(tmp_path / "pool")), "file_key", {"date": "date", "stock": "stock"})
+    finally:
+        P.materialize = made
+    assert seen[0].count("FileScan") == 1
+    assert sorted(map(tuple, axes.collect()), key=str) == sorted([
+        ("date", "d1", 2), ("date", "d2", 1), ("stock", "s1", 2), ("stock", "s2", 1), ("__file", "f", 1), ("__file", None, 1), ("__file", "h", 1)], key=str)
+    assert P.axis_sizes(axes)["date"] == {"union": 2, "intersect": 0, "files": 3}
