@@ -305,7 +305,8 @@ SELECT holder, end_date, sample_idx, sample_idx // 32 AS batch_id FROM o"""
 def emb01_skipgram(spark, sf_dir):
     """Trained tokens and their dimensions with the reference trainer's settings: skip-gram with 10 negative
     samples, frequent tokens subsampled (sample 1e-3, TOK-10), dim 100, window 5, min count 1, 10 passes."""
-    sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
+    sent = staged(_sent(spark, sf_dir), "sentences")        # read by the counts and the rows
+    sub = C.subsample(sent, KEYS, sample=1e-3, seed=SEED)
     vec = SG.train_skipgram(sub, vector_size=100, window=5, min_count=1, epochs=10, negative=10, seed=SEED)
     return vec.select("token", F.size("vector").alias("n_dims"))
 
@@ -316,7 +317,8 @@ def emb01_word2vec(spark, sf_dir):
     window 5, min count 1, 10 passes.  Spark's Word2Vec differs from the
     reference's trainer, so the vectors themselves have no SQL oracle; the
     token set and shape do.  A vocabulary beyond the driver's budget is trained in blocks."""
-    sub = C.subsample(_sent(spark, sf_dir), KEYS, sample=1e-3, seed=SEED)
+    sent = staged(_sent(spark, sf_dir), "sentences")        # read by the counts and the rows
+    sub = C.subsample(sent, KEYS, sample=1e-3, seed=SEED)
     _, vec = EM.train_word2vec(sub, vector_size=100, window=5, min_count=1, max_iter=10, seed=SEED)
     return vec.select("token", F.size("vector").alias("n_dims"))
 

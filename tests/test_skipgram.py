@@ -1,5 +1,6 @@
 """Skip-gram with negative sampling over vocabulary blocks (EMB-1)."""
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelspark.operators import skipgram as SG
@@ -101,3 +102,43 @@ def test_rows_are_added_as_often_as_used():
         want[r] += c * min(1.0, SG.ROW_STEPS / max(1.0, uses[rows == r].sum()))
     SG._add_rows(table, rows, change, uses)
     assert np.allclose(table, want, rtol=1e-4)
+
+
+def test_steps_hand_packed_blocks_on(spark, monkeypatch):
+    """Sentences are worked out once, a table has a row per ``PART`` vectors or piece of a cell, and one job runs ``CHAIN`` steps."""
+    sent, _, _ = clusters(spark, rows=60)
+    names, rows, real = [], [], SG.staged
+
+    def noted(df, name, *more, **options):
+        out = real(df, name, *more, **options)
+        names.append(name)
+        rows.append(out.count())
+        return out
+    monkeypatch.setattr(SG, "staged", noted)
+    v = vectors(SG.train_skipgram(sent, vector_size=8, epochs=2, block_rows=2))
+    assert len(v) == 18 and names.count("skipgram-sentences") == 1
+    models = [n for x, n in zip(names, rows) if x == "skipgram-model"]
+    assert models == [2 * 8] * (1 + 2 * (8 // SG.CHAIN))       # 9 blocks of 2 rows become 8
+    assert rows[names.index("skipgram-pairs")] <= 8 * 8
+
+
+def test_a_pass_draws_near_pairs_oftener():
+    dist = np.repeat(np.arange(1, 6, dtype=np.uint8), 4_000)
+    a, b = np.arange(len(dist), dtype=np.int32), -np.arange(len(dist), dtype=np.int32)
+    column = pa.array([a.tobytes() + b.tobytes() + dist.tobytes()], pa.binary())
+    draws = [SG._drawn(column, [0], 5, np.random.default_rng(k)) for k in (0, 0, 1)]
+    assert (draws[0][0] == draws[1][0]).all() and len(draws[0][0]) != len(draws[2][0])
+    x, y = draws[0]
+    assert (x == -y).all() and len(np.unique(x)) == len(x) and (np.diff(x) < 0).any()
+    assert np.allclose(np.bincount(dist[x], minlength=6)[1:] / 4_000, [1, 0.8, 0.6, 0.4, 0.2], atol=0.03)
+
+
+def test_rows_used_once_and_oftener_change_as_by_add_rows():
+    rng = np.random.default_rng(5)
+    for rows in (rng.permutation(40)[:30], rng.integers(0, 40, 60), np.concatenate([rng.permutation(30), np.full(200, 35)])):
+        table, change = rng.random((40, 6)).astype(np.float32), rng.random((len(rows), 6)).astype(np.float32)
+        uses = np.where(rows == 35, 2.0, 1.0)
+        want = table.copy()
+        SG._add_rows(want, rows, change, uses)
+        SG._apply(table, table.view(np.dtype((np.void, 24))).ravel(), rows, table[rows], change, uses, np.zeros(40, np.int32), np.arange(len(rows), dtype=np.int32))
+        assert np.allclose(table, want, rtol=1e-5)
