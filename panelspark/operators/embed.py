@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.rand import normal
+from panelspark.operators.scratch import staged
 from panelspark.operators.skipgram import train_skipgram
 
 
@@ -40,6 +41,7 @@ def train_word2vec(sent: DataFrame, col: str = "tokens", vector_size: int = 100,
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
+    sent = staged(sent.select(col), "word2vec-sentences")       # read by the counts and the training
     tokens = sent.select(F.explode(col).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") >= min_count).count()
     if 2 * 4 * tokens * vector_size > driver_budget_mb << 20:

@@ -90,3 +90,18 @@ def test_vocabulary_beyond_the_driver_budget_is_trained_in_blocks(spark):
         return float((x - mean) @ (y - mean) / np.linalg.norm(x - mean) / np.linalg.norm(y - mean))
     inside = np.mean([cos(v[x], v[y]) for g in (a, b) for x in g for y in g if x < y])
     assert inside > np.mean([cos(v[x], v[y]) for x in a for y in b])
+
+
+def test_sentences_are_worked_out_once_for_training_in_blocks(spark, monkeypatch):
+    from panelspark.operators import skipgram as SG
+    sent, a, b = two_clusters(spark)
+    names, real = [], SG.staged
+
+    def noted(df, name, *more, **options):
+        names.append(name)
+        return real(df, name, *more, **options)
+    monkeypatch.setattr(EM, "staged", noted)
+    monkeypatch.setattr(SG, "staged", noted)
+    _, vec = EM.train_word2vec(sent, vector_size=8, max_iter=1, driver_budget_mb=0)
+    assert {r.token for r in vec.collect()} == {"[CLS]", "[SEP]", *a, *b}
+    assert [x for x in names if "sentences" in x] == ["word2vec-sentences"]
